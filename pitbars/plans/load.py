@@ -18,7 +18,7 @@ from pitbars.operators import checks, ledger
 from pitbars.operators.merge import CHANGE, first_load, merge_active
 from pitbars.operators.normalize import REASON, accepted, dedupe_last, rejected, stage, tag
 from pitbars.operators.reconcile import ReconciliationError, reconcile, verdict
-from pitbars.schemas import KEYS, RUN_COLUMNS
+from pitbars.schemas import KEYS, RUN_COLUMNS, VERSION_COLUMNS
 from pitbars.session import require_utc
 from pitbars.sources.feed import FILE_ORDER, read_feed, write_rejections
 from pitbars.sources.store import Store, price_month
@@ -197,10 +197,10 @@ def _merge(
     tally = [F.count_if(F.col(CHANGE) == change).alias(change) for change in CHANGES]
     held = store.folders(contract.name, "active", months)
     if held:
-        merged = merge_active(store.read(held), staged, valid_from, now)
+        merged = merge_active(store.read(held).select(*VERSION_COLUMNS), staged, valid_from, now)
     else:
         merged = first_load(staged, valid_from, now).withColumn(CHANGE, F.lit("inserted"))
-    folder = store.write_versions(merged.observe(merged_rows, *tally, *rules), contract.name, load_id, len(months))
+    folder = store.write_versions(merged, contract.name, load_id, len(months), (merged_rows, *tally, *rules))
     seen = merged_rows.get
     checks.demand({rule: count for rule, count in seen.items() if rule not in CHANGES})
     return folder, {change: seen[change] for change in CHANGES}

@@ -85,14 +85,12 @@ def feed_footprint(spark: SparkSession, path: str) -> DataFrame:
     header_bytes = len(header.encode("utf-8")) + 1
     files = spark.read.format("binaryFile").load(path).agg(
         F.sum("length").alias("file_bytes"), F.count("*").alias("files")
-    )
-    counted = lines.agg(F.count("*").alias("lines"))
-    rows = F.col("lines") - F.col("files")
-    data = (F.col("file_bytes") - F.col("files") * header_bytes).cast("double")
-    width = F.floor(data / rows * 10_000) / 10_000
-    return files.join(counted).select(  # two one-row aggregates
+    ).first()
+    rows = F.count("*") - files["files"]
+    data = F.lit(files["file_bytes"] - files["files"] * header_bytes).cast("double")
+    return lines.agg(
         F.lit(len(header.split(","))).alias("column_count"),
         rows.alias("rows"),
-        width.alias("average_bytes_per_row"),
-        "file_bytes",
+        (F.floor(data / rows * 10_000) / 10_000).alias("average_bytes_per_row"),
+        F.lit(files["file_bytes"]).alias("file_bytes"),
     )

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitbars.operators import checks, ledger
+from pitbars.operators import asof, checks, ledger
 from pitbars.operators.adjust import adjust_close, in_scope
 from pitbars.schemas import ACTION, KEYS, RUN, VERSION, VERSION_COLUMNS
 
@@ -79,8 +79,8 @@ class Store:
     ) -> list[str]:
         """Folders in force, from the commit table (metadata: one row per load, state and month)."""
         commits = self._table("commits")
-        emptied = commits.where("source_name IS NULL").agg(F.coalesce(F.max("commit_id"), F.lit(0)).alias("emptied_at"))
-        rows = commits.where("source_name IS NOT NULL")
+        emptied_at = commits.where("source_name IS NULL").agg(F.coalesce(F.max("commit_id"), F.lit(0))).first()[0]
+        rows = commits.where("source_name IS NOT NULL").where(F.col("commit_id") > emptied_at)
         if source is not None:
             rows = rows.where(F.col("source_name") == source)
         if state is not None:
@@ -89,11 +89,7 @@ class Store:
             rows = rows.where(F.col("price_month").isin(*months))
         slot = ("source_name", "state", "price_month")
         since = rows.where("replaces").groupBy(*slot).agg(F.max("commit_id").alias("replaced_at"))
-        live = (
-            rows.join(since, list(slot), "left")
-            .join(emptied)  # one row
-            .where("commit_id >= coalesce(replaced_at, 0) AND commit_id > emptied_at")
-        )
+        live = rows.join(since, list(slot), "left").where("commit_id >= coalesce(replaced_at, 0)")
         return sorted(row["folder"] for row in live.select("folder").distinct().collect())
 
     def versions(
@@ -106,6 +102,12 @@ class Store:
         """Active versions; closed folders are not even listed."""
         return self.versions(source, "active", months)
 
+    def price_as_of(self, source: str, symbol: str, price_ts: datetime, as_of: datetime) -> DataFrame:
+        """Point lookup that opens only the folders of the bar's source and month."""
+        utc = price_ts.astimezone(timezone.utc) if price_ts.tzinfo else price_ts
+        held = self.versions(source, months=[utc.year * 100 + utc.month])
+        return asof.price_as_of(held, source, symbol, price_ts, as_of)
+
     def read(self, folders: list[str]) -> DataFrame:
         """Version folders as one table, with their state and price month."""
         schema = T.StructType(
@@ -116,24 +118,30 @@ class Store:
         paths = [f"{self.root}/{folder}" for folder in folders]
         return self.spark.read.schema(schema).option("basePath", f"{self.root}/versions").parquet(*paths)
 
-    def write_versions(self, rows: DataFrame, source: str, load_id: str, months: int) -> str:
+    def write_versions(
+        self, rows: DataFrame, source: str, load_id: str, months: int, watch: tuple | None = None
+    ) -> str:
         """Write versions to a fresh folder that no reader sees yet.
 
         Every task may write a file per month, so a load over many months is
         rebalanced first; one over a few skips that shuffle.  Sorting by key lets
-        Parquet statistics skip pages on lookups.
+        Parquet statistics skip pages on lookups.  *watch* (an observation and its
+        metrics) is taken in the writing stage, whose tasks count once each even
+        when an executor is lost.
         """
         key = sub(r"[^A-Za-z0-9_]", "_", source) + "-" + md5(source.encode()).hexdigest()[:8]
         folder = f"versions/feed={key}/load={load_id}"
         placed = rows.select(
-            *VERSION_COLUMNS,
+            *rows.columns,
             F.when(F.col("valid_to").isNull(), "active").otherwise("closed").alias("state"),
             price_month().alias("price_month"),
         )
         if months > FEW_MONTHS:
             placed = placed.hint("rebalance", "state", "price_month")
         ordered = placed.sortWithinPartitions("state", "price_month", *KEYS)
-        ordered.write.partitionBy("state", "price_month").parquet(f"{self.root}/{folder}")
+        if watch is not None:
+            ordered = ordered.observe(*watch)
+        ordered.select(*VERSION_COLUMNS, "state", "price_month").write.partitionBy("state", "price_month").parquet(f"{self.root}/{folder}")
         return folder
 
     def written(self, folder: str) -> DataFrame:

@@ -49,6 +49,9 @@ def test_load_correct_reload_and_adjust(spark, tmp_path):
     run_feed(store, contract, NOW + 2 * day, NOW + 2 * day)
     assert merge.version_counts(store.versions()).first().asDict() == {"total_versions": 4, "active_versions": 3}
     assert store.current(contract.name, [202603]).count() == 1
+    bar_ts = datetime(2026, 4, 1, 13, 30)
+    believed = [store.price_as_of(contract.name, "aapl", bar_ts, NOW + n * day).first() for n in (-1, 0, 1, 2)]
+    assert [b and str(b["close_price"]) for b in believed] == [None, "100.000000", "100.000000", "101.250000"]
     assert store.runs().count() == 3
     row = store.run(first.run["run_id"])
     assert row["error_rate"] == Decimal("0.200000") and json.loads(row["reconciliation"])["status"] == "passed"
