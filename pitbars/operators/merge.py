@@ -11,6 +11,8 @@ from pitbars.operators.normalize import instant_literal
 from pitbars.schemas import BAR_COLUMNS, KEYS, PAYLOAD, VERSION_COLUMNS
 
 CHANGE = "change"
+# Join keys travel beside each row, so only the rest is packed into its struct.
+HELD = tuple(c for c in VERSION_COLUMNS if c not in KEYS)
 
 
 def current(versions: DataFrame) -> DataFrame:
@@ -40,7 +42,7 @@ def differs(left: str, right: str) -> Column:
 
 def versions_to_close(active: DataFrame, staged: DataFrame, valid_from: datetime) -> DataFrame:
     """Active versions contradicted by the feed, as they look once closed."""
-    held = active.select(*KEYS, F.struct(*VERSION_COLUMNS).alias("a"))
+    held = active.select(*KEYS, F.struct(*HELD).alias("a"))
     sent = staged.select(*KEYS, F.struct(*PAYLOAD).alias("s"))
     matched = held.join(sent, list(KEYS), "inner").where(differs("a", "s"))
     return matched.select(_closed(instant_literal(valid_from)).alias("v")).select("v.*")
@@ -57,10 +59,16 @@ def versions_to_insert(
     return fresh.select(opened.alias("v")).select("v.*")
 
 
+def _held(**changed: Column) -> Column:
+    """Struct of the version in *a* under the row's keys, with some columns replaced."""
+    return F.struct(
+        *[F.col(c) for c in KEYS], *[changed.get(c, F.col(f"a.{c}")).alias(c) for c in HELD]
+    )
+
+
 def _closed(moment: Column) -> Column:
     """Struct of version *a* ending at *moment*."""
-    ending = {"valid_to": moment, "updated_at": moment}
-    return F.struct(*[ending.get(c, F.col(f"a.{c}")).alias(c) for c in VERSION_COLUMNS])
+    return _held(valid_to=moment, updated_at=moment)
 
 
 def _opened(*bar: Column, valid_from: datetime, recorded_at: datetime | None) -> Column:
@@ -86,22 +94,21 @@ def merge_active(
     a popular symbol spreads over tasks by ``price_ts`` and nothing fans out.
     Keys absent from the feed are carried over untouched.
     """
-    held = active.select(*KEYS, F.struct(*VERSION_COLUMNS).alias("a"))
+    held = active.select(*KEYS, F.struct(*HELD).alias("a"))
     sent = staged.select(*KEYS, F.struct(*PAYLOAD).alias("s"))
     both = held.join(sent, list(KEYS), "full_outer")
 
     def emitted(change: str, version: Column) -> Column:
         return F.struct(F.lit(change).alias(CHANGE), version.alias("v"))
 
-    kept = F.struct(*[F.col(f"a.{c}").alias(c) for c in VERSION_COLUMNS])
     bar = [F.col(c) for c in KEYS] + [F.col(f"s.{c}") for c in PAYLOAD]
     opened = _opened(*bar, valid_from=valid_from, recorded_at=recorded_at)
     ended = _closed(instant_literal(valid_from))
     outcome = (
-        F.when(F.col("s").isNull(), F.array(emitted("carried", kept)))
+        F.when(F.col("s").isNull(), F.array(emitted("carried", _held())))
         .when(F.col("a").isNull(), F.array(emitted("inserted", opened)))
         .when(differs("a", "s"), F.array(emitted("closed", ended), emitted("corrected", opened)))
-        .otherwise(F.array(emitted("unchanged", kept)))
+        .otherwise(F.array(emitted("unchanged", _held())))
     )
     return both.select(F.explode(outcome).alias("e")).select(f"e.{CHANGE}", "e.v.*")
 

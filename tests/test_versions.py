@@ -161,7 +161,11 @@ def test_split_adjusts_all_earlier_versions(spark):
     rows = bars(spark, bar(close="100"), bar(ts=datetime(2026, 4, 4, 13, 30), close="110"))
     split = actions(spark, ("feed", "AAPL", datetime(2026, 4, 3).date(), "split", Decimal(2), None))
     adjusted = adjust.adjust_close(merge.first_load(rows, FIRST), split, "feed", "aapl")
-    assert shown(adjusted, "close_price", "adjusted_close") == [("100.000000", "50.000000"), ("110.000000", "110.000000")]
+    expected = [("100.000000", "50.000000"), ("110.000000", "110.000000")]
+    assert shown(adjusted, "close_price", "adjusted_close") == expected
+    salted = adjust.with_actions(rows, split, few_actions=0)
+    value = adjust.adjusted(F.col("close_price"), F.col("actions"))
+    assert shown(salted.withColumn("adjusted_close", value), "close_price", "adjusted_close") == expected
 
 
 def test_fold_order_rounding_and_overflow(spark):
