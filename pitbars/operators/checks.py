@@ -93,6 +93,11 @@ def duplicate_actions(actions: DataFrame) -> DataFrame:
     return duplicate_keys(actions, ("source_name", "symbol", "action_date", "action_type"))
 
 
+def duplicate_runs(runs: DataFrame) -> DataFrame:
+    """Run ids recorded more than once; must be empty."""
+    return duplicate_keys(runs, ("run_id",))
+
+
 def demand(counts: dict[str, int]) -> None:
     """Raise when any rule was broken."""
     broken = {rule: int(count) for rule, count in counts.items() if count}

@@ -333,6 +333,13 @@ def ledger_violations(spark, sf_dir):
     return checks.violations(spoiled, checks.run_rules())
 
 
+@query
+def run_id_duplicates(spark, sf_dir):
+    """Recording failed runs a second time repeats their ids."""
+    runs = I.runs(spark, sf_dir)
+    return checks.duplicate_runs(runs.unionByName(runs.where("status = 'failed'")))
+
+
 # -- corporate actions --------------------------------------------------------
 
 

@@ -413,6 +413,7 @@ spoiled AS (SELECT CASE WHEN source_name = 'error' THEN 'crashed' ELSE status EN
     'status': "status NOT IN ('running', 'completed', 'failed')",
     'reconciliation_status': "reconciliation_status NOT IN ('not_run', 'passed', 'failed')",
 })}""",
+        "run_id_duplicates": f"{RUNS} SELECT run_id, 2 AS copies FROM runs WHERE status = 'failed'",
         "bars_with_actions": f"""{MERGED},{ACTIONS}
 SELECT m.source_name, m.symbol, {_ts("m.price_ts")}, {_ts("m.valid_from")}, CAST(count(a.action_type) AS INTEGER) AS later_actions
 FROM merged m LEFT JOIN actions a ON a.source_name = m.source_name AND a.symbol = m.symbol
