@@ -1,7 +1,7 @@
 """Feed rows to bars: parsing, reason codes, duplicates."""
 
 from dataclasses import replace
-from datetime import date, datetime, time, timezone
+from datetime import datetime, time, timezone
 from decimal import Decimal
 
 import pytest
@@ -195,4 +195,3 @@ def test_staging_cuts_fractions(spark):
     assert tuple(second) == ("2026-03-13 13:30:00", Decimal("172.950001"))
     micro = N.stage(bars, replace(NEW_YORK, granularity="microsecond"))
     assert micro.select(F.col("price_ts").cast("string")).first()[0] == "2026-03-13 13:30:00.75"
-    assert date(2026, 3, 13).weekday() == 4
