@@ -33,7 +33,7 @@ VOCABULARY = "word_bpe_49k.json"
 #: Characters above which a text is halved.
 LIMIT = 32_768
 #: Words of each of the two generations that a worker remembers, and their longest length.
-REMEMBERED, WORD = 150_000, 48
+REMEMBERED, WORD = 250_000, 48
 #: First half-width in characters of the window around a join.
 WINDOW = 64
 
@@ -63,58 +63,93 @@ class Coder:
         # A special token that spans a join reaches less than this far from it.
         self.reach = max([0, *(len(t["content"]) for t in spec["added_tokens"])])
         self.vocabulary = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
+        # Lower case by character, and nothing else that could change a Latin-1 text.
+        self.lowers = self.by_word and '"Lowercase"' in json.dumps(spec["normalizer"])
         self.new: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
+        self.long: list[str] = []
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
+    def _words(self, text: str) -> list[str]:
+        """The text cut at spaces and line feeds; in lower case where that is the tokenizer's own."""
+        if self.lowers and "<|" not in text:
+            try:
+                text.encode("latin-1")
+                text = text.lower()
+            except UnicodeEncodeError:
+                pass
+        return text.replace("\n", " ").split(" ")
+
+    def _look_up(self, words: list[str]) -> list[bytes]:
+        got = [*map(self.new.get, words)]
+        if None in got:
+            self._learn({w for w, g in zip(words, got) if g is None})
+            new = self.new
+            got = [new[w] if g is None else g for w, g in zip(words, got)]
+        return got
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each whole text."""
         if not self.by_word:
             return self._plain(texts)
-        new, out = self.new, []
-        for text in texts:
-            words = text.replace("\n", " ").split(" ")
-            got = [*map(new.get, words)]
-            if None in got:
-                self._learn({w for w, g in zip(words, got) if g is None})
-                new = self.new
-                got = [new[w] if g is None else g for w, g in zip(words, got)]
-            out.append(b"".join(got))
-            if len(new) > REMEMBERED:
-                self.old, self.new = new, {"": b""}
-                new = self.new
-        return out
+        return [b"".join(self._look_up(self._words(text))) for text in texts]
 
     def _learn(self, words: set[str]) -> None:
+        if len(self.new) > REMEMBERED:
+            # The words of the text at hand stay, so that it can be put together.
+            self.old, self.new = self.new, {"": b""}
         old, new = self.old, self.new
-        fresh = [w for w in words if w not in old]
-        new.update((w, old[w]) for w in words if w in old)
-        new.update(zip(fresh, self._plain(fresh)))
-        for w in fresh:
-            if len(w) > WORD:
-                self._long.append(w)
-
-    @property
-    def _long(self) -> list[str]:
-        return self.__dict__.setdefault("long", [])
+        parts, fresh = {}, set()
+        for w in words:
+            if (known := old.get(w)) is not None:
+                new[w] = known
+                continue
+            # A run of full stops and commas after a letter is a word of its own.
+            core = w.rstrip(".,")
+            if len(core) < len(w) and core and core[-1].isalpha() and len(w) <= WORD:
+                parts[w] = core, w[len(core) :]
+                fresh.update(parts[w])
+            else:
+                fresh.add(w)
+        listed = [w for w in fresh if w not in new]
+        new.update(zip(listed, self._plain(listed)))
+        for w, (core, tail) in parts.items():
+            new[w] = new[core] + new[tail]
+        self.long += [w for w in listed if len(w) > WORD]
 
     def forget(self) -> None:
         """Drop the words that are too long to be worth their room; called between batches."""
-        for w in self._long:
+        for w in self.long:
             self.new.pop(w, None)
             self.old.pop(w, None)
-        self._long.clear()
+        self.long.clear()
 
     def piece(self, text: str, start: int) -> np.ndarray:
-        """Rows (id, first character, end) of the text, which starts at `start` of its document."""
-        e = self.tokenizer.encode(text, add_special_tokens=False)
-        out = np.empty((len(e.ids), 3), dtype=np.int64)
-        out[:, 0] = e.ids
-        out[:, 1:] = np.array(e.offsets, dtype=np.int64).reshape(-1, 2) + start
-        return out
+        """Rows (id, first character, end) of the text, which starts at `start` of its document. The
+        tokens of a short word between spaces have the place of the word."""
+        words = self._words(text) if self.by_word else [text]
+        if any(len(w) > len(v) for w, v in zip(words, text.replace("\n", " ").split(" "))):
+            words = text.replace("\n", " ").split(" ")  # lower case that is longer would shift places
+        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        begins = np.cumsum(sizes + 1) - sizes - 1 + start
+        if self.by_word and sizes.max() <= WORD:
+            got = self._look_up(words)
+            counts = np.fromiter(map(len, got), dtype=np.int64, count=len(got)) // 4
+            ids = np.frombuffer(b"".join(got), dtype="<u4").astype(np.int64)
+            return np.stack([ids, np.repeat(begins, counts), np.repeat(begins + sizes, counts)], axis=1)
+        parts = []
+        for word, begin in zip(words, begins.tolist()):
+            if self.by_word and len(word) <= WORD:
+                ids = np.frombuffer(self._look_up([word])[0], dtype="<u4").astype(np.int64)
+                parts.append(np.stack([ids, np.full(len(ids), begin), np.full(len(ids), begin + len(word))], axis=1))
+            else:
+                e = self.tokenizer.encode(word, add_special_tokens=False)
+                ids = np.array(e.ids, dtype=np.int64).reshape(-1, 1)
+                parts.append(np.hstack([ids, np.array(e.offsets, dtype=np.int64).reshape(-1, 2) + begin]))
+        return np.concatenate(parts)
 
     def joined(self, left: np.ndarray, right: np.ndarray, text: str, first: int, at: int, end: int) -> np.ndarray:
         """One encoding of text[first:end] from those of its two sides, which meet at `at`."""

@@ -53,7 +53,7 @@ def top(query: np.ndarray, own: int, ids: np.ndarray, postings: np.ndarray, k: i
             alive = scores >= least
             at, scores = at[alive], scores[alive]
         best_ids, best = np.concatenate([best_ids, ids[rows[at]]]), np.concatenate([best, scores])
-        if len(best) > k:
+        if len(best) >= k:
             keep = np.lexsort((best_ids, -best))[:k]
             best_ids, best = best_ids[keep], best[keep]
     order = np.lexsort((best_ids, -best))
@@ -108,14 +108,14 @@ def search(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = SCALE
 
 SQL = f"""
 WITH v AS (
-    SELECT DISTINCT vec_id, list_transform(embedding, x -> CAST(floor({SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor({SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
     FROM embeddings
     WHERE vec_id IS NOT NULL AND len(embedding) > 0
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), q AS (SELECT vec_id, min(v) AS v FROM v WHERE vec_id % 100 = 0 GROUP BY vec_id),
 s AS (
     SELECT q.vec_id AS query_id, v.vec_id,
-           CAST(list_sum(list_transform(range(1, len(v.v) + 1), i -> v.v[i] * q.v[i])) AS BIGINT) AS score
+           CAST(list_sum(list_transform(range(1, len(v.v) + 1), lambda i: v.v[i] * q.v[i])) AS BIGINT) AS score
     FROM q JOIN v ON v.vec_id <> q.vec_id AND len(v.v) = len(q.v)
 ), r AS (
     SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s

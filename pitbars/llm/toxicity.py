@@ -198,7 +198,7 @@ def learn_stems(sample: DataFrame) -> dict[str, float]:
 def learn_weights(grammar: Grammar, x: np.ndarray, y: np.ndarray, steps: int = 12) -> np.ndarray:
     """Logistic weights of the kinds, held to the prior where the labels say little."""
     a = np.hstack([np.ones((len(x), 1)), x])
-    w, hold = PRIOR.copy(), np.full(a.shape[1], 4.0)
+    w, hold = PRIOR.copy(), np.full(a.shape[1], 0.2)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
         slope = a.T @ (y - p) - hold * (w - PRIOR)

@@ -66,7 +66,7 @@ def brute(text):
 def test_report_and_redaction(spark, sf):
     texts = [None, "", "é😀 Password = 'abcdef' TOKEN:x1 api-key=abcdefg apikey: \"abc.def=\"", "AKIA" + "Z" * 16 + " AKIAX", "f" * 24 + "0" * 30, "toKen=secret=abcdefgh", JWT, "x" * 200000 + " secret: 123456"]
     rows = [(i, t, "en", len(t or "")) for i, t in enumerate(texts)] + [(2, texts[2], None, None), (None, "passwd=123456", "de", 13)]
-    docs = spark.createDataFrame(rows, SCHEMA).unionByName(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang", "n_chars"))
+    docs = spark.createDataFrame(rows, SCHEMA).unionByName(spark.read.parquet(f"{sf}/documents.parquet").selectExpr("doc_id + 1000 as doc_id", "text", "lang", "n_chars"))
     docs = docs.selectExpr("*", "1 as spans", "2 as KIND")
     want = sorted((str(r.doc_id), r.text or "") for r in docs.collect())
     got = ss.report(docs).collect()
@@ -79,5 +79,5 @@ def test_report_and_redaction(spark, sf):
     for r in got:
         assert (r.n_assign, r.n_access, r.n_hex, r.base_sha256) in by[str(r.doc_id)]
     clean = {r.doc_id: r for r in ss.redact(docs.where("doc_id < 8 or doc_id is null")).collect() if r.doc_id not in (2,)}
-    assert clean[None].text == "[assign]" and clean[None].n_chars == 8 and clean[6].text == "[jwt]" and clean[5].text == "toKen=[assign]" or clean[5].text == "[assign]"
+    assert clean[None].text == "[assign]" and clean[None].n_chars == 8 and clean[6].text == "[jwt]" and clean[5].text == "[assign]"
     assert ss.report(docs.limit(0)).count() == 0 and ss.redact(docs.limit(0)).columns == docs.columns
