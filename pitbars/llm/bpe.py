@@ -18,8 +18,10 @@ from __future__ import annotations
 
 import json
 import os
+from array import array
 from collections.abc import Iterator
 from functools import cache
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,8 @@ VOCABULARY = "word_bpe_49k.json"
 LIMIT = 32_768
 #: Words of each of the two generations that a worker remembers, and their longest length.
 REMEMBERED, WORD = 250_000, 48
+#: Characters of the bytes that a Latin-1 letter beyond ASCII has in UTF-8, as byte-level models write them.
+_BYTES = {b: c for c, b in zip(range(256, 324), [x for x in range(256) if not (33 <= x <= 126 or 161 <= x <= 172 or 174 <= x <= 255)])}
 #: First half-width in characters of the window around a join.
 WINDOW = 64
 
@@ -44,6 +48,25 @@ def default_path() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+class Memory(dict):
+    """Ids of words: two generations of up to REMEMBERED words, so that frequent ones stay."""
+
+    def __init__(self, ids):
+        super().__init__({"": b""})
+        self.ids, self.old = ids, {}
+
+    def __missing__(self, word: str) -> bytes:
+        if (known := self.old.get(word)) is None:
+            known = self.ids(word)
+            if len(word) > WORD:
+                return known
+        if len(self) > REMEMBERED:
+            self.old = dict(self)
+            self.clear()
+        self[word] = known
+        return known
+
+
 class Coder:
     """One tokenizer file in one worker."""
 
@@ -54,96 +77,74 @@ class Coder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        pre = json.dumps(spec["pre_tokenizer"])
+        pre, norm = json.dumps(spec["pre_tokenizer"]), json.dumps(spec["normalizer"])
         # Words end at white space if the split drops it and nothing else looks over it.
         self.by_word = '"Removed"' in pre and '"invert": true' in pre and '"add_prefix_space": true' not in pre
+        # Lower case by character, and nothing else that could change a Latin-1 text; a run of letters
+        # is one word, its bytes go to the merges.
+        self.lowers = self.by_word and '"Lowercase"' in norm and "[\\\\p{L}]+" in pre and '"use_regex": false' in pre
         self.spaced = spec["decoder"] is None
         # A special token that spans a join reaches less than this far from it.
         self.reach = max([0, *(len(t["content"]) for t in spec["added_tokens"])])
         self.vocabulary = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
-        # Lower case by character, and nothing else that could change a Latin-1 text.
-        self.lowers = self.by_word and '"Lowercase"' in json.dumps(spec["normalizer"])
-        self.new: dict[str, bytes] = {"": b""}
-        self.old: dict[str, bytes] = {}
-        self.long: list[str] = []
+        self.exact = Memory(lambda word: self._plain([word])[0])
+        self.lowered = Memory(self._lowered)
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def _words(self, text: str) -> list[str]:
-        """The text cut at spaces and line feeds; in lower case where that is the tokenizer's own."""
+    def _lowered(self, word: str) -> bytes:
+        """Ids of a Latin-1 word in lower case without special tokens: letters go straight to the merges,
+        a run of punctuation after them is a word of its own."""
+        core = word.rstrip(punctuation)
+        if not core.isalpha():
+            return self._plain([word])[0]
+        if not core.isascii():
+            core = core.encode().decode("latin-1").translate(_BYTES)
+        ids = array("I", [t.id for t in self.model.tokenize(core)]).tobytes()
+        tail = word[len(word.rstrip(punctuation)) :]
+        return ids + self.lowered[tail] if tail else ids
+
+    def _words(self, text: str) -> tuple[list[str], Memory]:
+        """The text cut at spaces and line feeds, in lower case if it is Latin-1, and their memory."""
+        memory = self.exact
         if self.lowers and "<|" not in text:
             try:
                 text.encode("latin-1")
-                text = text.lower()
+                text, memory = text.lower(), self.lowered
             except UnicodeEncodeError:
                 pass
-        return text.replace("\n", " ").split(" ")
-
-    def _look_up(self, words: list[str]) -> list[bytes]:
-        got = [*map(self.new.get, words)]
-        if None in got:
-            self._learn({w for w, g in zip(words, got) if g is None})
-            new = self.new
-            got = [new[w] if g is None else g for w, g in zip(words, got)]
-        return got
+        return text.replace("\n", " ").split(" "), memory
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each whole text."""
         if not self.by_word:
             return self._plain(texts)
-        return [b"".join(self._look_up(self._words(text))) for text in texts]
-
-    def _learn(self, words: set[str]) -> None:
-        if len(self.new) > REMEMBERED:
-            # The words of the text at hand stay, so that it can be put together.
-            self.old, self.new = self.new, {"": b""}
-        old, new = self.old, self.new
-        parts, fresh = {}, set()
-        for w in words:
-            if (known := old.get(w)) is not None:
-                new[w] = known
-                continue
-            # A run of full stops and commas after a letter is a word of its own.
-            core = w.rstrip(".,")
-            if len(core) < len(w) and core and core[-1].isalpha() and len(w) <= WORD:
-                parts[w] = core, w[len(core) :]
-                fresh.update(parts[w])
-            else:
-                fresh.add(w)
-        listed = [w for w in fresh if w not in new]
-        new.update(zip(listed, self._plain(listed)))
-        for w, (core, tail) in parts.items():
-            new[w] = new[core] + new[tail]
-        self.long += [w for w in listed if len(w) > WORD]
-
-    def forget(self) -> None:
-        """Drop the words that are too long to be worth their room; called between batches."""
-        for w in self.long:
-            self.new.pop(w, None)
-            self.old.pop(w, None)
-        self.long.clear()
+        out = []
+        for text in texts:
+            words, memory = self._words(text)
+            out.append(b"".join([*map(memory.__getitem__, words)]))
+        return out
 
     def piece(self, text: str, start: int) -> np.ndarray:
         """Rows (id, first character, end) of the text, which starts at `start` of its document. The
         tokens of a short word between spaces have the place of the word."""
-        words = self._words(text) if self.by_word else [text]
-        if any(len(w) > len(v) for w, v in zip(words, text.replace("\n", " ").split(" "))):
-            words = text.replace("\n", " ").split(" ")  # lower case that is longer would shift places
+        words, memory = self._words(text) if self.by_word else ([text], self.exact)
         sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         begins = np.cumsum(sizes + 1) - sizes - 1 + start
         if self.by_word and sizes.max() <= WORD:
-            got = self._look_up(words)
+            got = [*map(memory.__getitem__, words)]
             counts = np.fromiter(map(len, got), dtype=np.int64, count=len(got)) // 4
             ids = np.frombuffer(b"".join(got), dtype="<u4").astype(np.int64)
             return np.stack([ids, np.repeat(begins, counts), np.repeat(begins + sizes, counts)], axis=1)
         parts = []
         for word, begin in zip(words, begins.tolist()):
             if self.by_word and len(word) <= WORD:
-                ids = np.frombuffer(self._look_up([word])[0], dtype="<u4").astype(np.int64)
+                ids = np.frombuffer(memory[word], dtype="<u4").astype(np.int64)
                 parts.append(np.stack([ids, np.full(len(ids), begin), np.full(len(ids), begin + len(word))], axis=1))
             else:
                 e = self.tokenizer.encode(word, add_special_tokens=False)
@@ -224,7 +225,6 @@ def _short(path: str, text: int):
             for x in range(0, batch.num_rows, 512):
                 part = batch.slice(x, 512)
                 ids = c.encode([t or "" for t in part.column(text).to_pylist()])
-                c.forget()
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(ids, pa.binary()), pa.array([len(i) // 4 for i in ids], pa.int64())],
                     [*part.schema.names, "ids", "n_tokens"],

@@ -74,3 +74,10 @@ def test_query_against_the_library(spark, sf, plain):
         assert got[r.doc_id].n_tokens == len(ids)
         assert got[r.doc_id].ids_sha256 == hashlib.sha256(np.array(ids, dtype="<u4").tobytes()).hexdigest()
         assert got[r.doc_id].decoded_sha256 == hashlib.sha256(plain.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_every_latin_character_beside_letters_and_marks(plain):
+    c = bpe.coder(PATH)
+    texts = [f"{a}{chr(x)}{b}" for x in range(1, 0x250) for a in ("", "th", "É", "1", ",") for b in ("", "e.", "ñ,", "'s", " x")]
+    ids = [np.frombuffer(i, dtype="<u4").tolist() for i in c.encode(texts)]
+    assert ids == [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
