@@ -13,9 +13,15 @@ OPTIONAL = ("adjusted_close",)
 LANDING_TABLE = "market_prices"
 DATE_SHAPES = (
     "M/d/yyyy[ H:mm[:ss]]",
+    "M/d/yyyy h:mm[:ss] a",
     "d/M/yyyy[ H:mm[:ss]]",
-    "yyyyMMdd",
+    "yyyy/M/d[ H:mm[:ss]]",
+    "yyyyMMdd[ H:mm[:ss]]",
+    "yyyyMMdd'T'HHmm[ss]",
     "MMM d, yyyy[ h:mm a]",
+    "MMMM d, yyyy[ h:mm a]",
+    "d-MMM-yyyy[ H:mm[:ss]]",
+    "M/d/yy[ H:mm[:ss]]",
 )
 
 
@@ -25,6 +31,7 @@ class ContractError(ValueError):
 
 @dataclass(frozen=True)
 class RowRules:
+    # Names and defaults of the rule switches.
     allow_future: bool = False
     positive_prices: bool = True
     non_negative_volume: bool = True
@@ -33,6 +40,7 @@ class RowRules:
 
 @dataclass(frozen=True)
 class TradingHours:
+    # Names and defaults of the calendar.
     enabled: bool = False
     opens: time = time(9, 30)
     closes: time = time(16, 0)

@@ -14,24 +14,43 @@ from zoneinfo import ZoneInfo
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A date, a clock time, then Z or a numeric offset at the end.
-OFFSET_TEXT = r"^\d{4}-\d{1,2}-\d{1,2}.*\d{2}:\d{2}.*([Zz]|[+-]\d{1,2}(:?\d{2})?)$"
-# Zone rules are listed for these years; outside them no gap or overlap is known.
-FIRST_YEAR, LAST_YEAR = 1883, 2200
+# A clock time, then what says its offset: Z, UTC, GMT, a number, or any other name.
+ZONED = (
+    r"^(.*\d:\d{2}(?::\d{2}(?:\.\d+)?)?(?:\s*[AaPp][Mm]\b)?|\d{8}T\d{4}(?:\d{2})?)\s*"
+    r"(?!(?i:[ap]m)$)([+-]\d{1,2}(?::?\d{2})?|[A-Za-z][A-Za-z0-9_/+-]*)$"
+)
+NUMERIC = r"^([+-])(\d{1,2}):?(\d{2})?$"
+# Nothing but a date and a clock time; any other text is left to the shapes.
+ISO = r"^\d{4}(?:-\d{1,2}(?:-\d{1,2}(?:[T ]\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d*)?)?)?)?)?$"
+# Shifts are listed for these years.  The rule in force at the end repeats with
+# the calendar every 400 years, so later clocks are moved into the last 400.
+FIRST_YEAR, LAST_YEAR = 1800, 2500
+CYCLE_YEARS, CYCLE_DAYS = 400, 146_097
 
 
 def names_offset(text: Column) -> Column:
-    """Text states its own offset; most text is cleared by its last six characters."""
-    return F.right(text, F.lit(6)).rlike("[Zz+-]") & text.rlike(OFFSET_TEXT)
+    """Text states its own offset or zone; most text is cleared by its last six characters."""
+    return F.right(text, F.lit(6)).rlike("[A-Za-z+-]") & text.rlike(ZONED)
 
 
 def wall_clock(text: Column, shapes: Sequence[str]) -> Column:
     """Wall clock of text without an offset: ISO first, then each shape in turn.
 
-    Text with an offset must not come here: the cast would drop it silently.
+    Neither path accepts text that goes on after the clock time.
     """
     others = [F.try_to_timestamp(text, F.lit(shape)).cast("timestamp_ntz") for shape in shapes]
-    return F.coalesce(text.try_cast("timestamp_ntz"), *others)
+    return F.coalesce(F.when(text.rlike(ISO), text.try_cast("timestamp_ntz")), *others)
+
+
+def zoned_instant(text: Column, shapes: Sequence[str]) -> Column:
+    """Instant of text that states its offset or zone; NULL for an unknown zone."""
+    clock = wall_clock(F.regexp_extract(text, ZONED, 1), shapes)
+    zone = F.regexp_extract(text, ZONED, 2)
+    hours, minutes = F.lpad(F.regexp_extract(zone, NUMERIC, 2), 2, "0"), F.regexp_extract(zone, NUMERIC, 3)
+    offset = F.concat(F.left(zone, F.lit(1)), hours, F.lit(":"), F.rpad(minutes, 2, "0"))
+    named = F.when(F.upper(zone).isin("Z", "UTC", "GMT"), F.lit("Z")).when(zone.rlike("^[+-]"), offset)
+    stated = F.coalesce(named, F.concat(F.lit(" "), zone))
+    return F.concat(F.date_format(clock, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), stated).try_cast("timestamp")
 
 
 @lru_cache(maxsize=None)
@@ -92,9 +111,16 @@ def localised(clock: Column, zone: str) -> Column:
     A skipped wall clock moves to the instant of the shift; a repeated one is
     ambiguous and becomes NULL.  Shifts are looked up by year in literal arrays.
     """
-    plain = F.to_utc_timestamp(clock.cast("timestamp"), zone)
     if not zone_shifts(zone):
-        return plain
+        return F.to_utc_timestamp(clock.cast("timestamp"), zone)
+    cycles = F.greatest(F.lit(0), F.floor((F.year(clock) - (LAST_YEAR - CYCLE_YEARS)) / CYCLE_YEARS)).cast("int")
+    ahead = F.make_dt_interval(days=cycles * CYCLE_DAYS)
+    return _listed(clock - ahead, zone) + ahead
+
+
+def _listed(clock: Column, zone: str) -> Column:
+    """The same for a clock of a listed year."""
+    plain = F.to_utc_timestamp(clock.cast("timestamp"), zone)
     years = _by_year(zone)
     nth_year = F.year(clock) - FIRST_YEAR
     instant = plain

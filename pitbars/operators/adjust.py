@@ -14,9 +14,6 @@ from pitbars.schemas import BAR_COLUMNS, PRICE
 # Working precision of the fold; results keep six digits, rounded half to even.
 WORKING = "decimal(32,20)"
 LISTED = ("source_name", "symbol")
-SALTS = 16
-# Actions up to this many rows, some tens of megabytes, may be broadcast.
-FEW_ACTIONS = 200_000
 
 
 def in_scope(rows: DataFrame, source: str | None = None, symbol: str | None = None) -> DataFrame:
@@ -38,22 +35,14 @@ def action_lists(actions: DataFrame) -> DataFrame:
     return actions.groupBy(*LISTED).agg(F.array_sort(F.collect_list(entry)).alias("actions"))
 
 
-def with_actions(
-    bars: DataFrame, actions: DataFrame, zone: str = "UTC", salts: int = SALTS, few_actions: int = FEW_ACTIONS
-) -> DataFrame:
+def with_actions(bars: DataFrame, actions: DataFrame, zone: str = "UTC") -> DataFrame:
     """Bars beside the actions dated after them; bars never multiply.
 
-    Up to *few_actions* counted actions are broadcast, so bars are not shuffled.
-    Beyond that the lists are joined by listing and salt, which spreads a popular
-    listing over *salts* tasks.
+    A join on the listing, left to the planner: lists below its byte threshold
+    are broadcast, others are shuffled, and a popular listing is split by its
+    bars, whose partner is one row.
     """
-    lists = action_lists(actions)
-    if actions.limit(few_actions + 1).count() <= few_actions:
-        joined = bars.join(F.broadcast(lists), list(LISTED), "left")
-    else:
-        salt = F.pmod(F.xxhash64("price_ts"), F.lit(salts)).cast("int")
-        spread = lists.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        joined = bars.withColumn("salt", salt).join(spread.hint("merge"), [*LISTED, "salt"], "left").drop("salt")
+    joined = bars.join(action_lists(actions), list(LISTED), "left")
     day = F.to_date(F.from_utc_timestamp("price_ts", zone))
     later = F.filter("actions", lambda a: a["action_date"] > day)
     return joined.withColumn("actions", F.when(F.col("actions").isNotNull(), later))

@@ -105,6 +105,16 @@ def demand(counts: dict[str, int]) -> None:
         raise ConstraintError(broken)
 
 
+def demand_run(event: dict) -> None:
+    """A ledger event whose states are known."""
+    demand(
+        {
+            "status": int(event["status"] not in RUN_STATUSES),
+            "reconciliation_status": int(event["reconciliation_status"] not in RECONCILIATION_STATUSES),
+        }
+    )
+
+
 def demand_actions(actions: DataFrame) -> DataFrame:
     """Actions that are proven to satisfy their constraints."""
     counts = actions.agg(*violation_columns(action_rules())).first().asDict()

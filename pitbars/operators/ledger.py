@@ -10,35 +10,73 @@ from pyspark.sql import functions as F
 from pitbars.operators.normalize import instant_literal
 from pitbars.schemas import RUN_COLUMNS
 
-# Advice stored with a failed run.
-DIAGNOSIS = (
-    "Look up the run in the ledger by run_id, source_name and file_path.",
-    "Read the rejected rows of the run, if validation was reached.",
-    "Check the violated constraint or the mismatched symbols, if the load was reached.",
-)
-MITIGATION = (
-    "Repair the malformed rows or correct the column mapping of the contract.",
-    "Run the load again; equal bars are recognised by source_name, symbol and price_ts.",
-    "If a landing constraint failed, compare the contract's rules with the table's constraints.",
-)
-ESCALATION = (
-    "Note the run_id, the error, the input path and the latest ledger rows.",
-    "Escalate when a corrected run fails in the same way.",
+# What to look at, what to do and what to pass on, by the error that stopped a load.
+ADVICE = {
+    "FeedError": (
+        (
+            "Compare the first line of the file with the column names of the contract.",
+            "Open the file with the vendor's own reader; a changed delimiter or encoding shows there.",
+            "Ask the vendor whether the layout changed on purpose.",
+        ),
+        (
+            "Adapt the column mapping of the contract if the new layout stays.",
+            "Ask for the file again if it was cut off.",
+            "Start the load once more; nothing of this run was committed.",
+        ),
+        (
+            "Hand over the file, the contract and the run_id to whoever owns the feed.",
+            "Say which columns are absent and since which delivery.",
+        ),
+    ),
+    "ConstraintError": (
+        (
+            "The message counts the broken rules; filter the staged rows by the same predicate.",
+            "valid_window means that valid_from lies before a belief that is already on record.",
+            "one_active_version means that two bars fall on one key, often by a fraction of a second.",
+        ),
+        (
+            "Give a later valid_from, or microsecond granularity, if the bars are right.",
+            "Switch the row rule on that rejects such rows before they are staged.",
+        ),
+        ("Show the counts and three of the rows to whoever sets the rules of the source.",),
+    ),
+    "ReconciliationError": (
+        (
+            "Read the reconciliation table of the run; only symbols with matched = false matter.",
+            "Equal row counts with other checksums point to a changed value, other counts to lost keys.",
+        ),
+        (
+            "Load the file again; readers still see the commit before this run.",
+            "Keep the unseen version folder of the run until the difference is explained.",
+        ),
+        ("A difference that comes back is a fault of the merge: pass on the file and the table.",),
+    ),
+    "ConflictError": (
+        ("Another load of the same source committed while this one was at work.",),
+        ("Repeat this load; it will merge with what the other one left.",),
+        ("If it goes on, two schedules share a source: find the owner of the second one.",),
+    ),
+}
+OTHER = (
+    ("Read the message from its last line upward; the first cause stands at the end.",),
+    ("Repeat the load after the cause is gone; no reader has seen this run.",),
+    ("Pass on the message, the path of the file and the run_id.",),
 )
 
 
 def failure_document(error_type: Column, summary: Column) -> Column:
     """Incident document of a failed run."""
 
-    def listed(lines: tuple[str, ...]) -> Column:
-        return F.array(*[F.lit(line) for line in lines])
+    def listed(place: int) -> Column:
+        lines = F.array(*map(F.lit, OTHER[place]))
+        for name, advice in ADVICE.items():
+            lines = F.when(error_type == name, F.array(*map(F.lit, advice[place]))).otherwise(lines)
+        return lines
 
     return F.struct(
         error_type.alias("error_type"),
         summary.alias("summary"),
-        listed(DIAGNOSIS).alias("diagnosis"),
-        listed(MITIGATION).alias("mitigation"),
-        listed(ESCALATION).alias("escalation"),
+        *[listed(place).alias(name) for place, name in enumerate(("diagnosis", "mitigation", "escalation"))],
     )
 
 

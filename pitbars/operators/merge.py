@@ -113,6 +113,15 @@ def merge_active(
     return both.select(F.explode(outcome).alias("e")).select(f"e.{CHANGE}", "e.v.*")
 
 
+def changed_slots(active: DataFrame, staged: DataFrame, slot: tuple[str, ...] = ("price_month", "bucket")) -> DataFrame:
+    """Per slot of the feed: rows that equal their active version, and rows that differ or are new."""
+    held = active.select(*KEYS, F.struct(*PAYLOAD).alias("a"))
+    sent = staged.select(*KEYS, *slot, F.struct(*PAYLOAD).alias("s"))
+    both = sent.join(held, list(KEYS), "left")
+    same = F.col("a").isNotNull() & ~differs("a", "s")
+    return both.groupBy(*slot).agg(F.count_if(same).alias("same"), F.count_if(~same).alias("differing"))
+
+
 def temporal_merge(
     versions: DataFrame, staged: DataFrame, valid_from: datetime, recorded_at: datetime | None = None
 ) -> DataFrame:

@@ -15,6 +15,14 @@ PHASES = {
     "upsert_ms": "UPSERT merge",
 }
 
+# Columns of the two run reports.
+RUN_REPORT = (
+    "run_id", "source_name", "status", "started_at", "duration_ms", "rows_read", "rows_valid", "rows_loaded",
+    "rows_rejected", "duplicates_dropped", "throughput_rows_per_sec", "csv_parse_ms", "transform_ms", "copy_ms",
+    "upsert_ms", "reconciliation_status", "reconciliation", "error_rate", "error_message",
+)
+FAILURE_REPORT = ("run_id", "source_name", "started_at", "error_message", "failure_summary")
+
 
 def latest_runs(runs: DataFrame, n: int = 20) -> DataFrame:
     """The *n* most recently started runs."""

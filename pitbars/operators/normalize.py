@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitbars.contract import MANDATORY, OPTIONAL, FeedContract
-from pitbars.functions.clock import local_clock, localised, micros_of_day, names_offset, wall_clock
+from pitbars.functions.clock import local_clock, localised, micros_of_day, names_offset, wall_clock, zoned_instant
 from pitbars.functions.text import exact_number, is_blank, stripped, whole_number
 from pitbars.schemas import BAR_COLUMNS, KEYS, PRICE, PRICES
 
@@ -18,6 +18,8 @@ from pitbars.schemas import BAR_COLUMNS, KEYS, PRICE, PRICES
 PRICE_FIELDS = {"open": "open_price", "high": "high_price", "low": "low_price", "close": "close_price"}
 FUTURE_SLACK = "INTERVAL 5 MINUTES"
 REASON = "rejection_reason"
+# Carries the vendor's row; no feed has a column of this name.
+VENDOR_ROW = "__vendor_row__"
 
 
 class FeedError(ValueError):
@@ -31,17 +33,22 @@ def instant_literal(moment: datetime) -> Column:
     return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz").cast("timestamp")
 
 
+def quoted(name: str) -> Column:
+    """A column by its whole name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def check_header(columns: Sequence[str], contract: FeedContract) -> None:
     """Raise before any job runs when a configured column is absent."""
     absent = sorted(set(contract.columns.values()) - set(columns))
     if absent:
-        raise FeedError(f"CSV missing configured columns: {', '.join(absent)}")
+        raise FeedError(f"the feed lacks columns its contract names: {', '.join(absent)}")
 
 
 def map_columns(raw: DataFrame, contract: FeedContract, keep: Sequence[str] = ()) -> DataFrame:
     """Keep mapped columns under their canonical names; unmapped optional ones are NULL."""
     check_header(raw.columns, contract)
-    mapped = [F.col(vendor).cast("string").alias(name) for name, vendor in contract.columns.items()]
+    mapped = [quoted(vendor).cast("string").alias(name) for name, vendor in contract.columns.items()]
     absent = [F.lit(None).cast("string").alias(name) for name in OPTIONAL if name not in contract.columns]
     return raw.select(F.lit(contract.name).alias("source_name"), *mapped, *absent, *keep)
 
@@ -49,9 +56,9 @@ def map_columns(raw: DataFrame, contract: FeedContract, keep: Sequence[str] = ()
 def _parsed(raw: DataFrame, contract: FeedContract, keep: Sequence[str]) -> DataFrame:
     """Stripped text beside every parsed value."""
     vendor = [c for c in raw.columns if c not in keep]
-    carried = raw.select("*", F.struct(*vendor).alias("raw"))
+    carried = raw.select("*", F.struct(*map(quoted, vendor)).alias(VENDOR_ROW))
     names = [*MANDATORY, *OPTIONAL]
-    mapped = map_columns(carried, contract, ["raw", *keep])
+    mapped = map_columns(carried, contract, [VENDOR_ROW, *keep])
     extra = [c for c in contract.columns if c not in names]
 
     def cleaned(name: str) -> Column:
@@ -60,14 +67,14 @@ def _parsed(raw: DataFrame, contract: FeedContract, keep: Sequence[str]) -> Data
             text = F.when(~text.isin(*contract.na_values), text)
         return text.alias(f"t_{name}")
 
-    texts = mapped.select("source_name", "raw", *keep, *[cleaned(n) for n in (*names, *extra)])
+    texts = mapped.select("source_name", VENDOR_ROW, *keep, *[cleaned(n) for n in (*names, *extra)])
     clock = F.col("t_timestamp")
     clocks = texts.select("*", F.when(~names_offset(clock), wall_clock(clock, contract.date_shapes)).alias("clock_ts"))
     return clocks.select(
         "*",
         F.upper("t_symbol").alias("symbol"),
         F.upper("t_currency").alias("currency"),
-        F.when(names_offset(clock), clock.try_cast("timestamp"))
+        F.when(names_offset(clock), zoned_instant(clock, contract.date_shapes))
         .otherwise(localised(F.col("clock_ts"), contract.zone))
         .alias("price_ts"),
         *[exact_number(F.col(f"t_{name}")).alias(bar) for name, bar in PRICE_FIELDS.items()],
@@ -147,10 +154,10 @@ def tag(
     that hold the file order; they are carried along, not part of the feed.
     """
     parsed = _parsed(raw, contract, order)
-    judged = parsed.select(*BAR_COLUMNS, F.concat_ws("; ", *_reasons(contract, now)).alias("codes"), "raw", *order)
+    judged = parsed.select(*BAR_COLUMNS, F.concat_ws("; ", *_reasons(contract, now)).alias("codes"), VENDOR_ROW, *order)
     # The one-element explode keeps Catalyst from pasting every rule into each
     # later filter on the reason, which multiplies plan size and planning time.
-    return judged.select(*BAR_COLUMNS, F.explode(F.array("codes")).alias(REASON), "raw", *order)
+    return judged.select(*BAR_COLUMNS, F.explode(F.array("codes")).alias(REASON), VENDOR_ROW, *order)
 
 
 def accepted(tagged: DataFrame, order: Sequence[str] = ()) -> DataFrame:
@@ -160,7 +167,7 @@ def accepted(tagged: DataFrame, order: Sequence[str] = ()) -> DataFrame:
 
 def rejected(tagged: DataFrame) -> DataFrame:
     """Rows as the vendor sent them, plus every reason."""
-    return tagged.where(F.col(REASON) != "").select("raw.*", REASON)
+    return tagged.where(F.col(REASON) != "").select(f"{VENDOR_ROW}.*", REASON)
 
 
 def dedupe_last(rows: DataFrame, order: Sequence[str], keys: Sequence[str] = KEYS) -> DataFrame:

@@ -13,10 +13,6 @@ FIELD_MARK = "|"
 ROW_MARK = "||"
 INSTANT_SHAPE = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
-# Symbols with more rows than this get the additive digest instead of the
-# ordered MD5, whose text has to sit in one task.
-ORDERED_ROWS = 100_000
-
 
 class ReconciliationError(RuntimeError):
     """Staged and landed rows disagree; nothing was committed."""
@@ -47,34 +43,41 @@ def _digest() -> list[Column]:
     width: rows combine on the map side and a symbol of any size costs one
     small record per task.
     """
-    row = F.xxhash64(*KEYS, *PRICES, "volume", F.coalesce("adjusted_close", F.lit(0)), "currency")
-    total = F.sum(row.cast("decimal(20,0)")).cast("string")
-    return [
-        F.count("*").alias("row_count"),
-        F.concat(total, F.lit(":"), F.hex(F.bit_xor(row))).alias("checksum"),
-    ]
+    row = _row_hash()
+    return [F.count("*").alias("row_count"), _rendered(F.sum(row.cast("decimal(20,0)")), F.bit_xor(row)).alias("checksum")]
+
+
+def _row_hash() -> Column:
+    return F.xxhash64(*KEYS, *PRICES, "volume", F.coalesce("adjusted_close", F.lit(0)), "currency")
+
+
+def _rendered(total: Column, xor: Column) -> Column:
+    return F.concat(total.cast("decimal(38,0)").cast("string"), F.lit(":"), F.hex(xor))
 
 
-def symbol_checksums(bars: DataFrame, mode: str = "digest", ordered_rows: int = ORDERED_ROWS) -> DataFrame:
+def symbol_checksums(bars: DataFrame, mode: str = "digest") -> DataFrame:
     """(symbol, row_count, checksum).
 
-    ``digest`` is the scalable comparison used by the load gate.  ``md5`` is the
-    MD5 over the symbol's rows rendered to text and ordered by key; symbols
-    beyond *ordered_rows* keep the digest, which verifies just as many rows.
+    ``digest`` is the comparison used by the load gate.  ``md5`` is ordered: an
+    MD5 over the rows of each clock hour, rendered to text in key order, one over
+    the hours of each day and one over the symbol's days.  No step gathers more
+    than an hour of bars, a day of hours or the days of the calendar, so a symbol
+    of any size has the same form of checksum.
     """
-    digests = bars.groupBy("symbol").agg(*_digest())
     if mode == "digest":
-        return digests
+        return bars.groupBy("symbol").agg(*_digest())
     if mode != "md5":
         raise ValueError(f"mode is digest or md5, not {mode!r}")
-    large = digests.where(F.col("row_count") > ordered_rows).select("symbol")
-    bounded = bars.join(large, "symbol", "left_anti")
-    lines = bounded.select("symbol", F.struct(*KEYS, row_line().alias("line")).alias("entry"))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list("entry")), lambda e: e["line"]), ROW_MARK)
-    ordered = lines.groupBy("symbol").agg(F.md5(text).alias("ordered"))
-    return digests.join(ordered, "symbol", "left").select(
-        "symbol", "row_count", F.coalesce("ordered", "checksum").alias("checksum")
-    )
+
+    def ordered(entries: str) -> Column:
+        in_order = F.array_sort(F.collect_list(F.struct(*entries.split())))
+        return F.md5(F.array_join(F.transform(in_order, lambda e: e["line"]), ROW_MARK)).alias("line")
+
+    hour, day = F.date_trunc("hour", "price_ts"), F.date_trunc("day", "hour")
+    lines = bars.select(*KEYS, hour.alias("hour"), row_line().alias("line"))
+    hours = lines.groupBy("symbol", "hour").agg(F.count("*").alias("n"), ordered(" ".join(KEYS) + " line"))
+    days = hours.groupBy("symbol", day.alias("day")).agg(F.sum("n").alias("n"), ordered("hour line"))
+    return days.groupBy("symbol").agg(F.sum("n").alias("row_count"), ordered("day line").alias("checksum"))
 
 
 def landed_for(staged: DataFrame, versions: DataFrame) -> DataFrame:
@@ -88,27 +91,41 @@ def compare_checksums(source: DataFrame, landed: DataFrame) -> DataFrame:
     right = landed.select("symbol", F.col("row_count").alias("landed_rows"), F.col("checksum").alias("landed_checksum"))
     both = left.join(right, "symbol", "full_outer")
     rows = [F.coalesce(side, F.lit(0)).alias(side) for side in ("source_rows", "landed_rows")]
-    sides = both.select("symbol", *rows, "source_checksum", "landed_checksum")
-    matched = (F.col("source_rows") == F.col("landed_rows")) & F.col("source_checksum").eqNullSafe(
-        F.col("landed_checksum")
-    )
-    return sides.withColumn("matched", matched)
+    return _matched(both.select("symbol", *rows, "source_checksum", "landed_checksum"))
 
 
-def reconcile(
-    staged: DataFrame, versions: DataFrame, mode: str = "digest", ordered_rows: int = ORDERED_ROWS
-) -> DataFrame:
-    """Per symbol: staged against landed rows.
+def reconcile(staged: DataFrame, versions: DataFrame, mode: str = "digest") -> DataFrame:
+    """Per symbol: staged rows against the active versions under their keys.
 
-    With the digest, one pass does it: a marked union is grouped once, so both
-    sides share a single small exchange after the key join.
+    With the digest both sides are marked and put together: one group by key
+    keeps what the feed sent, one small group by symbol compares.
     """
-    landed = landed_for(staged, versions)
     if mode != "digest":
-        return compare_checksums(
-            symbol_checksums(staged, mode, ordered_rows), symbol_checksums(landed, mode, ordered_rows)
-        )
-    return compare_checksums(symbol_checksums(staged), symbol_checksums(landed))
+        return compare_checksums(symbol_checksums(staged, mode), symbol_checksums(landed_for(staged, versions), mode))
+    sides = {"source": staged, "landed": current(versions)}
+    rows = [side.select(*KEYS, F.lit(name).alias("side"), _row_hash().alias("h")) for name, side in sides.items()]
+
+    def of(side: str, value: Column) -> Column:
+        return F.when(F.col("side") == side, value)
+
+    per_key = rows[0].unionByName(rows[1]).groupBy(*KEYS).agg(
+        *[F.count(of(side, F.lit(1))).alias(f"{side}_rows") for side in sides],
+        *[F.sum(of(side, F.col("h").cast("decimal(20,0)"))).cast("decimal(30,0)").alias(f"{side}_sum") for side in sides],
+        *[F.bit_xor(of(side, F.col("h"))).alias(f"{side}_xor") for side in sides],
+    )
+    totals = per_key.where("source_rows > 0").groupBy("symbol").agg(
+        *[F.sum(f"{side}_rows").alias(f"{side}_rows") for side in sides],
+        *[_rendered(F.sum(f"{side}_sum"), F.bit_xor(f"{side}_xor")).alias(f"{side}_checksum") for side in sides],
+    )
+    return _matched(totals)
+
+
+def _matched(sides: DataFrame) -> DataFrame:
+    matched = (F.col("source_rows") == F.col("landed_rows")) & F.col("source_checksum").eqNullSafe(
+        F.col("landed_checksum")
+    )
+    columns = ("symbol", "source_rows", "landed_rows", "source_checksum", "landed_checksum")
+    return sides.select(*columns, matched.alias("matched"))
 
 
 def verdict(per_symbol: DataFrame) -> DataFrame:

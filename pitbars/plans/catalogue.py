@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitbars.functions.clock import local_clock, localised, names_offset, wall_clock
+from pitbars.functions.clock import local_clock, localised, names_offset, wall_clock, zoned_instant
 from pitbars.contract import DATE_SHAPES
 from pitbars.operators import adjust, asof, checks, ledger, merge, monitor, normalize, reconcile
 from pitbars.plans import inputs as I
@@ -65,7 +65,7 @@ def _first_bar(spark: SparkSession, sf_dir: str):
 @query
 def feed_columns_mapped(spark, sf_dir):
     mapped = normalize.map_columns(I.feed_b(spark, sf_dir), I.VENDOR_B, ["o1"])
-    return mapped.drop("timestamp").withColumn("adjusted_close", F.coalesce("adjusted_close", F.lit("none")))
+    return mapped.withColumn("adjusted_close", F.coalesce("adjusted_close", F.lit("none")))
 
 
 @query
@@ -123,20 +123,32 @@ def zone_edges(spark, sf_dir):
 
 @query
 def timestamp_shapes(spark, sf_dir):
-    """Event times written in six shapes and read back."""
+    """Event times written in seventeen shapes and read back."""
     ts = F.col("ts")
-    shape = F.col("event_id") % 6
-    text = (
-        F.when(shape == 0, F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
-        .when(shape == 1, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-        .when(shape == 2, F.concat(F.date_format(ts, "yyyy-MM-dd HH:mm:ss"), F.lit("-05:00")))
-        .when(shape == 3, F.date_format(ts, "M/d/yyyy H:mm"))
-        .when(shape == 4, F.date_format(ts, "yyyyMMdd"))
-        .otherwise(F.date_format(ts, "MMM d, yyyy h:mm a"))
-    )
+    seconds = F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+    written = [
+        F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+        F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'"),
+        F.concat(seconds, F.lit("-05:00")),
+        F.date_format(ts, "M/d/yyyy H:mm"),
+        F.date_format(ts, "yyyyMMdd"),
+        F.date_format(ts, "MMM d, yyyy h:mm a"),
+        F.concat(seconds, F.lit(" UTC")),
+        F.concat(seconds, F.lit(" GMT")),
+        F.date_format(ts, "yyyy-MM-dd'T'HH:mm'Z'"),
+        F.date_format(ts, "yyyy/MM/dd HH:mm"),
+        F.date_format(ts, "MM/dd/yyyy h:mm a"),
+        F.date_format(ts, "MMMM d, yyyy"),
+        F.date_format(ts, "dd-MMM-yyyy"),
+        F.date_format(ts, "yyyyMMdd'T'HHmmss"),
+        F.date_format(ts, "yyyyMMdd HH:mm"),
+        F.concat(F.date_format(ts, "yyyy-MM-dd H:mm"), F.lit("-04:00")),
+        F.date_format(ts, "MM/dd/yy"),
+    ]
+    text = F.element_at(F.array(*written), (F.col("event_id") % len(written) + 1).cast("int"))
     clock = F.col("text")
     local = localised(wall_clock(clock, DATE_SHAPES), "UTC")
-    read = F.when(names_offset(clock), clock.try_cast("timestamp")).otherwise(local)
+    read = F.when(names_offset(clock), zoned_instant(clock, DATE_SHAPES)).otherwise(local)
     return I.table(spark, sf_dir, "events").select("event_id", text.alias("text")).select("event_id", read.alias("price_ts"))
 
 
@@ -206,17 +218,11 @@ def version_counts(spark, sf_dir):
 
 @query
 def price_as_of_point(spark, sf_dir):
-    """The first bar of the table, as believed before and after the restatement."""
+    """The first bar of the table, as believed at five moments around the restatement."""
     versions = I.merged_twice(spark, sf_dir)
     bar = _first_bar(spark, sf_dir)
     moments = (datetime(2023, 12, 31), I.FIRST_LOAD, datetime(2024, 1, 31, 23, 59, 59), I.RESTATED, I.RESENT)
-    answers = [
-        asof.price_as_of(versions, bar["source_name"], bar["symbol"].lower(), bar["price_ts"], moment).withColumn(
-            "asked", normalize.instant_literal(moment)
-        )
-        for moment in moments
-    ]
-    return normalize.union_feeds(answers)
+    return asof.price_as_of(versions, bar["source_name"], bar["symbol"].lower(), bar["price_ts"], *moments)
 
 
 @query
@@ -381,13 +387,12 @@ def run_rates(spark, sf_dir):
 
 @query
 def runs_latest(spark, sf_dir):
-    columns = ("run_id", "source_name", "status", "started_at", "rows_read", "rows_loaded", "rows_rejected")
-    return monitor.latest_runs(I.runs(spark, sf_dir)).select(*columns, "throughput_rows_per_sec", "error_rate")
+    return monitor.latest_runs(I.runs(spark, sf_dir)).select(*monitor.RUN_REPORT)
 
 
 @query
 def runs_last_failed(spark, sf_dir):
-    return monitor.last_failed(I.runs(spark, sf_dir)).select("run_id", "source_name", "started_at", "status")
+    return monitor.last_failed(I.runs(spark, sf_dir)).select(*monitor.FAILURE_REPORT)
 
 
 @query
@@ -418,7 +423,7 @@ def run_lookup(spark, sf_dir):
     """The ledger row of the last run by id."""
     runs = I.runs(spark, sf_dir)
     newest = runs.agg(F.max(F.col("run_id").cast("bigint")).cast("string").alias("id")).first()["id"]
-    return ledger.lookup(runs, newest).select("run_id", "source_name", "status", "rows_read", "error_rate")
+    return ledger.lookup(runs, newest).select(*monitor.RUN_REPORT, "created_at")
 
 
 @query

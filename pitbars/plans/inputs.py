@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitbars.contract import FeedContract, RowRules, TradingHours
-from pitbars.operators.ledger import with_rates
+from pitbars.operators.ledger import failure_document, with_rates
 from pitbars.operators.merge import first_load, temporal_merge
 from pitbars.operators.normalize import normalize, stage
 
@@ -81,9 +81,9 @@ def feed(spark: SparkSession, sf_dir: str, restated: bool = False) -> DataFrame:
         F.when(order % 89 == 0, "bad-date")
         .otherwise(F.concat(day.cast("string"), F.lit(" 14:30:00")))
         .alias("timestamp"),
-        price.cast("string").alias("open"),
+        F.when(order % 67 == 0, F.concat(F.lit("x"), price.cast("string"))).otherwise(price.cast("string")).alias("open"),
         (price + size).cast("string").alias("high"),
-        (price - size).cast("string").alias("low"),
+        F.when(order % 61 == 0, "-0.50").otherwise((price - size).cast("string")).alias("low"),
         sent_close.cast("string").alias("close"),
         F.when(order % 83 == 0, "-100")
         .when(order % 79 == 0, "12.5")
@@ -203,5 +203,11 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         (event % 250).alias("upsert_ms"),
         (1 + event % 3).alias("run_number"),
         F.col("value"),
+        (1000 + event % 500 - rejected).alias("rows_valid"),
+        (event % 5).alias("duplicates_dropped"),
+        F.when(failed, "failed").otherwise("passed").alias("reconciliation_status"),
+        F.when(failed, '{"status":"failed"}').otherwise('{"status":"passed"}').alias("reconciliation"),
+        F.when(failed, F.concat(F.lit("feed error stopped in run "), event.cast("string"))).alias("error_message"),
     )
-    return with_rates(counted)
+    document = failure_document(F.lit("FeedError"), F.col("error_message"))
+    return with_rates(counted).withColumn("failure_summary", F.when(F.col("status") == "failed", F.to_json(document)))

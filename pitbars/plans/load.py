@@ -15,13 +15,13 @@ from pyspark.sql import functions as F
 
 from pitbars.contract import FeedContract, pick
 from pitbars.operators import checks, ledger
-from pitbars.operators.merge import CHANGE, first_load, merge_active
-from pitbars.operators.normalize import REASON, accepted, dedupe_last, rejected, stage, tag
+from pitbars.operators.merge import CHANGE, changed_slots, first_load, merge_active
+from pitbars.operators.normalize import REASON, VENDOR_ROW, accepted, dedupe_last, rejected, stage, tag
 from pitbars.operators.reconcile import ReconciliationError, reconcile, verdict
 from pitbars.schemas import KEYS, RUN_COLUMNS, VERSION_COLUMNS
 from pitbars.session import require_utc
 from pitbars.sources.feed import FILE_ORDER, read_feed, write_rejections
-from pitbars.sources.store import Store, price_month
+from pitbars.sources.store import SLOT, ConflictError, Store, bucket, price_month
 
 CHANGES = ("carried", "inserted", "closed", "corrected", "unchanged")
 
@@ -45,7 +45,7 @@ class _Run:
         self.facts = dict.fromkeys(RUN_COLUMNS)
         self.facts.update(
             run_id=str(uuid4()), source_name=contract.name, file_path=path, status="running",
-            started_at=now, created_at=now, rows_read=0, rows_valid=0, rows_loaded=0, rows_rejected=0,
+            started_at=now, created_at=datetime.now(timezone.utc), rows_read=0, rows_valid=0, rows_loaded=0, rows_rejected=0,
             duplicates_dropped=0, throughput_rows_per_sec=Decimal(0), error_rate=Decimal(0),
             csv_parse_ms=0, transform_ms=0, copy_ms=0, upsert_ms=0,
             reconciliation_status="not_run", reconciliation="{}", failure_summary="{}",
@@ -83,9 +83,13 @@ def run_feed(
     retention_days: int = 90,
     rejection_folder: str | None = None,
 ) -> LoadReport:
-    """Load one CSV feed.  On any error the run is recorded as failed and the error re-raised."""
+    """Load one CSV feed.  On any error the run is recorded as failed and the error re-raised.
+
+    Retention runs after the record: its failure is raised but does not undo it.
+    """
     require_utc(store.spark)
     contract.checked()
+    ledger.retention_cutoff(datetime.now(timezone.utc), retention_days)
     now = now or datetime.now(timezone.utc)
     run = _Run(contract, str(contract.path), now)
     store.log(run.facts, 0)
@@ -93,9 +97,7 @@ def run_feed(
         raw = read_feed(store.spark, contract.path)
         run.lap("csv_parse_ms")
         changes, path = _load(store, contract, raw, run, now, valid_from or now, rejection_folder)
-        pruned = store.prune_runs(now, retention_days)
-        store.log(run.finish("completed"), 1)
-        return LoadReport(dict(run.facts), changes, path, pruned)
+        run.finish("completed")
     except Exception as error:
         if isinstance(error, ReconciliationError):
             run.facts["reconciliation_status"] = "failed"
@@ -105,6 +107,10 @@ def run_feed(
         run.facts["failure_summary"] = _failure_json(store, error)
         store.log(run.finish("failed"), 1)
         raise
+    store.log(run.facts, 1)
+    store.remove(store.work_folder(run.facts["run_id"]))
+    pruned = store.prune_runs(retention_days)
+    return LoadReport(dict(run.facts), changes, path, pruned)
 
 
 def _failure_json(store: Store, error: BaseException) -> str:
@@ -118,7 +124,7 @@ def _load(
 ) -> tuple[dict, str | None]:
     spark, facts = store.spark, run.facts
     work = store.work_folder(facts["run_id"])
-    head = store.head()
+    head = store.head(contract.name)
 
     # The tagged rows are written once: the CSV is parsed once, and a lost
     # executor later costs a Parquet read instead of the whole lineage.
@@ -127,7 +133,7 @@ def _load(
     tagged = tag(raw, contract, now, FILE_ORDER)
     tagged.observe(
         seen, F.count("*").alias("read"), F.count_if(~good).alias("refused")
-    ).withColumn("raw", F.when(~good, F.col("raw"))).write.parquet(f"{work}/tagged")
+    ).withColumn(VENDOR_ROW, F.when(~good, F.col(VENDOR_ROW))).write.parquet(f"{work}/tagged")
     facts["rows_read"], facts["rows_rejected"] = seen.get["read"], seen.get["refused"]
     tagged = spark.read.parquet(f"{work}/tagged")
     path = write_rejections(
@@ -141,17 +147,22 @@ def _load(
     staged, months = _stage(store, contract, tagged, f"{work}/staged", facts)
     run.lap("copy_ms")
 
-    folder, changes = _merge(store, contract, staged, months, valid_from, now, facts["run_id"])
+    folder, changes, kept = _merge(store, contract, staged, months, valid_from, now, facts["run_id"])
     run.lap("upsert_ms")
 
-    active = store.written(folder).where("state = 'active'")
+    active = store.read(kept)
+    if folder:
+        active = active.select(*VERSION_COLUMNS).unionByName(store.written(folder).where("state = 'active'").select(*VERSION_COLUMNS))
     per_symbol = reconcile(staged, active)
     report = f"{store.root}/reconciliation/run_id={facts['run_id']}"
     per_symbol.write.parquet(report)
     summary = verdict(spark.read.parquet(report)).first().asDict()
     if summary["status"] != "passed":
         raise ReconciliationError(summary)
-    store.commit(folder, contract.name, head)
+    if folder:
+        store.commit(folder, contract.name, head)
+    elif store.head(contract.name) != head:
+        raise ConflictError(f"another load of {contract.name!r} committed after {head}")
     facts["rows_loaded"] = facts["rows_valid"]
     facts["reconciliation_status"] = "passed"
     facts["reconciliation"] = json.dumps(summary, sort_keys=True)
@@ -184,23 +195,48 @@ def _stage(
         # Only fractions of a second can make two bars share a landing key.
         checks.demand({"one_active_version": checks.duplicate_keys(staged, KEYS).count()})
     months = [row["price_month"] for row in staged.select("price_month").distinct().collect()]
-    return staged.drop("price_month"), sorted(months)
+    return staged, sorted(months)
 
 
 def _merge(
     store: Store, contract: FeedContract, staged: DataFrame, months: list[int], valid_from: datetime, now: datetime,
     load_id: str,
-) -> tuple[str, dict]:
-    """Merge into the touched months only, and write the result unseen by readers."""
-    merged_rows = Observation()
+) -> tuple[str | None, dict, list[str]]:
+    """Merge into the slots that change, and write the result unseen by readers.
+
+    Returns the written folder (none if the feed says nothing new), the changes
+    and the folders of the touched months that stay in force.
+    """
     rules = checks.violation_columns(checks.version_rules())
     tally = [F.count_if(F.col(CHANGE) == change).alias(change) for change in CHANGES]
-    held = store.folders(contract.name, "active", months)
+    held = store.in_force(contract.name, "active", months).select(*SLOT, "folder", "rows").collect()
+    slots: dict[tuple, int] = {}
+    for row in held:
+        slots[row["price_month"], row["bucket"]] = slots.get((row["price_month"], row["bucket"]), 0) + row["rows"]
+    changes = dict.fromkeys(CHANGES, 0)
     if held:
-        merged = merge_active(store.read(held).select(*VERSION_COLUMNS), staged, valid_from, now)
+        # One join tells which slots change; the others are not written again.
+        active = store.read(sorted(row["folder"] for row in held))
+        changed, same = set(), {}
+        for row in changed_slots(active, staged.withColumn("bucket", bucket())).collect():
+            slot = row["price_month"], row["bucket"]
+            same[slot] = row["same"]
+            if row["differing"]:
+                changed.add(slot)
+        for slot in slots.keys() - changed:
+            changes["unchanged"] += same.get(slot, 0)
+            changes["carried"] += slots[slot] - same.get(slot, 0)
+        kept = sorted({row["folder"] for row in held if (row["price_month"], row["bucket"]) not in changed})
+        if not changed:
+            return None, changes, kept
+        in_slots = F.concat_ws("/", price_month().cast("string"), bucket().cast("string")).isin(*[f"{m}/{b}" for m, b in sorted(changed)])
+        active = store.read(sorted({row["folder"] for row in held} - set(kept)))
+        merged = merge_active(active.select(*VERSION_COLUMNS), staged.where(in_slots), valid_from, now)
     else:
+        kept = []
         merged = first_load(staged, valid_from, now).withColumn(CHANGE, F.lit("inserted"))
-    folder = store.write_versions(merged, contract.name, load_id, len(months), (merged_rows, *tally, *rules))
+    merged_rows = Observation()
+    folder = store.write_versions(merged, contract.name, load_id, (merged_rows, *tally, *rules))
     seen = merged_rows.get
     checks.demand({rule: count for rule, count in seen.items() if rule not in CHANGES})
-    return folder, {change: seen[change] for change in CHANGES}
+    return folder, {change: changes[change] + seen[change] for change in CHANGES}, kept

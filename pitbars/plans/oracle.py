@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pitbars.operators.ledger import DIAGNOSIS, ESCALATION, MITIGATION
+# Expected advice of a failed run, written out here on its own.
+_ADVICE = """"diagnosis":["Compare the first line of the file with the column names of the contract.","Open the file with the vendor's own reader; a changed delimiter or encoding shows there.","Ask the vendor whether the layout changed on purpose."],"mitigation":["Adapt the column mapping of the contract if the new layout stays.","Ask for the file again if it was cut off.","Start the load once more; nothing of this run was committed."],"escalation":["Hand over the file, the contract and the run_id to whoever owns the feed.","Say which columns are absent and since which delivery."]"""
 
 
 def _ts(column: str, name: str | None = None) -> str:
@@ -37,9 +38,9 @@ def _feed(name: str, close: str, day: str) -> str:
          WHEN l_linenumber = 1 THEN ' s' || CAST(l_suppkey AS VARCHAR)
          ELSE 'S' || CAST(l_suppkey AS VARCHAR) END AS symbol,
     CASE WHEN l_orderkey % 89 = 0 THEN 'bad-date' ELSE CAST({day} AS VARCHAR) || ' 14:30:00' END AS "timestamp",
-    CAST({price} AS VARCHAR) AS "open",
+    CASE WHEN l_orderkey % 67 = 0 THEN 'x' || CAST({price} AS VARCHAR) ELSE CAST({price} AS VARCHAR) END AS "open",
     CAST({price} + {size} AS VARCHAR) AS high,
-    CAST({price} - {size} AS VARCHAR) AS low,
+    CASE WHEN l_orderkey % 61 = 0 THEN '-0.50' ELSE CAST({price} - {size} AS VARCHAR) END AS low,
     CAST({close.format(plain=plain)} AS VARCHAR) AS "close",
     CASE WHEN l_orderkey % 83 = 0 THEN '-100' WHEN l_orderkey % 79 = 0 THEN '12.5'
          ELSE CAST(CAST(l_quantity AS BIGINT) * 100 AS VARCHAR) END AS volume,
@@ -144,7 +145,11 @@ _LINE = (
 
 
 def _sums(rows: str) -> str:
-    return f"SELECT symbol, count(*) AS n, md5(string_agg({_LINE}, '||' ORDER BY {_KEYS})) AS c FROM {rows} GROUP BY symbol"
+    """Ordered MD5 of each hour's lines, of each day's hours, of each symbol's days."""
+    return f"""SELECT symbol, CAST(sum(n) AS BIGINT) AS n, md5(string_agg(d, '||' ORDER BY day)) AS c FROM (
+  SELECT symbol, date_trunc('day', hour) AS day, sum(n) AS n, md5(string_agg(h, '||' ORDER BY hour)) AS d FROM (
+    SELECT symbol, date_trunc('hour', price_ts) AS hour, count(*) AS n, md5(string_agg({_LINE}, '||' ORDER BY {_KEYS})) AS h
+    FROM {rows} GROUP BY ALL) GROUP BY ALL) GROUP BY symbol"""
 
 
 def _compared(versions: str) -> str:
@@ -229,7 +234,10 @@ WITH counted AS (
     1000 + event_id % 7000 AS duration_ms, 1000 + event_id % 500 AS rows_read, event_id % 17 AS rows_rejected,
     CASE WHEN event_type = 'error' THEN 0 ELSE 1000 + event_id % 500 - event_id % 17 END AS rows_loaded,
     event_id % 90 AS csv_parse_ms, 400 + event_id % 300 AS transform_ms, event_id % 150 AS copy_ms,
-    event_id % 250 AS upsert_ms, 1 + event_id % 3 AS run_number, value
+    event_id % 250 AS upsert_ms, 1 + event_id % 3 AS run_number, value,
+    1000 + event_id % 500 - event_id % 17 AS rows_valid, event_id % 5 AS duplicates_dropped,
+    CASE WHEN event_type = 'error' THEN 'failed' ELSE 'passed' END AS reconciliation_status,
+    CASE WHEN event_type = 'error' THEN 'feed error stopped in run ' || event_id END AS error_message
   FROM events),
 runs AS (
   SELECT *,
@@ -267,10 +275,6 @@ phases AS (
   SELECT 'UPSERT merge', 4, upsert_ms FROM runs)""" + "," + _percentile("phases", "phase", "ms", 50, "med")
 
 
-def _json_list(lines: tuple[str, ...]) -> str:
-    return "[" + ",".join('"' + line.replace("'", "''") + '"' for line in lines) + "]"
-
-
 _FIRST_BAR = f"first_bar AS (SELECT {_KEYS} FROM loaded ORDER BY {_KEYS} LIMIT 1)"
 
 _US_SHIFTS = """
@@ -295,6 +299,7 @@ def oracle_sql() -> dict[str, str]:
     sql = {
         "feed_columns_mapped": """
 SELECT 'vendor_b' AS source_name, o_orderkey AS o1, 'c' || CAST(o_custkey AS VARCHAR) AS symbol,
+  strftime(o_orderdate, '%-m/%-d/%Y %-H:%M') AS "timestamp",
   CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS "open",
   CAST(CAST(o_totalprice AS DECIMAL(18,2)) + CAST(1 AS DECIMAL(18,2)) AS VARCHAR) AS high,
   CAST(CAST(o_totalprice AS DECIMAL(18,2)) - CAST(1 AS DECIMAL(18,2)) AS VARCHAR) AS low,
@@ -333,8 +338,11 @@ SELECT l_orderkey, l_partkey, l_linenumber, {_ts("local_ts")}, {_ts("price_ts")}
   strftime(timezone('America/New_York', timezone('UTC', price_ts)), '%Y-%m-%d %H:%M:%S.%f') AS shown
 FROM placed""",
         "timestamp_shapes": f"""
-SELECT event_id, {_ts('''CASE event_id % 6 WHEN 0 THEN ts WHEN 1 THEN date_trunc('second', ts)
-  WHEN 2 THEN date_trunc('second', ts) + INTERVAL 5 HOUR WHEN 4 THEN CAST(CAST(ts AS DATE) AS TIMESTAMP)
+SELECT event_id, {_ts('''CASE event_id % 17 WHEN 0 THEN ts WHEN 2 THEN date_trunc('second', ts) + INTERVAL 5 HOUR
+  WHEN 1 THEN date_trunc('second', ts) WHEN 6 THEN date_trunc('second', ts) WHEN 7 THEN date_trunc('second', ts)
+  WHEN 13 THEN date_trunc('second', ts) WHEN 15 THEN date_trunc('minute', ts) + INTERVAL 4 HOUR
+  WHEN 4 THEN CAST(CAST(ts AS DATE) AS TIMESTAMP) WHEN 11 THEN CAST(CAST(ts AS DATE) AS TIMESTAMP)
+  WHEN 12 THEN CAST(CAST(ts AS DATE) AS TIMESTAMP) WHEN 16 THEN CAST(CAST(ts AS DATE) AS TIMESTAMP)
   ELSE date_trunc('minute', ts) END''', 'price_ts')} FROM events""",
         "calendar_violations": f"""{_EXCHANGE}, shown AS (
   SELECT o1, price_ts, timezone('America/New_York', timezone('UTC', price_ts)) AS clock FROM placed)
@@ -428,11 +436,15 @@ FROM adjusted WHERE symbol = 'S4'""",
         + _CHANGES.format(staged="adjusted", differs=_differs("a", "s")),
         "run_rates": f"{RUNS} SELECT run_id, {_fixed('rate_cents', 2)} AS throughput_rows_per_sec, {_fixed('error_micros', 6)} AS error_rate FROM runs",
         "runs_latest": f"""{RUNS}
-SELECT run_id, source_name, status, {_ts("started_at")}, rows_read, rows_loaded, rows_rejected,
-  {_fixed('rate_cents', 2)} AS throughput_rows_per_sec, {_fixed('error_micros', 6)} AS error_rate
+SELECT run_id, source_name, status, {_ts("started_at")}, duration_ms, rows_read, rows_valid, rows_loaded, rows_rejected,
+  duplicates_dropped, {_fixed('rate_cents', 2)} AS throughput_rows_per_sec, csv_parse_ms, transform_ms, copy_ms, upsert_ms,
+  reconciliation_status, '{{"status":"' || reconciliation_status || '"}}' AS reconciliation,
+  {_fixed('error_micros', 6)} AS error_rate, error_message
 FROM runs ORDER BY runs.started_at DESC, run_id DESC LIMIT 20""",
         "runs_last_failed": f"""{RUNS}
-SELECT run_id, source_name, {_ts("started_at")}, status FROM runs WHERE status = 'failed'
+SELECT run_id, source_name, {_ts("started_at")}, error_message,
+  '{{"error_type":"FeedError","summary":"' || error_message || '",{_ADVICE.replace("'", "''")}}}' AS failure_summary
+FROM runs WHERE status = 'failed'
 ORDER BY runs.started_at DESC, run_id DESC LIMIT 1""",
         "runs_daily_trend": f"""{RUNS}, days AS (
   SELECT date_trunc('day', started_at) AS run_day, source_name, count(*) AS runs, CAST(sum(rows_read) AS BIGINT) AS rows_read,
@@ -449,11 +461,15 @@ SELECT run_id, source_name, CASE WHEN value >= 5 THEN status ELSE 'running' END
   CASE WHEN value >= 5 THEN rows_loaded ELSE 0 END AS rows_loaded, CASE WHEN value >= 5 THEN duration_ms ELSE -1 END AS duration_ms
 FROM runs""",
         "run_lookup": f"""{RUNS}
-SELECT run_id, source_name, status, rows_read, {_fixed('error_micros', 6)} AS error_rate FROM runs
+SELECT run_id, source_name, status, {_ts("started_at")}, duration_ms, rows_read, rows_valid, rows_loaded, rows_rejected,
+  duplicates_dropped, {_fixed('rate_cents', 2)} AS throughput_rows_per_sec, csv_parse_ms, transform_ms, copy_ms, upsert_ms,
+  reconciliation_status, '{{"status":"' || reconciliation_status || '"}}' AS reconciliation,
+  {_fixed('error_micros', 6)} AS error_rate, error_message,
+  {_ts("created_at")} FROM runs
 WHERE CAST(run_id AS BIGINT) = (SELECT max(event_id) FROM events)""",
         "failure_documents": f"""{RUNS}
 SELECT run_id, '{{"error_type":"FeedError","summary":"feed ' || source_name || ' stopped in run ' || run_id
-  || '","diagnosis":{_json_list(DIAGNOSIS)},"mitigation":{_json_list(MITIGATION)},"escalation":{_json_list(ESCALATION)}}}'
+  || '",{_ADVICE.replace("'", "''")}}}'
   AS failure_summary FROM runs WHERE status = 'failed'""",
         "bench_summary": f"""{RUNS}, steady AS (SELECT * FROM runs WHERE run_number IN (2, 3)),
 {_percentile('runs', 'source_name', 'duration_ms', 50, 'a')},{_percentile('runs', 'source_name', 'duration_ms', 95, 'b')},

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitbars.operators.normalize import quoted
+
 # Columns that restore the file order: Spark rows have none.
 FILE_ORDER = ("feed_file", "feed_block", "feed_row")
 
@@ -32,7 +34,7 @@ def read_feed(spark: SparkSession, path: str | Sequence[str], multi_line: bool =
         .csv(path if isinstance(path, str) else list(path))
     )
     return rows.select(
-        *[F.col(f"`{name}`") for name in rows.columns],
+        *map(quoted, rows.columns),
         F.col("_metadata.file_path").alias(FILE_ORDER[0]),
         F.col("_metadata.file_block_start").alias(FILE_ORDER[1]),
         F.monotonically_increasing_id().alias(FILE_ORDER[2]),

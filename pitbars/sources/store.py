@@ -1,38 +1,47 @@
 """The tables at rest: versions, actions, run ledger.
 
-``versions`` are immutable Parquet folders, one per load, split by state and
-price month.  ``commits`` is a small Parquet table naming the folders in force;
-appending one file to it is the commit, so a load that fails before that leaves
-readers untouched.  A load rewrites the active months it touches and appends
-the versions it closed; everything else is referenced, not copied.
-One writer per table at a time.
+``versions`` are immutable Parquet folders, one per load, split by state, price
+month and a bucket of the symbol.  ``commits`` holds one small file per source
+and commit, naming the folders it puts in force; a commit is the creation of
+that file, which fails if another writer of the source was faster, so of two
+loads of one source the second one is refused and loads of different sources do
+not meet.  A load rewrites the active slots it changes and appends the versions
+it closed; everything else is referenced, not copied.
 """
 
 from __future__ import annotations
 
+import json
+import os
 from collections.abc import Iterable
 from datetime import datetime, timezone
 from hashlib import md5
 from re import sub
+from urllib.parse import urlparse
 from uuid import uuid4
+from zlib import crc32
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitbars.operators import asof, checks, ledger
 from pitbars.operators.adjust import adjust_close, in_scope
+from pitbars.operators.normalize import instant_literal
 from pitbars.schemas import ACTION, KEYS, RUN, VERSION, VERSION_COLUMNS
 
-COMMIT = "commit_id long, committed_at timestamp, source_name string, state string, price_month int, folder string, replaces boolean"
+COMMIT = (
+    "commit_id long, committed_at timestamp, source_name string, state string, price_month int, bucket int, "
+    "folder string, replaces boolean, rows long, since timestamp, until timestamp"
+)
 EVENT = T.StructType([*RUN.fields, T.StructField("event_seq", T.LongType(), False)])
-PRUNE = "cutoff timestamp, pruned_at timestamp"
-FEW_MONTHS = 3
+SLOT = ("price_month", "bucket")
+# Buckets of the symbols of a month; a corrected bar rewrites one of them.
+BUCKETS = 4
 
 
 class ConflictError(RuntimeError):
-    """Another writer committed since this one looked."""
+    """Another writer of the source committed since this one looked."""
 
 
 def price_month() -> F.Column:
@@ -40,29 +49,60 @@ def price_month() -> F.Column:
     return (F.year("price_ts") * 100 + F.month("price_ts")).cast("int")
 
 
+def bucket() -> F.Column:
+    return (F.crc32(F.col("symbol").cast("binary")) % BUCKETS).cast("int")
+
+
+def bucket_of(symbol: str) -> int:
+    return crc32(symbol.encode()) % BUCKETS
+
+
+def source_key(source: str) -> str:
+    """Folder name of a source."""
+    return sub(r"[^A-Za-z0-9_]", "_", source) + "-" + md5(source.encode()).hexdigest()[:8]
+
+
 class Store:
     """Opens the tables under *root*, creating empty ones the first time."""
 
-    tables = {"ledger": EVENT, "ledger_prunes": PRUNE, "actions": ACTION, "commits": COMMIT}
-
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
+        for folder in ("commits", "ledger", "actions"):
+            self._fs().mkdirs(self._path(folder))
 
-        try:
-            spark.read.schema(COMMIT).parquet(f"{self.root}/commits")
-        except AnalysisException:
-            for name, schema in self.tables.items():
-                spark.createDataFrame([], schema).write.mode("append").parquet(f"{self.root}/{name}")
+    # -- files ------------------------------------------------------------
 
-    # -- plumbing ---------------------------------------------------------
+    def _path(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
 
-    def _table(self, name: str) -> DataFrame:
-        return self.spark.read.schema(self.tables[name]).parquet(f"{self.root}/{name}")
+    def _fs(self):
+        return self._path("").getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _append(self, name: str, rows: list) -> None:
-        """Append driver-made metadata rows as one file."""
-        self.spark.createDataFrame(rows, self.tables[name]).coalesce(1).write.mode("append").parquet(f"{self.root}/{name}")
+    def _create_once(self, name: str, text: str) -> bool:
+        """Create a file with its whole content unless it exists; readers never see a part of it."""
+        fs, folder = self._fs(), name.rpartition("/")[0]
+        fs.mkdirs(self._path(folder))
+        attempt = f"{folder}/_{uuid4().hex}"
+        out = fs.create(self._path(attempt))
+        out.write(bytearray(text.encode()))
+        out.close()
+        try:
+            if fs.getScheme() != "file":
+                return fs.rename(self._path(attempt), self._path(name))
+            # A local rename would replace the file; a link does not.
+            base = urlparse(self.root).path
+            os.link(f"{base}/{attempt}", f"{base}/{name}")
+            return True
+        except FileExistsError:
+            return False
+        finally:
+            fs.delete(self._path(attempt), False)
+
+    def remove(self, folder: str) -> None:
+        """Delete a folder given by its full path."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
     def work_folder(self, run_id: str) -> str:
         """Shared folder for intermediate tables: the cluster's checkpoint folder, else the store."""
@@ -71,26 +111,41 @@ class Store:
 
     # -- versions ---------------------------------------------------------
 
-    def head(self) -> int:
-        return self._table("commits").agg(F.coalesce(F.max("commit_id"), F.lit(0)).alias("id")).first()["id"]
+    def commits(self) -> DataFrame:
+        """Metadata: one row per commit, state, month and bucket."""
+        return self.spark.read.schema(COMMIT).option("recursiveFileLookup", True).json(f"{self.root}/commits")
 
-    def folders(
-        self, source: str | None = None, state: str | None = None, months: Iterable[int] | None = None
-    ) -> list[str]:
-        """Folders in force, from the commit table (metadata: one row per load, state and month)."""
-        commits = self._table("commits")
-        emptied_at = commits.where("source_name IS NULL").agg(F.coalesce(F.max("commit_id"), F.lit(0))).first()[0]
-        rows = commits.where("source_name IS NOT NULL").where(F.col("commit_id") > emptied_at)
+    def head(self, source: str) -> int:
+        own = self.commits().where(F.col("source_name") == source)
+        return own.agg(F.coalesce(F.max("commit_id"), F.lit(0)).alias("id")).first()["id"]
+
+    def in_force(
+        self,
+        source: str | None = None,
+        state: str | None = None,
+        months: Iterable[int] | None = None,
+        as_of: datetime | None = None,
+    ) -> DataFrame:
+        """Commit rows whose folders hold the table now; *as_of* leaves out folders by their knowledge times."""
+        rows = self.commits()
         if source is not None:
             rows = rows.where(F.col("source_name") == source)
+        emptied = rows.where("state IS NULL").groupBy("source_name").agg(F.max("commit_id").alias("emptied_at"))
+        rows = rows.where("state IS NOT NULL").join(emptied, "source_name", "left").where("commit_id > coalesce(emptied_at, 0)")
         if state is not None:
             rows = rows.where(F.col("state") == state)
         if months is not None:
             rows = rows.where(F.col("price_month").isin(*months))
-        slot = ("source_name", "state", "price_month")
+        slot = ("source_name", "state", *SLOT)
         since = rows.where("replaces").groupBy(*slot).agg(F.max("commit_id").alias("replaced_at"))
         live = rows.join(since, list(slot), "left").where("commit_id >= coalesce(replaced_at, 0)")
-        return sorted(row["folder"] for row in live.select("folder").distinct().collect())
+        if as_of is not None:
+            moment = instant_literal(as_of)
+            live = live.where((F.col("since") <= moment) & (F.col("until").isNull() | (F.col("until") > moment)))
+        return live
+
+    def folders(self, *where, **also) -> list[str]:
+        return sorted(row["folder"] for row in self.in_force(*where, **also).select("folder").distinct().collect())
 
     def versions(
         self, source: str | None = None, state: str | None = None, months: Iterable[int] | None = None
@@ -102,46 +157,42 @@ class Store:
         """Active versions; closed folders are not even listed."""
         return self.versions(source, "active", months)
 
+    def snapshot_as_of(self, as_of: datetime, source: str | None = None) -> DataFrame:
+        """The table as believed at a moment; folders whose knowledge times rule them out stay closed."""
+        return asof.snapshot_as_of(self.read(self.folders(source, as_of=as_of)), as_of)
+
     def price_as_of(self, source: str, symbol: str, price_ts: datetime, as_of: datetime) -> DataFrame:
-        """Point lookup that opens only the folders of the bar's source and month."""
+        """Point lookup that opens only the folders of the bar's source, month and bucket."""
         utc = price_ts.astimezone(timezone.utc) if price_ts.tzinfo else price_ts
-        held = self.versions(source, months=[utc.year * 100 + utc.month])
+        near = self.in_force(source, months=[utc.year * 100 + utc.month], as_of=as_of)
+        near = near.where(F.col("bucket") == bucket_of(symbol.upper()))
+        held = self.read([row["folder"] for row in near.select("folder").distinct().collect()])
         return asof.price_as_of(held, source, symbol, price_ts, as_of)
 
     def read(self, folders: list[str]) -> DataFrame:
-        """Version folders as one table, with their state and price month."""
-        schema = T.StructType(
-            [*VERSION.fields, T.StructField("state", T.StringType()), T.StructField("price_month", T.IntegerType())]
-        )
+        """Version folders as one table, with their state, price month and bucket."""
+        slot = [T.StructField("state", T.StringType()), *[T.StructField(name, T.IntegerType()) for name in SLOT]]
+        schema = T.StructType([*VERSION.fields, *slot])
         if not folders:
             return self.spark.createDataFrame([], schema)
         paths = [f"{self.root}/{folder}" for folder in folders]
         return self.spark.read.schema(schema).option("basePath", f"{self.root}/versions").parquet(*paths)
 
-    def write_versions(
-        self, rows: DataFrame, source: str, load_id: str, months: int, watch: tuple | None = None
-    ) -> str:
+    def write_versions(self, rows: DataFrame, source: str, load_id: str, watch: tuple | None = None) -> str:
         """Write versions to a fresh folder that no reader sees yet.
 
-        Every task may write a file per month, so a load over many months is
-        rebalanced first; one over a few skips that shuffle.  Sorting by key lets
-        Parquet statistics skip pages on lookups.  *watch* (an observation and its
-        metrics) is taken in the writing stage, whose tasks count once each even
-        when an executor is lost.
+        Rows are rebalanced by slot, so a slot is a few files however many tasks
+        there are.  Sorting by key lets Parquet statistics skip pages on lookups.
+        *watch* (an observation and its metrics) is taken in the writing stage,
+        whose tasks count once each even when an executor is lost.
         """
-        key = sub(r"[^A-Za-z0-9_]", "_", source) + "-" + md5(source.encode()).hexdigest()[:8]
-        folder = f"versions/feed={key}/load={load_id}"
-        placed = rows.select(
-            *rows.columns,
-            F.when(F.col("valid_to").isNull(), "active").otherwise("closed").alias("state"),
-            price_month().alias("price_month"),
-        )
-        if months > FEW_MONTHS:
-            placed = placed.hint("rebalance", "state", "price_month")
-        ordered = placed.sortWithinPartitions("state", "price_month", *KEYS)
+        folder = f"versions/feed={source_key(source)}/load={load_id}"
+        state = F.when(F.col("valid_to").isNull(), "active").otherwise("closed")
+        placed = rows.select(*rows.columns, state.alias("state"), price_month().alias("price_month"), bucket().alias("bucket"))
+        ordered = placed.hint("rebalance", "state", *SLOT).sortWithinPartitions("state", *SLOT, *KEYS)
         if watch is not None:
             ordered = ordered.observe(*watch)
-        ordered.select(*VERSION_COLUMNS, "state", "price_month").write.partitionBy("state", "price_month").parquet(f"{self.root}/{folder}")
+        ordered.select(*VERSION_COLUMNS, "state", *SLOT).write.partitionBy("state", *SLOT).parquet(f"{self.root}/{folder}")
         return folder
 
     def written(self, folder: str) -> DataFrame:
@@ -149,32 +200,45 @@ class Store:
         return self.read([folder])
 
     def commit(self, folder: str, source: str, head: int, replace: Iterable[str] = ("active",)) -> int:
-        """Put a written folder in force; *replace* names the states it supersedes month by month."""
-        slots = self.written(folder).groupBy("state", "price_month").agg(F.count("*")).collect()
-        if self.head() != head:
-            raise ConflictError(f"expected commit {head} at the head, found {self.head()}")
-        at = datetime.now(timezone.utc)
+        """Put a written folder in force; *replace* names the states it supersedes slot by slot."""
+        slots = self.written(folder).groupBy("state", *SLOT).agg(
+            F.count("*").alias("rows"), F.date_format(F.min("valid_from"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("since"),
+            F.date_format(F.when(F.count("*") == F.count("valid_to"), F.max("valid_to")), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("until"),
+        ).collect()
         replaced = set(replace)
         rows = [
-            (head + 1, at, source, s["state"], s["price_month"],
-             f"{folder}/state={s['state']}/price_month={s['price_month']}", s["state"] in replaced)
+            {**s.asDict(), "folder": f"{folder}/state={s['state']}/price_month={s['price_month']}/bucket={s['bucket']}",
+             "replaces": s["state"] in replaced}
             for s in slots
         ]
-        if not rows:
-            return head
-        self._append("commits", rows)
+        return self._commit(source, head, rows) if rows else head
+
+    def _commit(self, source: str, head: int, rows: list[dict]) -> int:
+        at = datetime.now(timezone.utc).isoformat()
+        lines = [json.dumps({"commit_id": head + 1, "committed_at": at, "source_name": source, **row}) for row in rows]
+        if self.head(source) != head or not self._create_once(f"commits/{source_key(source)}/{head + 1:012d}.json", "\n".join(lines)):
+            raise ConflictError(f"another load of {source!r} committed after {head}")
         return head + 1
 
     def clear(self) -> None:
-        """Commit an empty versions table and forget all runs."""
-        self._append("commits", [(self.head() + 1, datetime.now(timezone.utc), None, None, None, None, True)])
-        later = datetime(9999, 1, 1, tzinfo=timezone.utc)
-        self._append("ledger_prunes", [(later, datetime.now(timezone.utc))])
+        """Commit empty versions of every source and forget all runs."""
+        for row in self.commits().groupBy("source_name").agg(F.max("commit_id").alias("head")).collect():
+            self._commit(row["source_name"], row["head"], [{"state": None, "replaces": True}])
+        self._new_ledger(self.spark.createDataFrame([], EVENT))
+
+    def compact_closed(self, source: str) -> int:
+        """Rewrite the closed versions of a source as one folder per slot; returns the folders that went."""
+        head, before = self.head(source), self.folders(source, "closed")
+        if len(before) < 2:
+            return 0
+        folder = self.write_versions(self.read(before).select(*VERSION_COLUMNS), source, uuid4().hex)
+        self.commit(folder, source, head, replace=("closed",))
+        return len(before)
 
     # -- corporate actions ------------------------------------------------
 
     def actions(self) -> DataFrame:
-        return self._table("actions")
+        return self.spark.read.schema(ACTION).parquet(f"{self.root}/actions")
 
     def add_actions(self, actions: DataFrame) -> None:
         """Append actions after checking them together with those already held."""
@@ -187,21 +251,27 @@ class Store:
     ) -> int:
         """Adjusted close of every version in scope, closed ones too; returns the rows touched.
 
-        Only months that hold the symbol are rewritten.
+        Only the slots that hold the symbol are rewritten, and their checks are
+        taken while they are written.
         """
-        head = self.head()
+        head = self.head(source)
         moment = recorded_at or datetime.now(timezone.utc)
-        held = self.versions(source)
-        touched = in_scope(held, source, symbol).groupBy(price_month().alias("m")).agg(F.count("*").alias("n")).collect()
+        live = self.in_force(source)
+        if symbol is not None:
+            live = live.where(F.col("bucket") == bucket_of(symbol.upper()))
+        held = self.read(sorted(row["folder"] for row in live.select("folder").distinct().collect()))
+        touched = in_scope(held, source, symbol).groupBy(*SLOT).agg(F.count("*").alias("n")).collect()
         if not touched:
             return 0
-        rows = self.versions(source, months=[row["m"] for row in touched])
+        months = sorted({row["price_month"] for row in touched})
+        rows = held.where(F.col("price_month").isin(*months)).select(*VERSION_COLUMNS)
         fresh = adjust_close(rows, self.actions(), source, symbol, moment, zone)
         if symbol is not None:
             fresh = fresh.unionByName(rows.where(F.col("symbol") != F.upper(F.lit(symbol))))
-        folder = self.write_versions(fresh, source, uuid4().hex, len(touched))
-        demanded = self.written(folder).agg(*checks.violation_columns(self._adjusted_rules())).first()
-        checks.demand(demanded.asDict())
+        seen = Observation()
+        watch = (seen, *checks.violation_columns(self._adjusted_rules()))
+        folder = self.write_versions(fresh, source, uuid4().hex, watch)
+        checks.demand(seen.get)
         self.commit(folder, source, head, replace=("active", "closed"))
         return sum(row["n"] for row in touched)
 
@@ -212,18 +282,29 @@ class Store:
 
     # -- run ledger -------------------------------------------------------
 
+    def _generations(self) -> list[str]:
+        """Folders of the ledger, the one in use last; retention writes a new one and drops the others."""
+        found = self._fs().listStatus(self._path("ledger"))
+        return sorted(name for name in (f.getPath().getName() for f in found) if name.startswith("gen-"))
+
+    def _events(self) -> DataFrame:
+        held = self._generations()
+        if not held:
+            return self.spark.createDataFrame([], EVENT)
+        return self.spark.read.schema(EVENT).parquet(f"{self.root}/ledger/{held[-1]}")
+
+    def _new_ledger(self, events: DataFrame) -> None:
+        before = self._generations()
+        number = int(before[-1].removeprefix("gen-")) + 1 if before else 0
+        draft = f"ledger/_{uuid4().hex}"
+        events.coalesce(1).write.parquet(f"{self.root}/{draft}")
+        self._fs().rename(self._path(draft), self._path(f"ledger/gen-{number:08d}"))
+        for name in before:
+            self.remove(f"{self.root}/ledger/{name}")
+
     def runs(self) -> DataFrame:
         """One row per run that retention has kept, in its latest state."""
-        cutoff = self._table("ledger_prunes").agg(
-            F.max(F.when(F.col("cutoff") < "9999-01-01", F.col("cutoff"))).alias("cutoff"),
-            F.max(F.when(F.col("cutoff") >= "9999-01-01", F.col("pruned_at"))).alias("emptied_at"),
-        ).first()
-        events = self._table("ledger")
-        if cutoff["cutoff"] is not None:
-            events = events.where(F.col("created_at") >= F.lit(cutoff["cutoff"]))
-        if cutoff["emptied_at"] is not None:
-            events = events.where(F.col("created_at") > F.lit(cutoff["emptied_at"]))
-        return ledger.state(events)
+        return ledger.state(self._events())
 
     def run(self, run_id: str) -> dict:
         """One ledger row; a missing run is an error."""
@@ -233,18 +314,27 @@ class Store:
         return row.asDict()
 
     def log(self, event: dict, seq: int) -> None:
-        """Append one event of a run; the highest *seq* of a run is its state."""
-        row = {**event, "event_seq": seq}
-        self._append("ledger", [tuple(row.get(name) for name in EVENT.fieldNames())])
+        """Append one event of a run; the highest *seq* of a run is its state.
 
-    def prune_runs(self, now: datetime, days: int) -> int:
-        """Hide runs created before the retention cutoff; returns how many."""
+        The ledger's constraints hold here: known states, and a run starts once.
+        """
+        checks.demand_run(event)
+        if seq == 0 and not self._events().where(F.col("run_id") == event["run_id"]).isEmpty():
+            raise checks.ConstraintError({"unique_run": 1})
+        row = tuple({**event, "event_seq": seq}.get(name) for name in EVENT.fieldNames())
+        rows = self.spark.createDataFrame([row], EVENT).coalesce(1)
+        if not self._generations():
+            self._new_ledger(self.spark.createDataFrame([], EVENT))
+        rows.write.mode("append").parquet(f"{self.root}/ledger/{self._generations()[-1]}")
+
+    def prune_runs(self, days: int, now: datetime | None = None) -> int:
+        """Delete runs recorded before the retention cutoff, by the clock of the store; returns how many."""
+        moment = now or datetime.now(timezone.utc)
         before = self.runs()
-        keep = ledger.retained(before, now, days).count()
-        gone = before.count() - keep
+        kept = ledger.retained(before, moment, days).select("run_id")
+        gone = before.count() - kept.count()
         if gone:
-            cutoff = self.spark.range(1).select(ledger.retention_cutoff(now, days).alias("c")).first()["c"]
-            self._append("ledger_prunes", [(cutoff, now)])
+            self._new_ledger(self._events().join(kept, "run_id", "left_semi").select(*EVENT.fieldNames()))
         return gone
 
     def reconciliation(self, run_id: str) -> DataFrame:

@@ -105,7 +105,7 @@ def test_failures_leave_the_table_alone(spark, tmp_path, monkeypatch):
     assert document["error_type"] == "ReconciliationError" and failed["rows_loaded"] == 0
     assert all(document[k] for k in ("summary", "diagnosis", "mitigation", "escalation"))
     with pytest.raises(ConflictError):
-        store.commit(store.write_versions(store.versions(), "feed", "stale", 1), "feed", head=0)
+        store.commit(store.write_versions(store.versions(), "feed", "stale"), "feed", head=0)
 
 
 def test_empty_feed_passes_and_sources_run_in_order(spark, tmp_path):
@@ -121,14 +121,115 @@ def test_empty_feed_passes_and_sources_run_in_order(spark, tmp_path):
         run_feeds(store, [empty], "other")
 
 
-def test_retention(spark, tmp_path):
+def record(store, run, run_id, days):
+    """A finished run recorded some days ago."""
+    facts = {**run, "run_id": run_id, "created_at": datetime.now(timezone.utc) - timedelta(days=days)}
+    store.log({**facts, "status": "running"}, 0)
+    store.log(facts, 1)
+
+
+def test_retention_deletes(spark, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
     contract = FeedContract("feed", "UTC", path=write(tmp_path, line()))
-    run_feed(store, contract, NOW, NOW)
-    late = run_feed(store, contract, NOW + timedelta(days=91), NOW + timedelta(days=91))
-    assert late.retention_rows_deleted == 1 and store.runs().count() == 1
+    first = run_feed(store, contract, NOW, NOW)
+    record(store, first.run, "old", 91)
+    record(store, first.run, "young", 89)
+    # A backfill that says it is long ago is recorded now.
+    late = run_feed(store, contract, NOW - timedelta(days=400), NOW + timedelta(days=1))
+    assert late.retention_rows_deleted == 1 and store.run(late.run["run_id"])["status"] == "completed"
+    assert {r["run_id"] for r in store.runs().collect()} == {first.run["run_id"], "young", late.run["run_id"]}
+    assert spark.read.parquet(f"{store.root}/ledger/*").where("run_id = 'old'").count() == 0
     with pytest.raises(ValueError):
         ledger.retained(store.runs(), NOW, 0)
+    with pytest.raises(ValueError):
+        run_feed(store, contract, NOW, NOW, retention_days=0)
+    assert store.runs().count() == 3 and store.head("feed") == 1
+
+    store.clear()
+    assert store.runs().count() == 0 and store.versions().count() == 0
+    again = run_feed(store, contract, NOW, NOW)
+    assert store.run(again.run["run_id"])["rows_loaded"] == 1 and store.versions().count() == 1
+
+
+def test_a_failed_retention_keeps_the_record(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path / "store"))
+    monkeypatch.setattr(store, "prune_runs", lambda days: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run_feed(store, FeedContract("feed", "UTC", path=write(tmp_path, line())), NOW, NOW)
+    row = store.runs().first()
+    assert (row["status"], row["rows_loaded"], store.versions().count()) == ("completed", 1, 1)
+
+
+def test_ledger_constraints_on_write(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    run = run_feed(store, FeedContract("feed", "UTC", path=write(tmp_path, line())), NOW, NOW).run
+    with pytest.raises(checks.ConstraintError, match="unique_run"):
+        store.log(run, 0)
+    with pytest.raises(checks.ConstraintError, match="status"):
+        store.log({**run, "run_id": "x", "status": "crashed"}, 0)
+
+
+def test_only_changed_slots_are_written(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    rows = [line(s, f"2026-0{m}-02 09:30:00") for s in ("A", "B", "C", "D", "E", "F", "G", "H") for m in (1, 2, 3)]
+    contract = FeedContract("feed", "UTC", path=write(tmp_path, *rows))
+    run_feed(store, contract, NOW, NOW)
+    before = store.folders()
+    day = timedelta(days=1)
+    again = run_feed(store, contract, NOW, NOW + day)
+    assert again.changes == {"carried": 0, "inserted": 0, "closed": 0, "corrected": 0, "unchanged": 24}
+    assert store.folders() == before and store.head("feed") == 1
+    write(tmp_path, line("A", "2026-02-02 09:30:00", "7"), line("B", "2026-01-02 09:30:00"))
+    some = run_feed(store, contract, NOW, NOW + 2 * day)
+    assert some.changes == {"carried": 14, "inserted": 0, "closed": 1, "corrected": 1, "unchanged": 1}
+    fresh = set(store.folders()) - set(before)
+    assert len(fresh) == 2 and all("price_month=202602/bucket=" in f for f in fresh)
+    assert merge.version_counts(store.versions()).first().asDict() == {"total_versions": 25, "active_versions": 24}
+    assert store.snapshot_as_of(NOW + day).where("close_price = 7").count() == 0
+    assert store.snapshot_as_of(NOW + 3 * day).where("close_price = 7").count() == 1
+    # Folders of later knowledge, or of beliefs that ended before, are left alone.
+    assert not fresh & set(store.folders(as_of=NOW - day)) and len(store.folders(as_of=NOW + 3 * day)) == len(before)
+    write(tmp_path, line("A", "2026-02-02 09:30:00", "8"))
+    run_feed(store, contract, NOW, NOW + 4 * day)
+    assert store.compact_closed("feed") == 2 and len(store.folders("feed", "closed")) == 1
+    assert merge.version_counts(store.versions()).first().asDict() == {"total_versions": 26, "active_versions": 24}
+
+
+def test_writers_of_one_source_and_of_two(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path / "store"))
+    one = FeedContract("one", "UTC", path=write(tmp_path, line()))
+    run_feed(store, one, NOW, NOW)
+    folders = [store.write_versions(store.versions(), "one", name) for name in ("x", "y")]
+    with monkeypatch.context() as patch:
+        patch.setattr(store, "head", lambda source: 1)  # both looked before either committed
+        assert store.commit(folders[0], "one", 1) == 2
+        with pytest.raises(ConflictError):
+            store.commit(folders[1], "one", 1)
+    assert checks.duplicate_active(store.versions()).count() == 0 and store.head("one") == 2
+    # A load of another source that commits in between does not stop this one.
+    real = load_plan.reconcile
+
+    def meanwhile(staged, versions):
+        monkeypatch.setattr(load_plan, "reconcile", real)
+        run_feed(store, FeedContract("two", "UTC", path=one.path), NOW, NOW)
+        return real(staged, versions)
+
+    write(tmp_path, line(close="5"))
+    monkeypatch.setattr(load_plan, "reconcile", meanwhile)
+    run_feed(store, one, NOW, NOW + timedelta(days=1))
+    assert store.current("one").count() == 1 and store.current("two").count() == 1
+
+
+def test_vendor_headers_as_they_come(spark, tmp_path):
+    path = tmp_path / "odd.csv"
+    path.write_text("raw,Time (x),a.open,high,low,close,vol`ume,Adj. Close,ccy\nAAPL,2026-04-01 09:30:00,1,1,1,1,5,1,USD\nMSFT,oops,1,1,1,1,5,1,USD\n")
+    columns = {"symbol": "raw", "timestamp": "Time (x)", "open": "a.open", "high": "high", "low": "low", "close": "close",
+               "volume": "vol`ume", "adjusted_close": "Adj. Close", "currency": "ccy"}
+    store = Store(spark, str(tmp_path / "store"))
+    report = run_feed(store, FeedContract("odd", "UTC", path=str(path), columns=columns), NOW, NOW)
+    assert (report.run["rows_valid"], report.run["rows_rejected"]) == (1, 1)
+    refused = spark.read.option("header", True).csv(report.rejection_path)
+    assert set(refused.columns) == {*columns.values(), "rejection_reason"}
 
 
 def test_file_order_and_footprint(spark, tmp_path):

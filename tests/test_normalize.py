@@ -8,15 +8,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from pitbars.contract import ContractError, FeedContract, TradingHours, pick
-from pitbars.functions.clock import localised, names_offset, wall_clock, zone_shifts
+from pitbars.functions.clock import localised, names_offset, wall_clock, zone_shifts, zoned_instant
 from pitbars.functions.text import BLANKS, stripped, whole_number
 from pitbars.operators import normalize as N
 
 NEW_YORK = FeedContract("feed", "America/New_York")
 NOW = datetime(2026, 3, 14, tzinfo=timezone.utc)
 GOOD = {
-    "symbol": "AAPL", "timestamp": "2026-03-13 09:30:00", "open": "172.10", "high": "173.20", "low": "171.84",
-    "close": "172.95", "volume": "1482200", "adjusted_close": "172.95", "currency": "USD",
+    "symbol": "AAPL", "timestamp": "2026-03-13 09:30:00", "open": "58.25", "high": "59.00", "low": "57.75",
+    "close": "58.50", "volume": "640300", "adjusted_close": "58.50", "currency": "USD",
 }
 
 
@@ -39,19 +39,19 @@ def test_case_folding_duplicate_and_zone(spark):
     }
     bar = N.normalize(raw, NEW_YORK, ["n"], NOW).withColumn("price_ts", F.col("price_ts").cast("string")).first()
     assert (bar["symbol"], bar["currency"], bar["price_ts"]) == ("AAPL", "USD", "2026-03-13 13:30:00")
-    assert bar["close_price"] == Decimal("172.95")
+    assert bar["close_price"] == Decimal("58.50")
 
 
 def test_last_valid_duplicate_wins(spark):
-    raw = feed(spark, {"close": "172.00"}, {"close": "172.50"}, {"volume": "-1"})
+    raw = feed(spark, {"close": "58.00"}, {"close": "58.75"}, {"volume": "-1"})
     bars = N.normalize(raw, NEW_YORK, ["n"], NOW).collect()
-    assert [bar["close_price"] for bar in bars] == [Decimal("172.50")]
+    assert [bar["close_price"] for bar in bars] == [Decimal("58.75")]
 
 
 def test_row_rules(spark):
     cases = [
         ({"timestamp": "bad-date"}, "invalid_timestamp"),
-        ({"open": "901", "high": "895", "low": "900", "close": "899.75", "volume": "-10"},
+        ({"open": "33", "high": "31.5", "low": "32", "close": "31.75", "volume": "-6"},
          "negative_volume; invalid_high_low_envelope"),
         ({"timestamp": "2026-03-15 09:30:00"}, "future_timestamp"),
         ({"symbol": "  "}, "missing_required:symbol; invalid_symbol"),
@@ -110,7 +110,7 @@ def test_unmapped_adjusted_close_is_null(spark):
 
 
 def test_header_and_contract_errors(spark):
-    with pytest.raises(N.FeedError, match="CSV missing configured columns: high, open"):
+    with pytest.raises(N.FeedError, match="lacks columns its contract names: high, open"):
         N.map_columns(feed(spark, {}).drop("open", "high"), NEW_YORK)
     with pytest.raises(ContractError, match="close, volume"):
         replace(NEW_YORK, columns={c: c for c in GOOD if c not in ("close", "volume")}).checked()
@@ -132,13 +132,30 @@ def test_timestamp_texts(spark):
         "2026-03-13 09:30:00-04:00": "2026-03-13 13:30:00",
         "2026-03-13T09:30:00Z": "2026-03-13 09:30:00",
         "2026-03-13 09:30:00+0530": "2026-03-13 04:00:00",
+        "2026-03-13 09:30:00 UTC": "2026-03-13 09:30:00",
+        "2026-03-13 09:30:00 gmt": "2026-03-13 09:30:00",
+        "2026-03-13 09:30 America/New_York": "2026-03-13 13:30:00",
+        "2026-03-13 09:30:00 Nowhere/Town": None,
+        "2026-03-13 09:30:00 XYZ": None,
+        "2026-03-13T09:30Z": "2026-03-13 09:30:00",
+        "2026-03-13 9:30-04:00": "2026-03-13 13:30:00",
+        "2026-03-13 9:30 -4": "2026-03-13 13:30:00",
+        "03/13/2026 9:30 PM UTC": "2026-03-13 21:30:00",
+        "2026/03/13 09:30": "2026-03-13 09:30:00",
+        "03/13/2026 9:30 AM": "2026-03-13 09:30:00",
+        "March 13, 2026": "2026-03-13 00:00:00",
+        "13-Mar-2026": "2026-03-13 00:00:00",
+        "20260313T093000": "2026-03-13 09:30:00",
+        "20260313T0930Z": "2026-03-13 09:30:00",
+        "20260313 09:30": "2026-03-13 09:30:00",
+        "03/13/26": "2026-03-13 00:00:00",
         "now": None,
         "12:30Z": None,
         "2026-02-30": None,
     }
     rows = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "n int, t string")
     clock = F.col("t")
-    read = F.when(names_offset(clock), clock.try_cast("timestamp")).otherwise(
+    read = F.when(names_offset(clock), zoned_instant(clock, NEW_YORK.date_shapes)).otherwise(
         wall_clock(clock, NEW_YORK.date_shapes).cast("timestamp")
     )
     found = [r["x"] for r in rows.select("n", read.cast("string").alias("x")).orderBy("n").collect()]
@@ -156,6 +173,12 @@ def test_zone_edges(spark):
         ("2026-10-04 02:10:00", "Australia/Lord_Howe"): "2026-10-03 15:30:00",
         ("2011-12-30 12:00:00", "Pacific/Apia"): "2011-12-30 10:00:00",
         ("2026-06-01 12:00:00", "UTC"): "2026-06-01 12:00:00",
+        ("2199-03-10 02:30:00", "America/New_York"): "2199-03-10 07:00:00",
+        ("2301-03-10 02:30:00", "America/New_York"): "2301-03-10 07:00:00",
+        ("2301-11-03 01:30:00", "America/New_York"): None,
+        ("2301-11-03 02:00:00", "America/New_York"): "2301-11-03 07:00:00",
+        ("2701-03-10 02:30:00", "America/New_York"): "2701-03-10 07:00:00",
+        ("5101-11-03 01:30:00", "America/New_York"): None,
     }
     clock = F.col("c")
     rows = spark.createDataFrame([(n, c, z) for n, (c, z) in enumerate(cases)], "n int, c string, z string")
@@ -189,9 +212,9 @@ def test_dedupe_limits_before_the_exchange(spark):
 
 
 def test_staging_cuts_fractions(spark):
-    raw = feed(spark, {"timestamp": "2026-03-13 09:30:00.75", "close": "172.9500005"})
+    raw = feed(spark, {"timestamp": "2026-03-13 09:30:00.75", "close": "58.4500005"})
     bars = N.normalize(raw, NEW_YORK, ["n"], NOW)
     second = N.stage(bars, NEW_YORK).select(F.col("price_ts").cast("string"), "close_price").first()
-    assert tuple(second) == ("2026-03-13 13:30:00", Decimal("172.950001"))
+    assert tuple(second) == ("2026-03-13 13:30:00", Decimal("58.450001"))
     micro = N.stage(bars, replace(NEW_YORK, granularity="microsecond"))
     assert micro.select(F.col("price_ts").cast("string")).first()[0] == "2026-03-13 13:30:00.75"

@@ -93,8 +93,7 @@ def _history(spark, seed, keys=4, loads=9):
     return versions, moment
 
 
-@pytest.mark.parametrize("broadcast_keys", [0, 1000])
-def test_bulk_as_of_against_brute_force(spark, tmp_path, broadcast_keys):
+def test_bulk_as_of_against_brute_force(spark, tmp_path):
     versions, last = _history(spark, 7, loads=6)
     versions.write.parquet(str(tmp_path / "v"))
     versions = spark.read.parquet(str(tmp_path / "v"))
@@ -106,7 +105,7 @@ def test_bulk_as_of_against_brute_force(spark, tmp_path, broadcast_keys):
     rows = [(n, "feed", s.lower(), BAR_TS.isoformat(sep=" "), m.isoformat(sep=" ")) for n, (s, m) in enumerate(asked)]
     requests = spark.createDataFrame(rows, "n int, source_name string, symbol string, price_ts string, as_of string")
     requests = requests.withColumns({c: F.col(c).cast("timestamp") for c in ("price_ts", "as_of")})
-    answers = asof.price_as_of_many(versions, requests, "hour", broadcast_keys)
+    answers = asof.price_as_of_many(versions, requests, "hour")
     found = {r["n"]: (r["close_price"], r["f"]) for r in answers.withColumn("f", F.col("valid_from").cast("timestamp_ntz")).collect()}
     expected = {
         n: (v["close_price"], v["valid_from"])
@@ -140,16 +139,51 @@ def test_reconciliation(spark):
         assert reconcile.verdict(stale).first()["status"] == "failed"
 
 
-def test_ordered_checksum_is_the_md5_of_the_rendered_rows(spark):
+def nested_md5(lines):
+    """lines: (instant text, line), in order; MD5 by hour, by day, over the days."""
     from hashlib import md5
+    from itertools import groupby
 
+    def digest(parts):
+        return md5("||".join(parts).encode()).hexdigest()
+
+    hours = [(h, digest(x for _, x in g)) for h, g in groupby(lines, lambda e: e[0][:13])]
+    return digest(digest(x for _, x in g) for _, g in groupby(hours, lambda e: e[0][:10]))
+
+
+def test_ordered_checksum_has_one_form(spark):
     rows = bars(spark, bar(ts=BAR_TS + timedelta(minutes=1), close="2"), bar(close="1.5"))
     rows = rows.withColumn("adjusted_close", F.when(F.col("close_price") == 2, F.col("close_price")))
-    line = "feed|AAPL|2026-04-01T13:{}.000000|{p}|{p}|{p}|{p}|1000|{a}|USD".format
-    text = line("30:00", p="1.500000", a="") + "||" + line("31:00", p="2.000000", a="2.000000")
-    assert reconcile.symbol_checksums(rows, "md5").first()["checksum"] == md5(text.encode()).hexdigest()
-    large = reconcile.symbol_checksums(rows, "md5", ordered_rows=1).first()
-    assert large["checksum"] == reconcile.symbol_checksums(rows).first()["checksum"]
+    line = "feed|AAPL|{t}|{p}|{p}|{p}|{p}|1000|{a}|USD".format
+    first, second = "2026-04-01T13:30:00.000000", "2026-04-01T13:31:00.000000"
+    expected = [(first, line(t=first, p="1.500000", a="")), (second, line(t=second, p="2.000000", a="2.000000"))]
+    assert reconcile.symbol_checksums(rows, "md5").first()["checksum"] == nested_md5(expected)
+
+
+def test_ordered_checksum_of_a_large_symbol(spark):
+    n = 130_000
+    start = F.lit("2026-01-01 00:00:00").cast("timestamp_ntz").cast("timestamp")
+    rows = spark.range(n).select(
+        F.lit("feed").alias("source_name"), F.lit("A").alias("symbol"), (start + F.make_dt_interval(secs=F.col("id") * 7)).alias("price_ts"),
+        *[F.lit(Decimal("1.500000")).cast("decimal(18,6)").alias(c) for c in ("open_price", "high_price", "low_price", "close_price")],
+        F.col("id").alias("volume"), F.lit(None).cast("decimal(18,6)").alias("adjusted_close"), F.lit("USD").alias("currency"),
+    ).repartition(5)
+    found = reconcile.symbol_checksums(rows, "md5").first()
+    instants = [(datetime(2026, 1, 1) + timedelta(seconds=7 * i)).isoformat(timespec="microseconds") for i in range(n)]
+    price = "|".join(["1.500000"] * 4)
+    expected = nested_md5([(t, f"feed|A|{t}|{price}|{i}||USD") for i, t in enumerate(instants)])
+    assert (found["row_count"], found["checksum"]) == (n, expected)
+
+
+def test_building_plans_starts_no_job(spark):
+    rows = merge.first_load(bars(spark, bar()), FIRST)
+    requests = rows.select(*KEYS, F.col("valid_from").alias("as_of"))
+    tracker, before = spark.sparkContext.statusTracker(), None
+    spark.sparkContext.setJobGroup("build", "plans")
+    asof.price_as_of_many(rows, requests)
+    adjust.adjust_close(rows, actions(spark))
+    assert list(tracker.getJobIdsForGroup("build")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", before)
 
 
 def actions(spark, *rows):
@@ -163,9 +197,6 @@ def test_split_adjusts_all_earlier_versions(spark):
     adjusted = adjust.adjust_close(merge.first_load(rows, FIRST), split, "feed", "aapl")
     expected = [("100.000000", "50.000000"), ("110.000000", "110.000000")]
     assert shown(adjusted, "close_price", "adjusted_close") == expected
-    salted = adjust.with_actions(rows, split, few_actions=0)
-    value = adjust.adjusted(F.col("close_price"), F.col("actions"))
-    assert shown(salted.withColumn("adjusted_close", value), "close_price", "adjusted_close") == expected
 
 
 def test_fold_order_rounding_and_overflow(spark):
