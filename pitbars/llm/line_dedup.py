@@ -5,10 +5,10 @@ shared passages often begin within a physical line. Its hash is that of its text
 space; blank lines carry nothing and are skipped.
 
 From each line starts the shortest window of lines with ``LEAST`` words or more, and one ends at each
-line. The line with the smallest hash of a window is its fingerprint, so any run of that many words
-that two places share also shares a fingerprint. Fingerprints that occur once in the corpus are left
-out; around the others the windows are joined by content to their first place. Windows that follow
-each other extend a match to both sides, up to the whole run that the two places share.
+line. The least line of a window, longer ones first and then by hash, is its fingerprint, so any run of
+that many words that two places share also shares a fingerprint. Fingerprints that occur once in the
+corpus are left out; the windows around the others are joined by content to their first place. Windows
+that follow each other extend a match to both sides, up to the whole run that the two places share.
 
 Order is by (doc_id, character), nulls first. A window goes if its first place is in an earlier
 document, or ends before it in the same one; lines that lie in such windows are deleted, together
@@ -63,17 +63,20 @@ def lines(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return (*(np.array(x, dtype=np.int64) for x in (starts, ends)), np.array(hashes, dtype=np.uint64), np.array(sizes, dtype=np.int64))
 
 
-def windows(sizes: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
-    """First and last line of each window: the shortest from each line, and the shortest up to each."""
-    total = np.concatenate([[0], np.cumsum(sizes)])
+def windows(sizes: np.ndarray, text: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
+    """First and last line of each window: the shortest from each line, and the shortest up to each.
+    `text` numbers the texts, in order, that the lines belong to; no window leaves its text."""
     n = len(sizes)
+    total = np.concatenate([[0], np.cumsum(sizes)])
+    begin, end = np.searchsorted(text, text), np.searchsorted(text, text, side="right")
     last = np.searchsorted(total, total[:-1] + least)  # end (exclusive) of the window from each line
     first = np.searchsorted(total, total[1:] - least, side="right") - 1  # start of the window up to each
     i = np.arange(n)
-    a = np.concatenate([i[last <= n], first[first >= 0]])
-    b = np.concatenate([last[last <= n] - 1, i[first >= 0]])
-    pairs = np.unique(np.stack([a, b], axis=1), axis=0)
-    return pairs[:, 0], pairs[:, 1]
+    from_, upto = last <= end, first >= begin
+    a = np.concatenate([i[from_], first[upto]])
+    b = np.concatenate([last[from_] - 1, i[upto]])
+    pairs = np.unique(a * (n + 1) + b)
+    return pairs // (n + 1), pairs % (n + 1)
 
 
 def contents(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -84,14 +87,19 @@ def contents(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndar
     return x ^ (x >> np.uint64(32))
 
 
-def minima(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """The line with the smallest hash in each window, the first of equals: minima over doubling spans,
-    two of which cover a window."""
+def order(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The order of lines by which a window has its least one: longer ones first, then by hash."""
+    return (hashes >> np.uint64(8)) | ((np.uint64(255) - np.minimum(sizes, 255).astype(np.uint64)) << np.uint64(56))
+
+
+def minima(ranks: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The least line of each window, the first of equals: minima over doubling spans, two of which
+    cover a window."""
     level = np.frexp(last - first + 1)[1] - 1
-    spans = [np.arange(len(hashes))]
+    spans = [np.arange(len(ranks))]
 
     def least(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        return np.where(hashes[y] < hashes[x], y, x)
+        return np.where(ranks[y] < ranks[x], y, x)
 
     for k in range(int(level.max(initial=0))):
         spans.append(least(spans[-1][: -(1 << k)], spans[-1][1 << k :]))
@@ -102,79 +110,78 @@ def minima(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarra
     return out
 
 
+#: A window as it is packed: a hash of its lines, lines before and after the fingerprint.
+WINDOW = np.dtype([("content", "<i8"), ("before", "<u4"), ("after", "<u4")])
+
+
 def _fingerprints(least: int):
-    """Rows (id, part, print, line): the fingerprints of each document, once for each of its lines."""
+    """Rows (id, part, print, line, windows): each fingerprint of a text with the windows that have it."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            take, prints, places = [], [], []
-            for x, text in enumerate(batch.column(2).to_pylist()):
-                _, _, hashes, sizes = lines(text or "")
-                if sizes.sum() < least:
+        for whole in batches:
+            for x in range(0, whole.num_rows, 256):
+                batch = whole.slice(x, 256)
+                found = [lines(t or "") for t in batch.column(2).to_pylist()]
+                counts = np.array([len(f[3]) for f in found])
+                hashes, sizes = (np.concatenate([f[i] for f in found]) for i in (2, 3))
+                text = np.repeat(np.arange(len(found)), counts)
+                first, last = windows(sizes, text, least)
+                if not len(first):
                     continue
-                at = np.unique(minima(hashes, *windows(sizes, least)))
-                take.append(np.full(len(at), x))
-                prints.append(hashes[at])
-                places.append(at)
-            if take:
-                order = pa.array(np.concatenate(take))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(order), batch.column(1).take(order), pa.array(np.concatenate(prints).view(np.int64)), pa.array(np.concatenate(places).astype(np.int32))],
-                    ["id", "part", "print", "line"],
-                )
+                at = minima(order(hashes, sizes), first, last)
+                by = np.argsort(at, kind="stable")
+                packed = np.empty(len(by), dtype=WINDOW)
+                packed["content"] = contents(hashes, first, last).view(np.int64)[by]
+                packed["before"], packed["after"] = (at - first)[by], (last - at)[by]
+                marks, edges = np.unique(at[by], return_index=True)
+                offsets = np.append(edges, len(by)) * WINDOW.itemsize
+                column = pa.Array.from_buffers(pa.binary(), len(marks), [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(packed.tobytes())])
+                docs, begun = pa.array(text[marks]), np.cumsum(counts) - counts
+                columns = [hashes[marks].view(np.int64), (marks - begun[text[marks]]).astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(docs), batch.column(1).take(docs), *map(pa.array, columns), column], ["id", "part", "print", "line", "windows"])
 
     return run
 
 
-def _windows(least: int):
-    """Rows (id, part, content, begin, end): the windows around the given fingerprint lines."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            take, keys, begins, ends = [], [], [], []
-            for x, (text, marks) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
-                starts, stops, hashes, sizes = lines(text)
-                first, last = windows(sizes, least)
-                near = np.isin(minima(hashes, first, last), marks)
-                first, last = first[near], last[near]
-                take.append(np.full(len(first), x))
-                keys.append(contents(hashes, first, last))
-                begins.append(starts[first])
-                ends.append(stops[last])
-            if take:
-                order = pa.array(np.concatenate(take))
-                columns = [np.concatenate(keys).view(np.int64), np.concatenate(begins).astype(np.int32), np.concatenate(ends).astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(order), batch.column(1).take(order), *map(pa.array, columns)], ["id", "part", "content", "begin", "end"])
-
-    return run
+def _unpacked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (id, part, content, first, last), one for each window."""
+    for whole in batches:
+        for x in range(0, whole.num_rows, 4096):
+            batch = whole.slice(x, 4096)
+            packed = [np.frombuffer(w, dtype=WINDOW) for w in batch.column(3).to_pylist()]
+            take = np.repeat(np.arange(len(packed)), [len(p) for p in packed])
+            rows, docs = np.concatenate(packed) if packed else np.empty(0, dtype=WINDOW), pa.array(take)
+            line = batch.column(2).to_numpy(zero_copy_only=False)[take]
+            columns = [rows["content"].copy(), (line - rows["before"]).astype(np.int32), (line + rows["after"]).astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(docs), batch.column(1).take(docs), *map(pa.array, columns)], ["id", "part", "content", "first", "last"])
 
 
 def runs(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """(id, part, runs): the windows to delete, an array of (begin, end) in characters, of each document
-    that has any; `docs`: id long, part int (tells rows with one id apart), text."""
+    """(id, part, runs): the windows to delete, an array of (first, last) line, of each document that
+    has any; `docs`: id long, part int (tells rows with one id apart), text."""
     key = ["id", "part"]
-    prints = cut(docs.select("id", "part", "text").mapInArrow(_fingerprints(least), "id long, part int, print long, line int"), "prints")
+    prints = docs.select("id", "part", "text").mapInArrow(_fingerprints(least), "id long, part int, print long, line int, windows binary")
+    prints = cut(prints, "prints")
     where = F.xxhash64("id", "part", "line")
     shared = prints.groupBy("print").agg(F.min(where).alias("x"), F.max(where).alias("y")).where("x <> y")
-    marks = prints.join(shared.select("print"), "print", "left_semi").groupBy(*key).agg(F.collect_set("line").alias("marks"))
-    marks = marks.select(F.col("id").alias("i"), F.col("part").alias("p"), "marks")  # lines of one document
-    marked = docs.join(marks, F.col("id").eqNullSafe(F.col("i")) & (F.col("part") == F.col("p"))).select("id", "part", "text", "marks")
-    found = cut(marked.mapInArrow(_windows(least), "id long, part int, content long, begin int, end int"), "windows")
-    order = F.struct(F.col("id").isNotNull(), "id", "part", "begin", "end")
-    first = found.groupBy("content").agg(F.min(order).alias("f"), F.count("*").alias("n")).where("n > 1")
-    first = first.select("content", F.col("f.id").alias("i"), F.col("f.part").alias("p"), F.col("f.end").alias("e"))
-    later = ~(F.col("id").eqNullSafe(F.col("i")) & (F.col("part") == F.col("p"))) | (F.col("e") <= F.col("begin"))
+    near = prints.join(shared.select("print"), "print", "left_semi").select("id", "part", "line", "windows")
+    found = cut(near.mapInArrow(_unpacked, "id long, part int, content long, first int, last int"), "windows")
+    place = F.struct(F.col("id").isNotNull(), "id", "part", "first", "last")
+    first = found.groupBy("content").agg(F.min(place).alias("f"), F.count("*").alias("n")).where("n > 1")
+    first = first.select("content", F.col("f.id").alias("i"), F.col("f.part").alias("p"), F.col("f.last").alias("e"))
+    later = ~(F.col("id").eqNullSafe(F.col("i")) & (F.col("part") == F.col("p"))) | (F.col("e") < F.col("first"))
     # Rows with one id, or none, come in the order of their text's hash.
-    return found.join(first, "content").where(later).groupBy(*key).agg(F.collect_set(F.struct("begin", "end")).alias("runs"))
+    return found.join(first, "content").where(later).groupBy(*key).agg(F.collect_set(F.struct("first", "last")).alias("runs"))
 
 
 def without(text: str, gone: list[tuple[int, int]]) -> str:
-    """The text without the given stretches; what is left keeps a line break where one was deleted."""
+    """The text without the lines of the given windows (first, last) and what lies between them."""
+    starts, ends, _, _ = lines(text)
     out, at = [], 0
-    for begin, end in sorted(gone):
-        if begin > at:
-            out.append(text[at:begin])
-        at = max(at, end)
+    for first, last in sorted(gone):
+        if starts[first] > at:
+            out.append(text[at : starts[first]])
+        at = max(at, int(ends[last]))
     out.append(text[at:])
     return "".join(out)
 
@@ -204,7 +211,7 @@ def dedup(docs: DataFrame, least: int = LEAST, text: str = "text") -> DataFrame:
                 texts = columns[at].to_pylist()
                 for x, found in enumerate(stretches.to_pylist()):
                     if found:
-                        left = without(texts[x], [(r["begin"], r["end"]) for r in found])
+                        left = without(texts[x], [(r["first"], r["last"]) for r in found])
                         deleted[x] = len(texts[x]) - len(left)
                         texts[x] = left
                 columns[at] = pa.array(texts, columns[at].type)

@@ -22,10 +22,10 @@ def brute(rows, least):
                 n = sizes[a : b + 1].sum()
                 if n >= least:
                     key = tuple(content[a : b + 1])
-                    first = seen.setdefault(key, (i, starts[a], ends[b]))
+                    first = seen.setdefault(key, (i, a, b))
                     if n - sizes[a] < least or n - sizes[b] < least:
-                        if first[0] != i or first[2] <= starts[a]:
-                            gone.append((int(starts[a]), int(ends[b])))
+                        if first[0] != i or first[2] < a:
+                            gone.append((a, b))
         out[i] = ld.without(text, gone)
     return out
 
