@@ -164,11 +164,13 @@ def runs(docs: DataFrame, least: int = LEAST) -> DataFrame:
     prints = cut(prints, "prints")
     where = F.xxhash64("id", "part", "line")
     shared = prints.groupBy("print").agg(F.min(where).alias("x"), F.max(where).alias("y")).where("x <> y")
-    near = prints.join(shared.select("print"), "print", "left_semi").select("id", "part", "line", "windows")
+    # Written, so that the join's two sides are shuffled by it and a frequent line can be split.
+    shared = cut(shared.select("print"), "shared")
+    near = prints.join(shared, "print", "left_semi").select("id", "part", "line", "windows")
     found = cut(near.mapInArrow(_unpacked, "id long, part int, content long, first int, last int"), "windows")
     place = F.struct(F.col("id").isNotNull(), "id", "part", "first", "last")
     first = found.groupBy("content").agg(F.min(place).alias("f"), F.count("*").alias("n")).where("n > 1")
-    first = first.select("content", F.col("f.id").alias("i"), F.col("f.part").alias("p"), F.col("f.last").alias("e"))
+    first = cut(first.select("content", F.col("f.id").alias("i"), F.col("f.part").alias("p"), F.col("f.last").alias("e")), "first")
     later = ~(F.col("id").eqNullSafe(F.col("i")) & (F.col("part") == F.col("p"))) | (F.col("e") < F.col("first"))
     # Rows with one id, or none, come in the order of their text's hash.
     return found.join(first, "content").where(later).groupBy(*key).agg(F.collect_set(F.struct("first", "last")).alias("runs"))

@@ -11,9 +11,11 @@ diagonals that such a pair cannot leave. For edits that keep the order this is t
 of the shingles. A text of fewer than five words is one shingle; texts without a word stay alone.
 
 Equal texts are one node from the start, so thousands of exact copies cost one. Buckets are not
-expanded into pairs: in each bucket the members are compared with a leader, linked members become
-one component, and buckets that still hold several components go on with more leaders, twice as
-many each time, until every pair of components of a bucket was either joined or compared in full.
+expanded into pairs: in each bucket the members are compared with a leader, and linked members become
+one component. Buckets that still hold several components are split by one further sketch, which
+keeps near copies together and parts texts that share a passage only, and each part gets a leader of
+its own, and so on. Each round costs as many comparisons as there are members left. What several
+sketches more can't resolve is compared in full, leader by leader.
 """
 
 from __future__ import annotations
@@ -30,9 +32,11 @@ from pitbars.llm.common import cut, numbered, picked, place
 
 WORDS, SIMILARITY = 5, 0.8
 SKETCHES, DEPTH = 24, 4
+#: Further sketches that split buckets.
+FURTHER = 12
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_ODD = (np.random.default_rng(20240229).integers(1, 1 << 63, size=(SKETCHES, 2), dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
+_ODD = (np.random.default_rng(20240229).integers(1, 1 << 63, size=(SKETCHES + FURTHER, 2), dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 
 
 class WordHashes(dict):
@@ -80,19 +84,19 @@ def labelled(hashes: np.ndarray) -> np.ndarray:
     return np.where(seen == 0, hashes, mixed(hashes + seen * _MIX))
 
 
-def sketch(hashes: np.ndarray) -> np.ndarray:
-    """The buckets of a text, one of each sketch."""
-    base = labelled(hashes)
+def sketch(hashes: np.ndarray, first: int = 0, n: int = SKETCHES) -> np.ndarray:
+    """The buckets of a text in n sketches from `first` on."""
+    base, keys = labelled(hashes), _ODD[first : first + n]
     depth = min(DEPTH, len(base))
-    least = np.empty((SKETCHES, depth), dtype=np.int64)
+    least = np.empty((n, depth), dtype=np.int64)
     step = max(1, 1_000_000 // len(base))  # sketches at a time, so that long texts stay small in memory
-    for i in range(0, SKETCHES, step):
-        order = base * _ODD[i : i + step, :1]
+    for i in range(0, n, step):
+        order = base * keys[i : i + step, :1]
         order ^= order >> np.uint64(29)
-        order *= _ODD[i : i + step, 1:]
+        order *= keys[i : i + step, 1:]
         least[i : i + step] = np.argpartition(order, depth - 1, axis=1)[:, :depth]
     least.sort(axis=1)
-    out = np.arange(1, SKETCHES + 1, dtype=np.uint64)
+    out = np.arange(first + 1, first + n + 1, dtype=np.uint64)
     for column in base[least].T:
         out = (out * _MIX) ^ column
         out = (out ^ (out >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
@@ -121,6 +125,8 @@ def common(a: np.ndarray, b: np.ndarray, least: int) -> int:
     above, below = len(a) + kept - least, len(b) + kept - least  # left out of a, of b
     if above < 0 or below < 0:
         return 0
+    if np.count_nonzero(np.isin(a, b)) + kept < least:
+        return kept
     places: dict[int, int] = {}
     for i, x in enumerate(a.tolist()):
         places[x] = places.get(x, 0) | (1 << i)
@@ -166,6 +172,13 @@ def _sketches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(sizes, pa.int32()), pa.array(signed, pa.int64())], ["node", "n", "bucket"])
 
 
+def _further(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (node, more): the further sketches of each text."""
+    for batch in batches:
+        more = [sketch(h, SKETCHES, FURTHER).view(np.int64).tolist() if len(h := shingles(t)) else [0] * FURTHER for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(more, pa.list_(pa.int64()))], ["node", "more"])
+
+
 def _verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     memory: dict[bytes, np.ndarray] = {}
     for batch in batches:
@@ -207,6 +220,19 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def joined_up(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (node, root) after further links: the components are the nodes of a smaller graph."""
+    for end in ("a", "b"):
+        own = roots.select(F.col("node").alias(end), F.col("root").alias(f"r{end}"))
+        links = links.join(own, end, "left").withColumn(f"r{end}", F.coalesce(f"r{end}", end))
+    links = cut(links.select("a", "b", "ra", "rb"), "links")
+    merged = components(links.where("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+    new = links.select(F.col("a").alias("node"), F.col("ra").alias("root")).union(links.select("b", "rb"))
+    every = roots.union(new).distinct()
+    further = merged.select(F.col("node").alias("root"), F.col("root").alias("further"))
+    return cut(every.join(further, "root", "left").select("node", F.coalesce("further", "root").alias("root")), "roots")
+
+
 def near_copies(texts: DataFrame) -> DataFrame:
     """(node, root) for nodes that have near copies; `texts`: node binary, text, equal texts with one node.
 
@@ -221,28 +247,50 @@ def near_copies(texts: DataFrame) -> DataFrame:
     wanted = texts.join(members.select("node").distinct(), "node", "left_semi")
     texts = cut(wanted.groupBy("node").agg(F.first("text").alias("text")), "candidates")
 
-    place_of = F.xxhash64("bucket", "node")  # another order of members in each bucket
-    least = members.groupBy("bucket").agg(F.min(F.struct(place_of.alias("p"), "node", "n")).alias("l"))
-    pairs = members.join(least, "bucket").select("node", "n", F.col("l.node").alias("leader"), F.col("l.n").alias("m"))
-    compared = cut(_candidates(pairs), "compared")
-    links = cut(_checked(compared, texts), "links")
-    leaders = 1
-    while True:
-        roots = components(links)
-        grouped = members.join(roots, "node", "left").select("bucket", "node", "n", F.coalesce("root", "node").alias("root"))
-        open_ = grouped.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("size")).where(f"x <> y and size > {leaders + 1}")
-        rest = cut(grouped.join(open_.select("bucket"), "bucket", "left_semi"), "open")
+    further = cut(texts.mapInArrow(_further, "node binary, more array<bigint>"), "further")
+    compared = cut(_candidates(_with_leaders(members)), "compared")
+    roots = components(cut(_checked(compared, texts), "links"))
+    for level in range(FURTHER):
+        rest = _open(members, roots)
         if rest.isEmpty():
             return roots
-        members = rest.select("bucket", "node", "n")
+        part = F.xxhash64("bucket", F.element_at("more", level + 1))
+        members = rest.join(further, "node").select("node", "n", part.alias("bucket"))
+        shared = members.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last")
+        members = cut(members.join(shared.select("bucket"), "bucket", "left_semi"), "members")
+        roots, compared = _compare(_with_leaders(members), texts, roots, compared)
+    leaders = 1
+    while not (rest := _open(members, roots, leaders + 1)).isEmpty():
         leaders *= 2
-        ranked = rest.withColumn("r", F.row_number().over(Window.partitionBy("bucket").orderBy(place_of, "node")))
-        chosen = ranked.where(F.col("r") <= leaders).select("bucket", F.col("node").alias("leader"), F.col("n").alias("m"), F.col("root").alias("other"))
-        pairs = rest.join(chosen, "bucket").where("root <> other").select("node", "n", "leader", "m")
-        fresh = _candidates(pairs).join(compared, ["a", "b"], "left_anti")
-        fresh = cut(fresh, "compared")
-        compared = compared.union(fresh)
-        links = links.union(cut(_checked(fresh, texts), "links"))
+        order = Window.partitionBy("bucket").orderBy(F.xxhash64("bucket", "node"), "node")
+        chosen = rest.withColumn("r", F.row_number().over(order)).where(F.col("r") <= leaders)
+        chosen = chosen.select("bucket", F.col("node").alias("leader"), F.col("n").alias("m"), F.col("root").alias("other"))
+        members = rest.select("bucket", "node", "n")
+        roots, compared = _compare(rest.join(chosen, "bucket").where("root <> other"), texts, roots, compared)
+    return roots
+
+
+def _with_leaders(members: DataFrame) -> DataFrame:
+    """Each member of a bucket beside the bucket's leader, the first in an order of its own."""
+    first = F.min(F.struct(F.xxhash64("bucket", "node").alias("p"), "node", "n")).alias("l")
+    least = members.groupBy("bucket").agg(first)
+    return members.join(least, "bucket").select("node", "n", F.col("l.node").alias("leader"), F.col("l.n").alias("m"))
+
+
+def _open(members: DataFrame, roots: DataFrame, compared: int = 2) -> DataFrame:
+    """Members, with their roots, of the buckets that hold several components; with `compared` members
+    or fewer a bucket's leaders have met all others."""
+    grouped = members.join(roots, "node", "left").select("bucket", "node", "n", F.coalesce("root", "node").alias("root"))
+    kinds = grouped.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("size"))
+    kinds = kinds.where(f"x <> y and size > {compared}")
+    return cut(grouped.join(kinds.select("bucket"), "bucket", "left_semi"), "open")
+
+
+def _compare(pairs: DataFrame, texts: DataFrame, roots: DataFrame, compared: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The components after the pairs that were not compared before, and all compared pairs."""
+    fresh = cut(_candidates(pairs).join(compared, ["a", "b"], "left_anti"), "compared")
+    links = cut(_checked(fresh, texts), "links")
+    return roots if links.isEmpty() else joined_up(roots, links), compared.union(fresh)
 
 
 def _candidates(pairs: DataFrame) -> DataFrame:
