@@ -7,29 +7,34 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from pitbars.llm import line_dedup, order_minhash, packing, secrets_scan, toxicity
-from pitbars.llm.common import checkpoint_dir, table
+from pitbars.llm.common import checkpoint_dir, shipped, table
 
 
+@shipped
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below the limit."""
     return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
+@shipped
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without later copies of runs of lines; documents of which nothing is left go."""
     return line_dedup.drop_repeats(docs)
 
 
+@shipped
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies."""
     return order_minhash.drop_copies(docs)
 
 
+@shipped
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with their secrets replaced."""
     return secrets_scan.redact(docs)
 
 
+@shipped
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all texts in sequences for training."""
     return packing.pack(docs)

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
+from zipfile import ZipFile
 
 from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +15,34 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that their Python can import it."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).parent.parent
+    archive = f"{tempfile.mkdtemp(prefix='pitbars-')}/pitbars.zip"
+    with ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
+def shipped(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The same query, run after ship()."""
+
+    @wraps(query)
+    def run(spark: SparkSession, *rest) -> DataFrame:
+        ship(spark)
+        return query(spark, *rest)
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -48,11 +81,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return named or context._jsc.sc().getCheckpointDir().get()
 
 
-def cut(df: DataFrame, name: str = "cut") -> DataFrame:
-    """The rows written as a table in the shared folder and read again: short lineage, computed once."""
+def cut(df: DataFrame, name: str = "cut", watch: tuple | None = None) -> DataFrame:
+    """The rows written as a table in the shared folder and read again: short lineage, computed once.
+    `watch`, an observation and its metrics, is taken while they are written."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.observe(*watch) if watch else df).write.parquet(path)
     return spark.read.schema(nullable(df.schema)).parquet(path)
 
 

@@ -11,11 +11,11 @@ diagonals that such a pair cannot leave. For edits that keep the order this is t
 of the shingles. A text of fewer than five words is one shingle; texts without a word stay alone.
 
 Equal texts are one node from the start, so thousands of exact copies cost one. Buckets are not
-expanded into pairs: in each bucket the members are compared with a leader, and linked members become
-one component. Buckets that still hold several components are split by one further sketch, which
-keeps near copies together and parts texts that share a passage only, and each part gets a leader of
-its own, and so on. Each round costs as many comparisons as there are members left. What several
-sketches more can't resolve is compared in full, leader by leader.
+expanded into pairs: in each bucket the members are compared with a leader, the least node. Each
+bucket is split by a further sketch, and the parts by another one, which keeps near copies together
+and parts texts that share a passage only; each part has a leader of its own. Linked nodes become one
+component. Parts that still hold several components are split further, round by round, until none is
+left or a round finds no new link. A round costs at most as many comparisons as there are members.
 """
 
 from __future__ import annotations
@@ -25,15 +25,15 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pitbars.llm.common import cut, numbered, picked, place
 
 WORDS, SIMILARITY = 5, 0.8
 SKETCHES, DEPTH = 24, 4
-#: Further sketches that split buckets.
-FURTHER = 12
+#: Further sketches that split buckets, and how many of them are used from the start.
+FURTHER, AT_ONCE = 8, 2
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _ODD = (np.random.default_rng(20240229).integers(1, 1 << 63, size=(SKETCHES + FURTHER, 2), dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -214,9 +214,10 @@ def components(links: DataFrame) -> DataFrame:
         around = edges.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("least"))
         nearer = labels.join(around, "node").select("node", F.col("root").alias("was"), F.least("root", "least").alias("root"))
         jump = labels.select(F.col("node").alias("root"), F.col("root").alias("further"))
-        after = cut(nearer.join(jump, "root", "left").select("node", "was", F.least("root", F.coalesce("further", "root")).alias("root")), "labels")
-        labels = after.select("node", "root")
-        if after.where("was <> root").isEmpty():
+        after = nearer.join(jump, "root", "left").select("node", "was", F.least("root", F.coalesce("further", "root")).alias("root"))
+        changes = Observation()
+        labels = cut(after, "labels", (changes, F.count_if(F.col("was") != F.col("root")).alias("n"))).select("node", "root")
+        if not changes.get["n"]:
             return labels
 
 
@@ -248,49 +249,39 @@ def near_copies(texts: DataFrame) -> DataFrame:
     texts = cut(wanted.groupBy("node").agg(F.first("text").alias("text")), "candidates")
 
     further = cut(texts.mapInArrow(_further, "node binary, more array<bigint>"), "further")
-    compared = cut(_candidates(_with_leaders(members)), "compared")
+    # A bucket, its parts and their parts: each member has AT_ONCE + 1 places.
+    parts = [F.col("bucket")]
+    for level in range(AT_ONCE):
+        parts.append(F.xxhash64(parts[-1], F.element_at("more", level + 1)))
+    placed = members.join(further, "node")
+    every = placed.select("node", "n", F.explode(F.array(*parts)).alias("bucket"))
+    compared = cut(_candidates(_with_leaders(every)), "compared")
     roots = components(cut(_checked(compared, texts), "links"))
-    for level in range(FURTHER):
+    members = placed.select("node", "n", parts[-1].alias("bucket"))
+    for level in range(AT_ONCE, FURTHER):
         rest = _open(members, roots)
         if rest.isEmpty():
-            return roots
-        part = F.xxhash64("bucket", F.element_at("more", level + 1))
-        members = rest.join(further, "node").select("node", "n", part.alias("bucket"))
-        shared = members.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last")
-        members = cut(members.join(shared.select("bucket"), "bucket", "left_semi"), "members")
-        roots, compared = _compare(_with_leaders(members), texts, roots, compared)
-    leaders = 1
-    while not (rest := _open(members, roots, leaders + 1)).isEmpty():
-        leaders *= 2
-        order = Window.partitionBy("bucket").orderBy(F.xxhash64("bucket", "node"), "node")
-        chosen = rest.withColumn("r", F.row_number().over(order)).where(F.col("r") <= leaders)
-        chosen = chosen.select("bucket", F.col("node").alias("leader"), F.col("n").alias("m"), F.col("root").alias("other"))
-        members = rest.select("bucket", "node", "n")
-        roots, compared = _compare(rest.join(chosen, "bucket").where("root <> other"), texts, roots, compared)
+            break
+        members = rest.join(further, "node").select("node", "n", F.xxhash64("bucket", F.element_at("more", level + 1)).alias("bucket"))
+        fresh = cut(_candidates(_with_leaders(members)).join(compared, ["a", "b"], "left_anti"), "compared")
+        links = cut(_checked(fresh, texts), "links")
+        if links.isEmpty():
+            break
+        compared, roots = compared.union(fresh), joined_up(roots, links)
     return roots
 
 
 def _with_leaders(members: DataFrame) -> DataFrame:
-    """Each member of a bucket beside the bucket's leader, the first in an order of its own."""
-    first = F.min(F.struct(F.xxhash64("bucket", "node").alias("p"), "node", "n")).alias("l")
-    least = members.groupBy("bucket").agg(first)
+    """Each member of a bucket beside the bucket's leader, its least node."""
+    least = members.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("l"), F.count("*").alias("size")).where("size > 1")
     return members.join(least, "bucket").select("node", "n", F.col("l.node").alias("leader"), F.col("l.n").alias("m"))
 
 
-def _open(members: DataFrame, roots: DataFrame, compared: int = 2) -> DataFrame:
-    """Members, with their roots, of the buckets that hold several components; with `compared` members
-    or fewer a bucket's leaders have met all others."""
+def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components; in a bucket of two the leader has met all."""
     grouped = members.join(roots, "node", "left").select("bucket", "node", "n", F.coalesce("root", "node").alias("root"))
-    kinds = grouped.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("size"))
-    kinds = kinds.where(f"x <> y and size > {compared}")
-    return cut(grouped.join(kinds.select("bucket"), "bucket", "left_semi"), "open")
-
-
-def _compare(pairs: DataFrame, texts: DataFrame, roots: DataFrame, compared: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The components after the pairs that were not compared before, and all compared pairs."""
-    fresh = cut(_candidates(pairs).join(compared, ["a", "b"], "left_anti"), "compared")
-    links = cut(_checked(fresh, texts), "links")
-    return roots if links.isEmpty() else joined_up(roots, links), compared.union(fresh)
+    kinds = grouped.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("size")).where("x <> y and size > 2")
+    return cut(grouped.join(kinds.select("bucket"), "bucket", "left_semi").select("bucket", "node", "n"), "open")
 
 
 def _candidates(pairs: DataFrame) -> DataFrame:

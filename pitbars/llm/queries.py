@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pitbars.llm import bpe, line_dedup, maxscore, order_minhash, packing, quality_rules, secrets_scan, token_output, toxicity, url_filter
-from pitbars.llm.common import table
+from pitbars.llm.common import shipped, table
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,8 +61,11 @@ def op10_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe, op2_line_dedup, op3_token_output, op4_url_filter, op5_secrets, op6_order_minhash, op7_quality_rules, op8_toxicity, op9_packing, op10_maxscore)
-}
+    f.__name__: shipped(f)
+    for f in (
+        op1_bpe, op2_line_dedup, op3_token_output, op4_url_filter, op5_secrets, op6_order_minhash, op7_quality_rules, op8_toxicity, op9_packing, op10_maxscore,
+    )
+}
 
 #: Tokenizers, spans in code points, alignments, learned lists and weights have no SQL form.
 ORACLE: dict[str, str] = {"op4_url_filter": url_filter.SQL, "op10_maxscore": maxscore.SQL}

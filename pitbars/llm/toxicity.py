@@ -24,6 +24,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -152,7 +153,7 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
         share = F.when(F.col("toxic") == toxic, F.lit(min(1.0, SAMPLE / max(1, sizes.get(toxic, 0))))).otherwise(share)
     drawn = marks.where(F.pmod(F.xxhash64(F.lit(8), "id"), F.lit(1 << 30)) < share * (1 << 30))
     # At most about two times SAMPLE ids: a small table by construction.
-    rows = picked(docs, id="doc_id", text="text").join(F.broadcast(drawn), "id").select("text", "toxic")
+    rows = picked(docs, id="doc_id", text="text").join(F.broadcast(drawn), "id").select("text", F.col("toxic").cast("int").alias("toxic"))
     return cut(rows, "toxicity-sample")
 
 
@@ -195,6 +196,24 @@ def learn_stems(sample: DataFrame) -> dict[str, float]:
     return found
 
 
+def _signed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (text, toxic, s, t): with the least hash of three-word shingles in two orders."""
+    for batch in batches:
+        signs = []
+        for text in batch.column(0).to_pylist():
+            words = (text or "").lower().split()
+            shingles = {" ".join(words[i : i + 3]).encode("utf-8", "surrogatepass") for i in range(max(1, len(words) - 2))}
+            signs.append([min(xxhash.xxh64_intdigest(x, seed) for x in shingles) >> 1 for seed in (1, 2)])
+        columns = [pa.array([x[i] for x in signs], pa.int64()) for i in (0, 1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["text", "toxic", "s", "t"])
+
+
+def unlike(sample: DataFrame) -> DataFrame:
+    """The sample with few copies of a text: copies share all their words, which would pass for stems."""
+    rows = sample.select("text", "toxic").mapInArrow(_signed, "text string, toxic int, s long, t long")
+    return rows.dropDuplicates(["toxic", "s"]).dropDuplicates(["toxic", "t"]).select("text", "toxic")
+
+
 def learn_weights(grammar: Grammar, x: np.ndarray, y: np.ndarray, steps: int = 12) -> np.ndarray:
     """Logistic weights of the kinds, held to the prior where the labels say little."""
     a = np.hstack([np.ones((len(x), 1)), x])
@@ -211,7 +230,7 @@ def learn_weights(grammar: Grammar, x: np.ndarray, y: np.ndarray, steps: int = 1
 def fit(docs: DataFrame, labels: DataFrame) -> Grammar:
     """Learn stems, then the weights of the kinds of match, from labelled rows."""
     sample = labelled(docs, labels)
-    grammar = Grammar(learn_stems(sample))
+    grammar = Grammar(learn_stems(cut(unlike(sample), "toxicity-unlike")))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
