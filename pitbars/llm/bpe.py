@@ -35,7 +35,7 @@ VOCABULARY = "word_bpe_49k.json"
 #: Characters above which a text is halved.
 LIMIT = 32_768
 #: Words of each of the two generations that a worker remembers, and their longest length.
-REMEMBERED, WORD = 250_000, 48
+REMEMBERED, WORD = 150_000, 48
 #: Characters of the bytes that a Latin-1 letter beyond ASCII has in UTF-8, as byte-level models write them.
 _BYTES = {b: c for c, b in zip(range(256, 324), [x for x in range(256) if not (33 <= x <= 126 or 161 <= x <= 172 or 174 <= x <= 255)])}
 #: First half-width in characters of the window around a join.
@@ -51,11 +51,16 @@ def default_path() -> str:
 class Memory(dict):
     """Ids of words: two generations of up to REMEMBERED words, so that frequent ones stay."""
 
-    def __init__(self, ids):
+    def __init__(self, ids, apart: bool):
         super().__init__({"": b""})
-        self.ids, self.old = ids, {}
+        self.ids, self.apart, self.old = ids, apart, {}
 
     def __missing__(self, word: str) -> bytes:
+        if self.apart:
+            # A run of punctuation after letters is a word of its own.
+            core = word.rstrip(punctuation)
+            if len(core) < len(word) and core.isalpha():
+                return self[core] + self[word[len(core) :]]
         if (known := self.old.get(word)) is None:
             known = self.ids(word)
             if len(word) > WORD:
@@ -90,24 +95,20 @@ class Coder:
         # A special token that spans a join reaches less than this far from it.
         self.reach = max([0, *(len(t["content"]) for t in spec["added_tokens"])])
         self.vocabulary = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
-        self.exact = Memory(lambda word: self._plain([word])[0])
-        self.lowered = Memory(self._lowered)
+        self.exact = Memory(lambda word: self._plain([word])[0], apart=False)
+        self.lowered = Memory(self._lowered, apart=True)
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
     def _lowered(self, word: str) -> bytes:
-        """Ids of a Latin-1 word in lower case without special tokens: letters go straight to the merges,
-        a run of punctuation after them is a word of its own."""
-        core = word.rstrip(punctuation)
-        if not core.isalpha():
+        """Ids of a Latin-1 word in lower case without special tokens: letters go straight to the merges."""
+        if not word.isalpha():
             return self._plain([word])[0]
-        if not core.isascii():
-            core = core.encode().decode("latin-1").translate(_BYTES)
-        ids = array("I", [t.id for t in self.model.tokenize(core)]).tobytes()
-        tail = word[len(word.rstrip(punctuation)) :]
-        return ids + self.lowered[tail] if tail else ids
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(_BYTES)
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
 
     def _words(self, text: str) -> tuple[list[str], Memory]:
         """The text cut at spaces and line feeds, in lower case if it is Latin-1, and their memory."""

@@ -16,6 +16,7 @@ from pyspark.sql.types import StructField, StructType
 
 
 _shipped: set[str] = set()
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
@@ -33,11 +34,13 @@ def ship(spark: SparkSession) -> None:
 
 
 def shipped(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-    """The same query, run after ship()."""
+    """The same query, run after ship(), with Arrow batches that suit long texts unless others are set."""
 
     @wraps(query)
     def run(spark: SparkSession, *rest) -> DataFrame:
         ship(spark)
+        if spark.conf.get(BATCH) == "10000":
+            spark.conf.set(BATCH, "1000")
         return query(spark, *rest)
 
     return run
