@@ -10,12 +10,16 @@ M the length of the longest common subsequence of shingles, found by an alignmen
 diagonals that such a pair cannot leave. For edits that keep the order this is the Jaccard similarity
 of the shingles. A text of fewer than five words is one shingle; texts without a word stay alone.
 
-Equal texts are one node from the start, so thousands of exact copies cost one. Buckets are not
-expanded into pairs: in each bucket the members are compared with a leader, the least node. Each
-bucket is split by a further sketch, and the parts by another one, which keeps near copies together
-and parts texts that share a passage only; each part has a leader of its own. Linked nodes become one
-component. Parts that still hold several components are split further, round by round, until none is
-left or a round finds no new link. A round costs at most as many comparisons as there are members.
+Equal texts are one node from the start, so thousands of exact copies cost one. First the members of
+each bucket are compared with a leader, the member with the most company in all its buckets: among
+copies of one original that is the original, whose shingles most of them kept. Each bucket is also
+split by a further sketch, and the parts by another one, which keeps near copies together and parts
+texts that share a passage only; each part has a leader of its own. Linked nodes become one component.
+
+In buckets that still hold several components every pair of members of different components is then
+looked at, block by block, so no candidate is left out. Pairs are compared unless their sizes or their
+rarest shingles rule them out: a text can miss a fifth of its shingles at most, so of the fifth that is
+rarest a near copy has a certain number too. Which shingles count as rare changes the cost only.
 """
 
 from __future__ import annotations
@@ -32,8 +36,10 @@ from pitbars.llm.common import cut, numbered, picked, place
 
 WORDS, SIMILARITY = 5, 0.8
 SKETCHES, DEPTH = 24, 4
-#: Further sketches that split buckets, and how many of them are used from the start.
-FURTHER, AT_ONCE = 8, 2
+#: Further sketches that split buckets.
+FURTHER = 2
+#: Members in a block of an open bucket; counters of shingles, a power of two.
+BLOCK, SLOTS = 256, 1 << 20
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _ODD = (np.random.default_rng(20240229).integers(1, 1 << 63, size=(SKETCHES + FURTHER, 2), dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -197,6 +203,106 @@ def _verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([a[x] for x in keep], pa.binary()), pa.array([b[x] for x in keep], pa.binary())], ["a", "b"])
 
 
+def _slots(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (slot, n): how many labelled shingles fall to each slot."""
+    seen = np.zeros(SLOTS, dtype=np.int64)
+    for batch in batches:
+        for text in batch.column(1).to_pylist():
+            np.add.at(seen, labelled(shingles(text)) & np.uint64(SLOTS - 1), 1)
+    slots = np.flatnonzero(seen)
+    yield pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int32)), pa.array(seen[slots])], ["slot", "n"])
+
+
+def n_rarest(n: np.ndarray) -> np.ndarray:
+    """How many of n shingles cannot all be missing in a near copy."""
+    return n - np.ceil(SIMILARITY * n - 1e-9).astype(np.int64) + 1
+
+
+def rarest(text: str, ranks: np.ndarray) -> np.ndarray:
+    """The rarest shingles of a text, by the rank of their slot and then by hash."""
+    h = labelled(shingles(text))
+    keys = (ranks[h & np.uint64(SLOTS - 1)].astype(np.uint64) << np.uint64(56)) | (h >> np.uint64(8))
+    n = int(n_rarest(np.array(len(h))))
+    return np.partition(keys, n - 1)[:n]
+
+
+def _rarest(ranks: np.ndarray):
+    """Rows (node, rare): the rarest shingles of each text."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [rarest(t, ranks).view(np.int64) for t in batch.column(1).to_pylist()]
+            ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+            rare = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, dtype=np.int64), *found])))
+            yield pa.RecordBatch.from_arrays([batch.column(0), rare], ["node", "rare"])
+
+    return run
+
+
+def possible(n: np.ndarray, root: np.ndarray, sizes: np.ndarray, rare: np.ndarray, apart: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of texts with different roots (and, if given, on different sides `apart`) that
+    sizes and rarest shingles do not rule out. `rare` holds `sizes` shingles of each text in turn.
+
+    Of two texts the shingles after the one whose rarest end first are met by those of that text at
+    most; what is wanted beyond them must be among the rarest of both.
+    """
+    low, high = np.minimum.outer(n, n), np.maximum.outer(n, n)
+    fit = (low >= SIMILARITY * high - 1e-9) & (root[:, None] != root)
+    if apart is not None:
+        fit &= apart[:, None] != apart
+    fit = np.triu(fit, 1)
+    if not fit.any():
+        return np.nonzero(fit)
+    _, column, count = np.unique(rare, return_inverse=True, return_counts=True)
+    twice = count > 1
+    who = np.repeat(np.arange(len(n)), sizes)[twice[column]]
+    column = (np.cumsum(twice) - 1)[column[twice[column]]]
+    by = np.argsort(column, kind="stable")
+    who, column = who[by], column[by]
+    shared = np.zeros(fit.shape, dtype=np.float32)
+    for x in range(0, int(twice.sum()), 4096):
+        i, j = np.searchsorted(column, (x, x + 4096))
+        has = np.zeros((len(n), int(column[j - 1]) - x + 1), dtype=np.float32)
+        has[who[i:j], column[i:j] - x] = 1
+        shared += has @ has.T
+    least = np.ceil(SIMILARITY * np.add.outer(n, n) / (1 + SIMILARITY) - 1e-9)
+    left = n - sizes
+    return np.nonzero(fit & (shared >= least - np.maximum.outer(left, left)))
+
+
+def _possible(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (a, b): the pairs of each two blocks that may be near copies; rows come by bucket, x and y."""
+
+    def found(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        x, y, own, n = (t.column(i).to_numpy().astype(np.int64) for i in (1, 2, 3, 5))
+        root = t.column(6).combine_chunks().dictionary_encode().indices.to_numpy()
+        lists = t.column(7).combine_chunks()
+        ends, rare = lists.offsets.to_numpy(), lists.values.to_numpy()
+        for i, j in zip(edges := groups(t), [*edges[1:], t.num_rows]):
+            sizes = np.diff(ends[i : j + 1]).astype(np.int64)
+            first, second = possible(n[i:j], root[i:j], sizes, rare[ends[i] : ends[j]], own[i:j] if x[i] != y[i] else None)
+            if len(first):
+                nodes = t.column(4).slice(i, j - i).to_pylist()
+                pairs = [sorted((nodes[f], nodes[s])) for f, s in zip(first.tolist(), second.tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)], ["a", "b"])
+
+    def groups(t: pa.Table) -> list[int]:
+        keys = np.stack([t.column(i).to_numpy().astype(np.int64) for i in range(3)])
+        return [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist()]
+
+    held = None
+    for batch in batches:
+        if batch.num_rows:
+            rows = pa.Table.from_batches([batch])
+            held = rows if held is None else pa.concat_tables([held, rows])
+            last = groups(held)[-1]  # the last group may go on in the next batch
+            if last:
+                yield from found(held.slice(0, last))
+                held = held.slice(last)
+    if held is not None:
+        yield from found(held)
+
+
 def _checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose texts are near copies."""
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("s"))
@@ -241,47 +347,68 @@ def near_copies(texts: DataFrame) -> DataFrame:
     """
     sketches = texts.select("node", "text").mapInArrow(_sketches, "node binary, n int, bucket long")
     sketches = cut(sketches, "sketches")
-    shared = sketches.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last")
-    members = cut(sketches.join(shared.select("bucket"), "bucket", "left_semi").distinct(), "members")
+    shared = sketches.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last"), F.count("*").alias("size")).where("first <> last")
+    members = cut(sketches.join(shared.select("bucket", "size"), "bucket").distinct(), "members")
     if members.isEmpty():
         return members.select("node", F.col("node").alias("root"))
-    wanted = texts.join(members.select("node").distinct(), "node", "left_semi")
+    reach = members.groupBy("node").agg(F.sum("size").alias("reach"))
+    wanted = texts.join(reach.select("node"), "node", "left_semi")
     texts = cut(wanted.groupBy("node").agg(F.first("text").alias("text")), "candidates")
+    members = members.select("node", "n", "bucket")
 
-    further = cut(texts.mapInArrow(_further, "node binary, more array<bigint>"), "further")
-    # A bucket, its parts and their parts: each member has AT_ONCE + 1 places.
+    further = texts.mapInArrow(_further, "node binary, more array<bigint>").join(reach, "node")
+    # A bucket, its parts and their parts: each member has FURTHER + 1 places.
     parts = [F.col("bucket")]
-    for level in range(AT_ONCE):
+    for level in range(FURTHER):
         parts.append(F.xxhash64(parts[-1], F.element_at("more", level + 1)))
-    placed = members.join(further, "node")
-    every = placed.select("node", "n", F.explode(F.array(*parts)).alias("bucket"))
+    every = members.join(further, "node").select("node", "n", "reach", F.explode(F.array(*parts)).alias("bucket"))
     compared = cut(_candidates(_with_leaders(every)), "compared")
     roots = components(cut(_checked(compared, texts), "links"))
-    members = placed.select("node", "n", parts[-1].alias("bucket"))
-    for level in range(AT_ONCE, FURTHER):
-        rest = _open(members, roots)
-        if rest.isEmpty():
-            break
-        members = rest.join(further, "node").select("node", "n", F.xxhash64("bucket", F.element_at("more", level + 1)).alias("bucket"))
-        fresh = cut(_candidates(_with_leaders(members)).join(compared, ["a", "b"], "left_anti"), "compared")
-        links = cut(_checked(fresh, texts), "links")
-        if links.isEmpty():
-            break
-        compared, roots = compared.union(fresh), joined_up(roots, links)
-    return roots
+    rest = _open(members, roots)
+    if rest.isEmpty():
+        return roots
+    fresh = cut(_all_pairs(rest, texts).join(compared, ["a", "b"], "left_anti"), "compared")
+    return joined_up(roots, _checked(fresh, texts))
 
 
 def _with_leaders(members: DataFrame) -> DataFrame:
-    """Each member of a bucket beside the bucket's leader, its least node."""
-    least = members.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("l"), F.count("*").alias("size")).where("size > 1")
-    return members.join(least, "bucket").select("node", "n", F.col("l.node").alias("leader"), F.col("l.n").alias("m"))
+    """Each member of a bucket beside the bucket's leader, the node with the largest reach."""
+    most = members.groupBy("bucket").agg(F.max(F.struct("reach", "node", "n")).alias("l"), F.count("*").alias("size")).where("size > 1")
+    return members.join(most, "bucket").select("node", "n", F.col("l.node").alias("leader"), F.col("l.n").alias("m"))
 
 
 def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members of the buckets that hold several components; in a bucket of two the leader has met all."""
-    grouped = members.join(roots, "node", "left").select("bucket", "node", "n", F.coalesce("root", "node").alias("root"))
-    kinds = grouped.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("size")).where("x <> y and size > 2")
-    return cut(grouped.join(kinds.select("bucket"), "bucket", "left_semi").select("bucket", "node", "n"), "open")
+    """Members of the buckets that hold several components, with the size of the bucket's largest one
+    and of the rest; in a bucket of two the leader has met all."""
+    grouped = cut(members.join(roots, "node", "left").select("bucket", "node", "n", F.coalesce("root", "node").alias("root")), "grouped")
+    kinds = grouped.groupBy("bucket", "root").agg(F.count("*").alias("k")).groupBy("bucket")
+    kinds = kinds.agg(F.max(F.struct("k", "root")).alias("m"), F.sum("k").alias("size"), F.count("*").alias("kinds")).where("kinds > 1 and size > 2")
+    kinds = kinds.select("bucket", F.col("m.root").alias("main"), F.col("m.k").alias("most"), (F.col("size") - F.col("m.k")).alias("others"))
+    return cut(grouped.join(kinds, "bucket"), "open")
+
+
+def _all_pairs(rest: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) of different components that share an open bucket and may be near copies.
+
+    A bucket's largest component and its other members are dealt to blocks. Every two blocks meet, but
+    for two of the largest component, and what they hold is gone through in memory.
+    """
+    texts = texts.join(rest.select("node").distinct(), "node", "left_semi")
+    counts = texts.mapInArrow(_slots, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # SLOTS rows at most
+    seen = np.zeros(SLOTS)
+    seen[counts.column(0).to_numpy()] = counts.column(1).to_numpy()
+    ranks = np.minimum(255, 8 * np.log2(1 + seen)).astype(np.uint8)
+    rare = texts.mapInArrow(_rarest(ranks), "node binary, rare array<bigint>")
+
+    small, salt = F.col("most") + F.col("others") <= BLOCK, F.xxhash64("node")
+    mains, others = (F.ceil(F.col(c) / BLOCK) for c in ("most", "others"))
+    own = F.when(small, F.lit(0)).when(F.col("root") == F.col("main"), F.pmod(salt, mains)).otherwise(mains + F.pmod(salt, others)).cast("int")
+    from_ = F.when(~small & (F.col("root") == F.col("main")), mains).otherwise(0)
+    upto = F.when(small, 0).otherwise(mains + others - 1)
+    placed = rest.join(rare, "node").select("bucket", "node", "n", "root", "rare", own.alias("own"), F.explode(F.sequence(from_.cast("int"), upto.cast("int"))).alias("other"))
+    met = placed.select("bucket", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node", "n", "root", "rare")
+    key = ["bucket", "x", "y"]
+    return met.repartition(*key).sortWithinPartitions(*key).mapInArrow(_possible, "a binary, b binary").distinct()
 
 
 def _candidates(pairs: DataFrame) -> DataFrame:

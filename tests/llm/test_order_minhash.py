@@ -102,3 +102,52 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     kept = sorted(((r.doc_id, r.text) for r in om.drop_copies(docs).collect()), key=str)
     assert kept == sorted([(1, "a b c d e f g"), (None, "q r s t u v"), (None, None)], key=str)
     assert om.classes(docs.limit(0)).count() == 0 and om.drop_copies(docs.limit(0)).count() == 0
+
+
+def star(copies, seed):
+    """An original of 400 words and copies of it that are 0.82 to 0.88 like it, hardly two of them like each other."""
+    rng = random.Random(seed)
+    original = [f"{seed}v{i}" for i in range(400)]
+    texts = [" ".join(original)]
+    while len(texts) <= copies:
+        w = list(original)
+        for x in rng.sample(range(0, 400, 5), 7):
+            w[x] = f"u{rng.random()}"
+        texts.append(" ".join(w))
+    return texts
+
+
+def test_star_of_copies(spark):
+    texts = star(100, 1) + star(20, 2)
+    sh = [om.shingles(t) for t in texts]
+    assert all(om.near(sh[0], s) for s in sh[1:101]) and all(om.near(sh[101], s) for s in sh[102:])
+    among = [om.near(sh[i], sh[j]) for i in range(1, 101) for j in range(1, i)]
+    assert sum(among) < 0.05 * len(among)
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], SCHEMA)
+    got = {r.doc_id: r.class_id for r in om.classes(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == [0] * 101 + [101] * 21
+
+
+def test_every_candidate_pair_is_looked_at(spark, monkeypatch):
+    """Without the splits, with blocks of three and a leader that is like nobody, all links are still found."""
+    monkeypatch.setattr(om, "BLOCK", 3)
+    real = om._with_leaders
+    monkeypatch.setattr(om, "_with_leaders", lambda members: real(members).where("false"))
+    texts = corpus(4)
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], SCHEMA)
+    got = {r.doc_id: r.class_id for r in om.classes(docs).collect()}
+    pairs_only = {i: c for i, c in enumerate(brute(texts))}
+    assert sum(got[i] != c for i, c in pairs_only.items()) == 0
+
+
+def test_rarest_shingles_keep_near_copies():
+    rng = np.random.default_rng(3)
+    ranks = rng.integers(0, 4, om.SLOTS).astype(np.uint8)
+    texts = [*star(12, 3), *corpus(5)[:60]]
+    texts = [t for t in texts if t and t.strip()]
+    sh = [om.shingles(t) for t in texts]
+    rare = [om.rarest(t, ranks) for t in texts]
+    n, sizes = np.array([len(s) for s in sh]), np.array([len(r) for r in rare])
+    got = set(zip(*(x.tolist() for x in om.possible(n, np.arange(len(n)), sizes, np.concatenate(rare)))))
+    want = {(i, j) for j in range(len(n)) for i in range(j) if om.near(sh[i], sh[j])}
+    assert want <= got and len(got) < len(n) * (len(n) - 1) / 4
