@@ -1,8 +1,10 @@
 """Repeated runs of lines across all documents, found by winnowing over line hashes.
 
 A line here ends at a line feed or after a sentence (``.``, ``!`` or ``?`` before white space), since
-shared passages often begin within a physical line. Its hash is that of its text without outer white
-space; blank lines carry nothing and are skipped.
+shared passages often begin within a physical line. It also ends after each word that is the least, by
+hash, of some ``SPAN`` words in a row: two places that share words cut them alike, so a verbatim run of
+``LEAST + 2 * SPAN - 1`` words or more holds whole lines with ``LEAST`` words together, wherever it begins
+and ends. Its hash is that of its text without outer white space; blank lines are skipped.
 
 From each line starts the shortest window of lines with ``LEAST`` words or more, and one ends at each
 line. The least line of a window, longer ones first and then by hash, is its fingerprint, so any run of
@@ -12,7 +14,8 @@ that follow each other extend a match to both sides, up to the whole run that th
 
 Order is by (doc_id, character), nulls first. A window goes if its first place is in an earlier
 document, or ends before it in the same one; lines that lie in such windows are deleted, together
-with blank lines between them. So the first copy of each run stays, and every later one goes.
+with blank lines between them. So the first copy of each run stays, and every later one goes, but for
+words of a line that the run does not hold whole: fewer than ``SPAN`` at either end of a longer run.
 """
 
 from __future__ import annotations
@@ -31,6 +34,8 @@ from pitbars.llm.common import cut, numbered, picked, place
 
 #: Words from which a run counts.
 LEAST = 30
+#: Words of which the least ends a line.
+SPAN = 10
 
 END = re.compile(r"[.!?](?=\s)|\n")
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -48,19 +53,37 @@ def powers(n: int, sign: int) -> np.ndarray:
     return _powers[sign][:n]
 
 
+_blank = np.array([chr(c).isspace() for c in range(0x3002)])
+
+
+def words(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First character, end and hash of each word."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    inner = np.zeros(len(codes) + 2, dtype=np.int8)
+    inner[1:-1] = ~_blank[np.minimum(codes, 0x3001)]
+    step = np.diff(inner)
+    starts, ends = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+    total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(codes * powers(len(codes), 1), dtype=np.uint64)])
+    x = (total[ends] - total[starts]) * powers(len(codes), -1)[starts]
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return starts, ends, x ^ (x >> np.uint64(32))
+
+
 def lines(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """First character, end, hash and number of words of each line that has a word."""
-    starts, ends, hashes, sizes = [], [], [], []
-    digest, begin = xxhash.xxh64_intdigest, 0
-    for end in [*(m.end() for m in END.finditer(text)), len(text)]:
-        line = text[begin:end].strip()
-        if line:
-            starts.append(begin)
-            ends.append(end)
-            hashes.append(digest(line.encode("utf-8", "surrogatepass")))
-            sizes.append(len(line.split()))
-        begin = end
-    return (*(np.array(x, dtype=np.int64) for x in (starts, ends)), np.array(hashes, dtype=np.uint64), np.array(sizes, dtype=np.int64))
+    first, last, ranks = words(text)
+    n, digest = len(first), xxhash.xxh64_intdigest
+    cuts = [np.array([m.end() for m in END.finditer(text)], dtype=np.int64), [len(text)]]
+    if n >= SPAN:
+        begin = np.arange(n - SPAN + 1)
+        cuts.append(last[minima(ranks, begin, begin + SPAN - 1)])
+    cuts = np.unique(np.concatenate(cuts).astype(np.int64))
+    upto = np.searchsorted(last, cuts, side="right")  # words that end at a cut or before it
+    begun = np.concatenate([[0], upto[:-1]])
+    some = upto > begun
+    starts, ends, upto, begun = np.concatenate([[0], cuts[:-1]])[some], cuts[some], upto[some], begun[some]
+    hashes = [digest(text[i:j].encode("utf-8", "surrogatepass")) for i, j in zip(first[begun].tolist(), last[upto - 1].tolist())]
+    return starts, ends, np.array(hashes, dtype=np.uint64), upto - begun
 
 
 def windows(sizes: np.ndarray, text: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:

@@ -71,3 +71,25 @@ def test_nulls_repeated_rows_and_empty_table(spark):
     assert got == sorted([(None, run), (1, ""), (1, ""), (2, "q."), (3, None)], key=str)
     assert {(r.doc_id, r.text) for r in ld.drop_repeats(docs).collect()} == {(None, run), (2, "q."), (3, None)}
     assert ld.dedup(docs.limit(0)).count() == 0
+
+
+def test_passages_glued_within_sentences(spark):
+    """A passage of 51 words that begins and ends inside sentences, one without punctuation, one that only ends inside."""
+    rng = random.Random(8)
+
+    def prose(n):
+        return " ".join(f"w{rng.randrange(400)}" for _ in range(n))
+
+    rows, passages = [], [prose(51) for _ in range(40)]
+    for x, p in enumerate(passages):
+        end = ["", ".", "\n"][x % 3]
+        rows.append((x, f"{prose(20)}{end} {prose(17)} {p} {prose(23)}{end} {prose(40)}"))
+        rows.append((100 + x, f"{prose(31)} {prose(12)}{end} {prose(9)} {p} {prose(14)} {prose(21)}{end}"))
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA)
+    got = {r.doc_id: r.text for r in ld.dedup(docs).collect()}
+    before = dict(rows)
+    for x, p in enumerate(passages):
+        assert got[x] == before[x]
+        left, right = before[100 + x].split(p)
+        assert got[100 + x].startswith(left) and got[100 + x].endswith(right)
+        assert len(got[100 + x].split()) <= len(before[100 + x].split()) - ld.LEAST
