@@ -2,7 +2,8 @@
 
 Candidates in base64 or hex are decoded and reported only if the bytes parse: a private key as nested
 DER lengths that add up exactly (PKCS#1, PKCS#8, SEC 1), an OpenSSH key as its magic with nested
-lengths, a signed token as a JSON header that names an algorithm followed by a JSON payload.
+lengths, an encrypted key by its scheme (PKCS#8) or headers (PEM), a signed token as a JSON header that names an algorithm followed by a JSON payload.
+Bare keys may be wrapped; their span ends where the nested lengths say, whatever follows.
 
 Kinds, in this order: assign, access, hex (patterns alone); jwt, pem, der, ssh (confirmed).
 """
@@ -33,10 +34,15 @@ LEAST_VALUE, LEAST_ACCESS = 6, 20
 
 WORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 JWT = re.compile(r"(?<![\w.-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s\\]+)-----END \1-----")
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:(?!-----)[A-Za-z0-9+/=\s\\:,-])+)-----END \1-----")
+#: Headers of an encrypted PEM block, and any header line.
+SEALED = re.compile(r"\s*Proc-Type:\s*4,\s*ENCRYPTED\s+DEK-Info:\s*[A-Z0-9-]+,\s*[0-9A-Fa-f]+\s")
+HEADER = re.compile(r"^[A-Za-z-]+:.*$", re.MULTILINE)
 #: A DER sequence starts with 0x30 and a length: M and a letter up to P in base64.
-DER = re.compile(r"(?<![A-Za-z0-9+/_-])M[A-P][A-Za-z0-9+/_-]{30,}={0,2}")
-SSH = re.compile(r"(?<![A-Za-z0-9+/])b3BlbnNzaC1rZXktdjEA[A-Za-z0-9+/\s]+={0,2}")
+DER = re.compile(r"(?<![A-Za-z0-9+/_-])M[A-P][A-Za-z0-9+/_-]{30,}(?:(?:\s|\\[nr])+[A-Za-z0-9+/_-]+)*")
+HEX_DER = re.compile(r"(?<![0-9a-f])30[0-9A-Fa-f]{22,}(?:(?:\s|\\[nr])+[0-9A-Fa-f]+)*")
+SSH = re.compile(r"(?<![A-Za-z0-9+/])b3BlbnNzaC1rZXktdjEA(?:[A-Za-z0-9+/\s]|\\[nr])+")
+BREAK = re.compile(r"\s|\\[nr]")
 
 
 def debase(text: str) -> bytes | None:
@@ -72,6 +78,16 @@ def elements(data: bytes) -> list[tuple[int, bytes]] | None:
 
 
 INTEGER, OCTETS, OBJECT, SEQUENCE = 0x02, 0x04, 0x06, 0x30
+#: Encryption by password: PKCS#5 and PKCS#12.
+SCHEMES = (bytes.fromhex("2a864886f70d0105"), bytes.fromhex("2a864886f70d010c01"))
+
+
+def der_size(data: bytes) -> int | None:
+    """Number of bytes of the DER element that `data` starts with, by its length."""
+    if len(data) < 2 or data[1] < 0x80:
+        return 2 + data[1] if len(data) > 1 else None
+    width = data[1] & 0x7F
+    return 2 + width + int.from_bytes(data[2 : 2 + width], "big") if 1 <= width <= 4 <= len(data) - width + 2 else None
 
 
 def private_key(data: bytes | None) -> bool:
@@ -80,6 +96,9 @@ def private_key(data: bytes | None) -> bool:
     if not outer or len(outer) != 1 or outer[0][0] != SEQUENCE:
         return False
     inner = elements(outer[0][1])
+    if inner and [t for t, _ in inner] == [SEQUENCE, OCTETS] and inner[1][1]:  # PKCS#8, encrypted
+        scheme = elements(inner[0][1])
+        return bool(scheme) and scheme[0][0] == OBJECT and scheme[0][1].startswith(SCHEMES)
     if not inner or inner[0][0] != INTEGER or len(inner) < 2:
         return False
     tags, version = [t for t, _ in inner], inner[0][1]
@@ -97,9 +116,14 @@ def private_key(data: bytes | None) -> bool:
 
 def openssh_key(data: bytes | None) -> bool:
     """Whether the bytes are an OpenSSH private key: magic, then strings whose lengths fit."""
+    return bool(data) and openssh_size(data) == len(data)
+
+
+def openssh_size(data: bytes) -> int | None:
+    """Number of bytes of the OpenSSH private key that `data` starts with, None if it is none."""
     magic = b"openssh-key-v1\0"
-    if not data or not data.startswith(magic):
-        return False
+    if not data.startswith(magic):
+        return None
     at = len(magic)
 
     def string() -> bytes | None:
@@ -112,10 +136,42 @@ def openssh_key(data: bytes | None) -> bool:
 
     names = [string() for _ in range(3)]  # cipher, key derivation, its options
     if None in names or not names[0] or at + 4 > len(data):
-        return False
+        return None
     keys = int.from_bytes(data[at : at + 4], "big")
     at += 4
-    return 1 <= keys <= 64 and all(string() for _ in range(keys)) and bool(string()) and at == len(data)
+    return at if 1 <= keys <= 64 and all(string() for _ in range(keys)) and string() else None
+
+
+def sealed(body: str) -> bool:
+    """Whether a PEM body is encrypted as its headers say: whole blocks of a cipher."""
+    head = SEALED.match(body)
+    data = debase(body[head.end() :]) if head else None
+    return bool(data) and len(data) % 8 == 0
+
+
+def bare_keys(text: str, pattern: re.Pattern, size_of, fits, bits: int) -> list[tuple[int, int]]:
+    """(start, end) of keys in a run of digits of `bits` bits that may be wrapped; `size_of` tells from
+    the run's bytes how long a key is, `fits` whether these bytes are one."""
+    out, at = [], 0
+    while m := pattern.search(text, at):
+        digits, at = BREAK.sub("", m[0]), m.start() + 1
+        if bits == 4:
+            data = bytes.fromhex(digits[: len(digits) // 2 * 2])
+        else:
+            data = debase(digits[:-1] if len(digits) % 4 == 1 else digits) or b""
+        size = size_of(data)
+        if size and size <= len(data) and fits(data[:size]):
+            left, end = -(-size * 8 // bits), m.start()
+            while left:
+                if skip := BREAK.match(text, end):
+                    end = skip.end()
+                else:
+                    left, end = left - 1, end + 1
+            for _ in range(-size % 3 if bits == 6 else 0):
+                end += text.startswith("=", end)
+            out.append((m.start(), end))
+            at = end
+    return out
 
 
 def signed_token(header: str, payload: str) -> bool:
@@ -146,15 +202,14 @@ def confirmed_spans(text: str, found: list[tuple[int, int, int]]) -> list[tuple[
         out += [(m.start(), 3, m.end()) for m in JWT.finditer(text) if signed_token(m[1], m[2])]
     if "PRIVATE KEY-----" in text:
         for m in PEM.finditer(text):
-            data = debase(m[2])
-            if private_key(data) or openssh_key(data):
+            body = re.sub(r"\\[nr]", "\n", m[2])
+            data = debase(HEADER.sub("", body))
+            if private_key(data) or openssh_key(data) or sealed(body):
                 out.append((m.start(), 4, m.end()))
-    out += [(m.start(), 5, m.end()) for m in DER.finditer(text) if private_key(debase(m[0]))]
-    for start, kind, end in found:
-        if kind == 2 and text.startswith("30", start) and (end - start) % 2 == 0 and private_key(bytes.fromhex(text[start:end])):
-            out.append((start, 5, end))
+    out += [(i, 5, j) for i, j in bare_keys(text, DER, der_size, private_key, 6)]
+    out += [(i, 5, j) for i, j in bare_keys(text, HEX_DER, der_size, private_key, 4)]
     if "b3BlbnNzaC1rZXktdjEA" in text:
-        out += [(m.start(), 6, m.end()) for m in SSH.finditer(text) if openssh_key(debase(m[0]))]
+        out += [(i, 6, j) for i, j in bare_keys(text, SSH, openssh_size, openssh_key, 6)]
     return out
 
 

@@ -81,3 +81,24 @@ def test_report_and_redaction(spark, sf):
     clean = {r.doc_id: r for r in ss.redact(docs.where("doc_id < 8 or doc_id is null")).collect() if r.doc_id not in (2,)}
     assert clean[None].text == "[assign]" and clean[None].n_chars == 8 and clean[6].text == "[jwt]" and clean[5].text == "[assign]"
     assert ss.report(docs.limit(0)).count() == 0 and ss.redact(docs.limit(0)).columns == docs.columns
+
+
+def wrapped(text, end="\n"):
+    return end.join(text[i : i + 64] for i in range(0, len(text), 64))
+
+
+def test_wrapped_unterminated_upper_case_and_encrypted_keys():
+    for data in (RSA, P8, EC):
+        for key in (wrapped(b64(data)), wrapped(b64(data), "\\n"), wrapped(b64(data), "\r\n")):
+            assert kinds(f"a {key}\nplain words follow") == [("der", key)]
+        assert ("der", data.hex().upper()) in kinds(data.hex().upper())
+        assert ("der", wrapped(data.hex().upper())) in kinds(wrapped(data.hex().upper()) + "\nplain")
+    for tail in (b"", b"1", b"22"):
+        key = SSH[: -len(string(b"priv" * 20))] + string(b"priv" * 20 + tail)
+        assert kinds(f"{wrapped(b64(key))}\nplain words follow") == [("ssh", wrapped(b64(key)))]
+    scheme = der(0x30, der(6, bytes.fromhex("2a864886f70d01050d")), der(0x30, der(4, b"salt")))
+    digest = der(0x30, der(6, bytes.fromhex("608648016503040201")), der(5))
+    assert ss.private_key(der(0x30, scheme, der(4, b"x" * 48))) and not ss.private_key(der(0x30, digest, der(4, b"x" * 32)))
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF0123456789ABCDEF\n\n"
+    pem = "-----BEGIN RSA PRIVATE KEY-----\n" + head + wrapped(b64(b"\x07" * 160)) + "\n-----END RSA PRIVATE KEY-----"
+    assert kinds(f"a {pem} b") == [("pem", pem)] and kinds(pem.replace("4,ENCRYPTED", "4,CLEAR")) == []
