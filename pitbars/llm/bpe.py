@@ -8,8 +8,9 @@ same as in one encoding of the whole: within a run that the tokenizer treats as
 sequence is the encoding exactly if each pair of neighbours is, and each such pair comes from one of
 the three encodings; at the end of a word the scan starts afresh in all of them.
 
-Shorter texts are cut at spaces and line feeds, which end a word in every tokenizer whose
-pre-tokenizer drops white space; encodings of frequent words are kept in a bounded memory.
+Shorter texts are cut at ASCII white space, which ends a word in every tokenizer whose pre-tokenizer
+drops white space; each different word of a batch is encoded once, those of Latin-1 letters side by
+side in arrays (`merges`), and the ids are gathered by word.
 
 Ids are carried as binary: unsigned 32-bit little-endian integers.
 """
@@ -19,17 +20,19 @@ from __future__ import annotations
 import json
 import os
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 from string import punctuation
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitbars.llm.common import appended, numbered, place
+from pitbars.llm.merges import Merges, lowered, plain
 
 VOCABULARY = "word_bpe_49k.json"
 #: Characters above which a text is halved.
@@ -91,6 +94,9 @@ class Coder:
         # Lower case by character, and nothing else that could change a Latin-1 text; a run of letters
         # is one word, its bytes go to the merges.
         self.lowers = self.by_word and '"Lowercase"' in norm and "[\\\\p{L}]+" in pre and '"use_regex": false' in pre
+        model = spec["model"]
+        usual = not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "ignore_merges", "byte_fallback", "fuse_unk"))
+        self.merges = Merges(model["vocab"], model["merges"], model.get("end_of_word_suffix") or "") if self.lowers and usual else None
         self.spaced = spec["decoder"] is None
         # A special token that spans a join reaches less than this far from it.
         self.reach = max([0, *(len(t["content"]) for t in spec["added_tokens"])])
@@ -123,13 +129,46 @@ class Coder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each whole text."""
+        ids, offsets = self.flat(pa.array(texts, pa.string()))
+        data = ids.tobytes()
+        return [data[4 * a : 4 * b] for a, b in zip(offsets.tolist(), offsets[1:].tolist())]
+
+    def flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and the offsets at which each begins and ends."""
         if not self.by_word:
-            return self._plain(texts)
-        out = []
-        for text in texts:
-            words, memory = self._words(text)
-            out.append(b"".join([*map(memory.__getitem__, words)]))
-        return out
+            return _flat(self._plain(texts.to_pylist()))
+        words = pc.ascii_split_whitespace(texts)
+        bounds = words.offsets.to_numpy()
+        seen = words.flatten().dictionary_encode()
+        if not len(seen):
+            return np.empty(0, dtype="<u4"), np.zeros(len(texts) + 1, dtype=np.int64)
+        ids, counts = self._different(seen.dictionary)
+        at = seen.indices.to_numpy()
+        sizes = counts[at]
+        return ids[spread((np.cumsum(counts) - counts)[at], sizes)], np.concatenate([[0], np.cumsum(sizes)])[bounds - bounds[0]]
+
+    def _different(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the words, one after the other, and each one's number."""
+        if self.merges is None:
+            ids, offsets = _flat([*map(self.exact.__getitem__, words.to_pylist())])
+            return ids, np.diff(offsets)
+        offsets = np.frombuffer(words.buffers()[1], dtype=np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+        data = np.frombuffer(words.buffers()[2] or b"", dtype=np.uint8)[: offsets[-1]]
+        easy, letters = plain(data, offsets)
+        starts, ends = offsets[:-1], offsets[1:]
+        # Two parts a word: its letters and its marks, or all of it and nothing.
+        parts = np.zeros((len(words), 2), dtype=np.int64)
+        split = starts + letters
+        rows = [np.flatnonzero(easy & (split > starts)), np.flatnonzero(easy & (ends > split))]
+        ids, counts = self.merges.encode(lowered(data), np.concatenate([starts[rows[0]], split[rows[1]]]), np.concatenate([split[rows[0]], ends[rows[1]]]))
+        parts[rows[0], 0], parts[rows[1], 1] = counts[: len(rows[0])], counts[len(rows[0]) :]
+        hard = np.flatnonzero(~easy)
+        more, offsets = _flat([*map(self.exact.__getitem__, words.take(pa.array(hard)).to_pylist())])
+        parts[hard, 0] = np.diff(offsets)
+        begins = (np.cumsum(parts) - parts.ravel()).reshape(-1, 2)
+        out = np.empty(int(parts.sum()), dtype="<u4")
+        out[spread(np.concatenate([begins[rows[0], 0], begins[rows[1], 1], begins[hard, 0]]), np.concatenate([counts, parts[hard, 0]]))] = np.concatenate([ids, more])
+        return out, parts.sum(axis=1)
 
     def piece(self, text: str, start: int) -> np.ndarray:
         """Rows (id, first character, end) of the text, which starts at `start` of its document. The
@@ -187,6 +226,18 @@ class Coder:
         return " ".join(parts)
 
 
+def _flat(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all parts, one after the other, and the offsets at which each begins and ends."""
+    sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
+    return np.frombuffer(b"".join(parts), dtype="<u4"), np.concatenate([[0], np.cumsum(sizes)])
+
+
+def spread(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """begin, begin + 1, ... up to each size, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(begins - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
 def shared(side: np.ndarray, middle: np.ndarray, bound: int, last: bool) -> tuple[int | None, int]:
     """Where two encodings agree in two tokens in a row that own their characters: index after them in
     each (`last` false: the right-most such place before `bound`), or before them (`last`: the left-most
@@ -219,16 +270,39 @@ def coder(path: str) -> Coder:
     return Coder(path)
 
 
+#: Characters, about, and texts that are encoded at once.
+AT_ONCE, TEXTS = 8_000_000, 4096
+
+
+def encoded(path: str, batches: Iterable[pa.RecordBatch], text: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Batches put together, with the ids of their texts and the offsets at which each text's begin and end."""
+    c = coder(path)
+
+    def done(parts: list[pa.RecordBatch]) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray]:
+        batch = pa.concat_batches(parts)
+        return batch, *c.flat(pc.fill_null(batch.column(text).cast(pa.string()), ""))
+
+    held, size = [], 0
+    for whole in batches:
+        for x in range(0, whole.num_rows, 256):
+            held.append(whole.slice(x, 256))
+            column = held[-1].column(text)
+            size += pc.sum(pc.binary_length(column)).as_py() or 0
+            if size > AT_ONCE or len(held) * 256 >= TEXTS:
+                yield done(held)
+                held, size = [], 0
+    if held:
+        yield done(held)
+
+
 def _short(path: str, text: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = coder(path)
-        for batch in batches:
+        for batch, ids, offsets in encoded(path, batches, text):
+            column = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer((4 * offsets).astype(np.int32)), pa.py_buffer(ids)])
             for x in range(0, batch.num_rows, 512):
                 part = batch.slice(x, 512)
-                ids = c.encode([t or "" for t in part.column(text).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(ids, pa.binary()), pa.array([len(i) // 4 for i in ids], pa.int64())],
-                    [*part.schema.names, "ids", "n_tokens"],
+                    [*part.columns, column.slice(x, 512), pa.array(np.diff(offsets[x : x + 513]))], [*part.schema.names, "ids", "n_tokens"]
                 )
 
     return run
