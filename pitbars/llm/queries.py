@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitbars.llm import bpe, line_dedup, maxscore, order_minhash, packing, quality_rules, secrets_scan, token_output, toxicity, url_filter
+from pitbars.llm import best_two_fit, bpe, filter_audit, laesa, line_dedup, maxscore, order_minhash, packing, quality_rules, secrets_scan, token_output, toxicity, url_filter
 from pitbars.llm.common import shipped, table
 
 
@@ -60,12 +60,28 @@ def op10_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxscore.search(table(spark, sf_dir, "embeddings"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters does in every order, by source."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_laesa(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every vector."""
+    return laesa.report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of every document and their places in as few sequences as can be."""
+    return best_two_fit.pack(table(spark, sf_dir, "documents"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: shipped(f)
     for f in (
         op1_bpe, op2_line_dedup, op3_token_output, op4_url_filter, op5_secrets, op6_order_minhash, op7_quality_rules, op8_toxicity, op9_packing, op10_maxscore,
+        op11_filter_audit, op12_laesa, op13_best_two_fit,
     )
 }
 
 #: Tokenizers, spans in code points, alignments, learned lists and weights have no SQL form.
-ORACLE: dict[str, str] = {"op4_url_filter": url_filter.SQL, "op10_maxscore": maxscore.SQL}
+ORACLE: dict[str, str] = {"op4_url_filter": url_filter.SQL, "op10_maxscore": maxscore.SQL, "op11_filter_audit": filter_audit.SQL, "op12_laesa": laesa.SQL}
