@@ -152,15 +152,21 @@ class Coder:
         if self.merges is None:
             ids, offsets = _flat([*map(self.exact.__getitem__, words.to_pylist())])
             return ids, np.diff(offsets)
-        offsets = np.frombuffer(words.buffers()[1], dtype=np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
-        data = np.frombuffer(words.buffers()[2] or b"", dtype=np.uint8)[: offsets[-1]]
+        data, offsets = _bytes(words)
         easy, letters = plain(data, offsets)
         starts, ends = offsets[:-1], offsets[1:]
+        split = starts + letters
         # Two parts a word: its letters and its marks, or all of it and nothing.
         parts = np.zeros((len(words), 2), dtype=np.int64)
-        split = starts + letters
         rows = [np.flatnonzero(easy & (split > starts)), np.flatnonzero(easy & (ends > split))]
-        ids, counts = self.merges.encode(lowered(data), np.concatenate([starts[rows[0]], split[rows[1]]]), np.concatenate([split[rows[0]], ends[rows[1]]]))
+        low = pa.Array.from_buffers(pa.string(), len(words), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(lowered(data))])
+        cores = pc.ascii_rtrim(low.take(pa.array(rows[0])), characters=punctuation).dictionary_encode()
+        core, at = _bytes(cores.dictionary)
+        marks, counts = self.merges.encode(data, split[rows[1]], ends[rows[1]])
+        known, sizes = self.merges.encode(core, at[:-1], at[1:])
+        at = cores.indices.to_numpy()
+        ids = np.concatenate([known[spread((np.cumsum(sizes) - sizes)[at], sizes[at])], marks])
+        counts = np.concatenate([sizes[at], counts])
         parts[rows[0], 0], parts[rows[1], 1] = counts[: len(rows[0])], counts[len(rows[0]) :]
         hard = np.flatnonzero(~easy)
         more, offsets = _flat([*map(self.exact.__getitem__, words.take(pa.array(hard)).to_pylist())])
@@ -232,10 +238,20 @@ def _flat(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(parts), dtype="<u4"), np.concatenate([[0], np.cumsum(sizes)])
 
 
+def _bytes(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a string array and the offsets of its strings in them."""
+    offsets = np.frombuffer(words.buffers()[1] or bytes(4), dtype=np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    return np.frombuffer(words.buffers()[2] or b"", dtype=np.uint8)[: offsets[-1]], offsets
+
+
 def spread(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """begin, begin + 1, ... up to each size, one after the other."""
     ends = np.cumsum(sizes)
-    return np.repeat(begins - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if total < 2**31 and begins.max(initial=0) < 2**31 else np.int64
+    out = np.repeat((begins - (ends - sizes)).astype(kind), sizes)
+    out += np.arange(total, dtype=kind)
+    return out
 
 
 def shared(side: np.ndarray, middle: np.ndarray, bound: int, last: bool) -> tuple[int | None, int]:
@@ -271,7 +287,7 @@ def coder(path: str) -> Coder:
 
 
 #: Characters, about, and texts that are encoded at once.
-AT_ONCE, TEXTS = 8_000_000, 4096
+AT_ONCE, TEXTS = 5_000_000, 2048
 
 
 def encoded(path: str, batches: Iterable[pa.RecordBatch], text: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:

@@ -27,14 +27,14 @@ _LOWER[65:91] += 32
 class Merges:
     def __init__(self, vocabulary: dict[str, int], merges: list, end: str):
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in merges]
-        self.inner = np.array([vocabulary[SHOWN[b]] for b in range(256)], dtype=np.int64)
-        self.last = np.array([vocabulary[SHOWN[b] + end] for b in range(256)], dtype=np.int64)
+        self.inner = np.array([vocabulary[SHOWN[b]] for b in range(256)], dtype=np.int32)
+        self.last = np.array([vocabulary[SHOWN[b] + end] for b in range(256)], dtype=np.int32)
         self.size = max(vocabulary.values()) + 1
         keys = np.array([vocabulary[a] * self.size + vocabulary[b] for a, b in pairs], dtype=np.int64)
         # Open addressing; free places hold -1.
         self.shift = np.uint64(64 - int(np.ceil(np.log2(8 * len(keys) + 2))))
         places = 1 << (64 - int(self.shift))
-        self.keys, self.ranks, self.joined = np.full(places + 64, -1), np.full(places + 64, _NONE), np.zeros(places + 64, dtype=np.int64)
+        self.keys, self.ranks, self.joined = np.full(places + 64, -1), np.full(places + 64, _NONE), np.zeros(places + 64, dtype=np.int32)
         for rank, (key, at, (a, b)) in enumerate(zip(keys.tolist(), self._at(keys).tolist(), pairs)):
             while self.keys[at] not in (-1, key):
                 at += 1
@@ -45,7 +45,7 @@ class Merges:
 
     def _find(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and joined id of each pair; _NONE and 0 where it has none."""
-        keys = left * self.size + right
+        keys = left.astype(np.int64) * self.size + right
         at = self._at(keys)
         found = self.keys[at]
         off = np.flatnonzero((found != keys) & (found != -1))
@@ -78,13 +78,12 @@ class Merges:
                 return out, sizes
             ids[n, at] = joined[n, at]
             w = ids.shape[1] - 1  # all live rows have had the same number of merges
-            keep = np.arange(w)[None, :] + (np.arange(w)[None, :] > at[:, None])
-            ids = np.take_along_axis(ids, keep, axis=1)
+            ids = ids[np.arange(w + 1)[None, :] != at[:, None] + 1].reshape(-1, w)
             if w == 1:
                 out[rows, :1], sizes[rows] = ids, 1
                 return out, sizes
-            keep = np.arange(w - 1)[None, :] + (np.arange(w - 1)[None, :] >= at[:, None])
-            ranks, joined = np.take_along_axis(ranks, keep, axis=1), np.take_along_axis(joined, keep, axis=1)
+            keep = np.arange(w)[None, :] != at[:, None]
+            ranks, joined = ranks[keep].reshape(-1, w - 1), joined[keep].reshape(-1, w - 1)
             for side in (at - 1, at):  # the two pairs around the joined one
                 x = np.flatnonzero((side >= 0) & (side < w - 1))
                 y = side[x]
