@@ -198,6 +198,23 @@ class Coder:
                 parts.append(np.hstack([ids, np.array(e.offsets, dtype=np.int64).reshape(-1, 2) + begin]))
         return np.concatenate(parts)
 
+    def pieces(self, texts: list[str], starts: list[int]) -> list[np.ndarray]:
+        """piece() of each text; the words of all of them are encoded together."""
+        words = [t.replace("\n", " ").split(" ") for t in texts]
+        if self.merges is None or any(len(w) > WORD for part in words for w in part):
+            return [self.piece(t, s) for t, s in zip(texts, starts)]
+        seen = pa.array([w for part in words for w in part], pa.string()).dictionary_encode()
+        ids, counts = self._different(seen.dictionary)
+        at, out, first = seen.indices.to_numpy(), [], 0
+        begun = np.cumsum(counts) - counts
+        for part, start in zip(words, starts):
+            mine = at[first : first + len(part)]
+            sizes = np.fromiter(map(len, part), dtype=np.int64, count=len(part))
+            begins, n = np.cumsum(sizes + 1) - sizes - 1 + start, counts[mine]
+            out.append(np.stack([ids[spread(begun[mine], n)].astype(np.int64), np.repeat(begins, n), np.repeat(begins + sizes, n)], axis=1))
+            first += len(part)
+        return out
+
     def joined(self, left: np.ndarray, right: np.ndarray, text: str, first: int, at: int, end: int) -> np.ndarray:
         """One encoding of text[first:end] from those of its two sides, which meet at `at`."""
         width = WINDOW
@@ -254,30 +271,35 @@ def spread(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
+def places(rows: np.ndarray) -> list[tuple]:
+    """(begin, end, ids, index of the first, index after the last) of each run of tokens with one place."""
+    edges = [0, *(np.flatnonzero((rows[1:, 1:] != rows[:-1, 1:]).any(axis=1)) + 1).tolist(), len(rows)]
+    ids = rows[:, 0].tolist()
+    return [(*rows[a, 1:].tolist(), tuple(ids[a:b]), a, b) for a, b in zip(edges, edges[1:])]
+
+
 def shared(side: np.ndarray, middle: np.ndarray, bound: int, last: bool) -> tuple[int | None, int]:
-    """Where two encodings agree in two tokens in a row that own their characters: index after them in
-    each (`last` false: the right-most such place before `bound`), or before them (`last`: the left-most
+    """Where two encodings agree in two places in a row that own their characters: index after their tokens
+    in each (`last` false: the right-most such place before `bound`), or before them (`last`: the left-most
     one after it)."""
     lo, hi = (middle[0, 1], middle[-1, 2]) if len(middle) else (0, 0)
     near = np.flatnonzero((side[:, 1] >= lo) & (side[:, 2] <= hi))
     if len(near) < 2 or len(middle) < 4:
         return None, 0
     base = int(near[0])
-    part = side[base : int(near[-1]) + 1]
-    ours = {tuple(r): n for n, r in enumerate(map(tuple, part.tolist()))}
-    theirs = [tuple(r) for r in middle.tolist()]
+    ours, theirs = places(side[base : int(near[-1]) + 1]), places(middle)
+    known = {p[:3]: n for n, p in enumerate(ours)}
 
-    def own(n: int) -> bool:  # no neighbour starts within the two tokens' characters or before
-        before, first, second, after = theirs[n - 1], theirs[n], theirs[n + 1], theirs[n + 2]
-        if first[1] < bound if last else second[2] > bound:
+    def own(n: int) -> bool:  # no neighbour starts within the two places' characters or before
+        before, first, second, after = theirs[n - 1 : n + 3]
+        if first[0] < bound if last else second[1] > bound:
             return False
-        return before[2] <= first[1] and first[2] <= second[1] and second[2] <= after[1]
+        return before[1] <= first[0] and first[1] <= second[0] and second[1] <= after[0]
 
-    order = range(1, len(theirs) - 2) if last else range(len(theirs) - 3, 0, -1)
-    for n in order:
-        x = ours.get(theirs[n])
-        if x is not None and ours.get(theirs[n + 1]) == x + 1 and own(n):
-            return (base + x, n) if last else (base + x + 2, n + 2)
+    for n in range(1, len(theirs) - 2) if last else range(len(theirs) - 3, 0, -1):
+        x = known.get(theirs[n][:3])
+        if x is not None and x + 1 < len(ours) and ours[x + 1][:3] == theirs[n + 1][:3] and own(n):
+            return (base + ours[x][3], theirs[n][3]) if last else (base + ours[x + 1][4], theirs[n + 1][4])
     return None, 0
 
 
@@ -365,9 +387,9 @@ def _halved(rows: DataFrame, at: int, path: str, limit: int) -> DataFrame:
         c = coder(path)
         for batch in batches:
             starts, parts = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            for x, (start, part) in enumerate(zip(starts, parts)):
-                rows = c.piece(part, start).astype("<u4").tobytes()
-                yield pa.RecordBatch.from_arrays([*batch.slice(x, 1).columns, pa.array([rows], pa.binary())], ["key", "piece", "start", "part", "rows"])
+            for x in range(0, len(parts), 64):
+                found = [p.astype("<u4").tobytes() for p in c.pieces(parts[x : x + 64], starts[x : x + 64])]
+                yield pa.RecordBatch.from_arrays([*batch.slice(x, 64).columns, pa.array(found, pa.binary())], ["key", "piece", "start", "part", "rows"])
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = coder(path)
