@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitbars.llm.common import appended, numbered, place
+from pitbars.llm.common import appended, numbered, place, together
 from pitbars.llm.merges import Merges, lowered, plain
 
 VOCABULARY = "word_bpe_49k.json"
@@ -315,22 +315,8 @@ AT_ONCE, TEXTS = 5_000_000, 2048
 def encoded(path: str, batches: Iterable[pa.RecordBatch], text: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Batches put together, with the ids of their texts and the offsets at which each text's begin and end."""
     c = coder(path)
-
-    def done(parts: list[pa.RecordBatch]) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray]:
-        batch = pa.concat_batches(parts)
-        return batch, *c.flat(pc.fill_null(batch.column(text).cast(pa.string()), ""))
-
-    held, size = [], 0
-    for whole in batches:
-        for x in range(0, whole.num_rows, 256):
-            held.append(whole.slice(x, 256))
-            column = held[-1].column(text)
-            size += pc.sum(pc.binary_length(column)).as_py() or 0
-            if size > AT_ONCE or len(held) * 256 >= TEXTS:
-                yield done(held)
-                held, size = [], 0
-    if held:
-        yield done(held)
+    for batch in together(batches, text, AT_ONCE, TEXTS):
+        yield batch, *c.flat(pc.fill_null(batch.column(text).cast(pa.string()), ""))
 
 
 def _short(path: str, text: int):

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 from functools import wraps
 from pathlib import Path
 from zipfile import ZipFile
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,3 +101,17 @@ def nullable(schema: StructType) -> StructType:
 
 def appended(df: DataFrame, *fields: StructField) -> StructType:
     return StructType([*df.schema.fields, *fields])
+
+
+def together(batches: Iterable[pa.RecordBatch], text: int, size: int = 5_000_000, rows: int = 2048) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of about `size` bytes of text, or `rows` rows if that is less."""
+    held, held_size = [], 0
+    for whole in batches:
+        for x in range(0, whole.num_rows, 256):
+            held.append(whole.slice(x, 256))
+            held_size += pc.sum(pc.binary_length(held[-1].column(text))).as_py() or 0
+            if held_size > size or len(held) * 256 >= rows:
+                yield pa.concat_batches(held)
+                held, held_size = [], 0
+    if held:
+        yield pa.concat_batches(held)

@@ -1,21 +1,19 @@
-"""Repeated runs of lines across all documents, found by winnowing over line hashes.
-
-A line here ends at a line feed or after a sentence (``.``, ``!`` or ``?`` before white space), since
-shared passages often begin within a physical line. It also ends after each word that is the least, by
-hash, of some ``SPAN`` words in a row: two places that share words cut them alike, so a verbatim run of
-``LEAST + 2 * SPAN - 1`` words or more holds whole lines with ``LEAST`` words together, wherever it begins
-and ends. Its hash is that of its text without outer white space; blank lines are skipped.
-
-From each line starts the shortest window of lines with ``LEAST`` words or more, and one ends at each
-line. The least line of a window, longer ones first and then by hash, is its fingerprint, so any run of
-that many words that two places share also shares a fingerprint. Fingerprints that occur once in the
-corpus are left out; the windows around the others are joined by content to their first place. Windows
-that follow each other extend a match to both sides, up to the whole run that the two places share.
-
-Order is by (doc_id, character), nulls first. A window goes if its first place is in an earlier
-document, or ends before it in the same one; lines that lie in such windows are deleted, together
-with blank lines between them. So the first copy of each run stays, and every later one goes, but for
-words of a line that the run does not hold whole: fewer than ``SPAN`` at either end of a longer run.
+"""Repeated runs of words across all documents, found by winnowing over the hashes of lines.
+
+Copies of a passage are wrapped differently and begin anywhere in a physical line, so a line here is a row
+of ``LINE`` words that starts at any word; words are what ASCII white space separates. Of ``WINDOW`` lines in
+a row the one of least hash, the first of equals, is a fingerprint. Two places that share ``LINE + WINDOW - 1``
+words in a row or more share a fingerprint there; consecutive ones overlap, so the lines of the fingerprints
+cover the run but for fewer than ``WINDOW`` words at either end.
+
+Each fingerprint is joined to its first place, in the order of (doc_id, word), nulls first. Matches of two
+documents at one distance that follow each other make a run. It is then extended to both sides, word by
+word: the words around the ends of the first place are fetched from its text and compared. A run of ``LEAST``
+words or more is deleted; its first copy stays. (Where that first place has only a part of what a later one
+shares with a third, fewer than ``WINDOW`` words of the third may stay at an end.) Repeats within one document are found in the document itself.
+
+A fingerprint is 96 bits of hashes over its words; the words of the extension are compared themselves
+(those of more than 40 bytes by a digest of 128 bits).
 """
 
 from __future__ import annotations
@@ -25,19 +23,20 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitbars.llm.common import cut, numbered, picked, place
+from pitbars.llm.common import cut, numbered, picked, place, together
 
-#: Words from which a run counts.
-LEAST = 30
-#: Words of which the least ends a line.
-SPAN = 10
+#: Words of a line, lines of a window, words from which a run counts.
+LINE, WINDOW, LEAST = 26, 25, 30
+#: Words beyond the ends of a run that are fetched for the extension.
+REACH = WINDOW
 
-END = re.compile(r"[.!?](?=\s)|\n")
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _P = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers = {1: np.ones(1, dtype=np.uint64), -1: np.ones(1, dtype=np.uint64)}
@@ -53,71 +52,36 @@ def powers(n: int, sign: int) -> np.ndarray:
     return _powers[sign][:n]
 
 
-_blank = np.array([chr(c).isspace() for c in range(0x3002)])
-
-
-def words(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First character, end and hash of each word."""
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    inner = np.zeros(len(codes) + 2, dtype=np.int8)
-    inner[1:-1] = ~_blank[np.minimum(codes, 0x3001)]
-    step = np.diff(inner)
-    starts, ends = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
-    total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(codes * powers(len(codes), 1), dtype=np.uint64)])
-    x = (total[ends] - total[starts]) * powers(len(codes), -1)[starts]
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return starts, ends, x ^ (x >> np.uint64(32))
-
-
-def lines(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """First character, end, hash and number of words of each line that has a word."""
-    first, last, ranks = words(text)
-    n, digest = len(first), xxhash.xxh64_intdigest
-    cuts = [np.array([m.end() for m in END.finditer(text)], dtype=np.int64), [len(text)]]
-    if n >= SPAN:
-        begin = np.arange(n - SPAN + 1)
-        cuts.append(last[minima(ranks, begin, begin + SPAN - 1)])
-    cuts = np.unique(np.concatenate(cuts).astype(np.int64))
-    upto = np.searchsorted(last, cuts, side="right")  # words that end at a cut or before it
-    begun = np.concatenate([[0], upto[:-1]])
-    some = upto > begun
-    starts, ends, upto, begun = np.concatenate([[0], cuts[:-1]])[some], cuts[some], upto[some], begun[some]
-    hashes = [digest(text[i:j].encode("utf-8", "surrogatepass")) for i, j in zip(first[begun].tolist(), last[upto - 1].tolist())]
-    return starts, ends, np.array(hashes, dtype=np.uint64), upto - begun
-
-
-def windows(sizes: np.ndarray, text: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
-    """First and last line of each window: the shortest from each line, and the shortest up to each.
-    `text` numbers the texts, in order, that the lines belong to; no window leaves its text."""
-    n = len(sizes)
-    total = np.concatenate([[0], np.cumsum(sizes)])
-    begin, end = np.searchsorted(text, text), np.searchsorted(text, text, side="right")
-    last = np.searchsorted(total, total[:-1] + least)  # end (exclusive) of the window from each line
-    first = np.searchsorted(total, total[1:] - least, side="right") - 1  # start of the window up to each
-    i = np.arange(n)
-    from_, upto = last <= end, first >= begin
-    a = np.concatenate([i[from_], first[upto]])
-    b = np.concatenate([last[from_] - 1, i[upto]])
-    pairs = np.unique(a * (n + 1) + b)
-    return pairs // (n + 1), pairs % (n + 1)
-
-
-def contents(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """A hash of the lines of each window, the same wherever it stands."""
-    total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(hashes * powers(len(hashes), 1), dtype=np.uint64)])
-    x = (total[last + 1] - total[first]) * powers(len(hashes), -1)[first]
-    x = (x ^ (x >> np.uint64(31)) ^ (last - first + 1).astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
+def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all words of the texts, one after the other, and the bounds of each text's."""
+    parts = pc.ascii_split_whitespace(texts)
+    bounds = parts.offsets.to_numpy() - parts.offsets[0].as_py()
+    seen = parts.flatten().dictionary_encode()
+    different = seen.dictionary.cast(pa.binary()).to_pylist()
+    known = np.fromiter(map(xxhash.xxh64_intdigest, different), dtype=np.uint64, count=len(different))
+    at = seen.indices.to_numpy()
+    some = np.array([bool(w) for w in different], dtype=bool)[at] if len(at) else np.zeros(0, dtype=bool)
+    return known[at[some]], np.concatenate([[0], np.cumsum(some)])[bounds]
+
+
+def lines(hashes: np.ndarray, size: int = LINE) -> np.ndarray:
+    """A hash of the `size` words from each word on, as far as there are as many."""
+    n = len(hashes)
+    total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(hashes * powers(n, 1), dtype=np.uint64)])
+    x = (total[size:] - total[:-size]) * powers(n, -1)[: max(0, n - size + 1)] if n >= size else np.empty(0, dtype=np.uint64)
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(32))
 
 
-def order(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The order of lines by which a window has its least one: longer ones first, then by hash."""
-    return (hashes >> np.uint64(8)) | ((np.uint64(255) - np.minimum(sizes, 255).astype(np.uint64)) << np.uint64(56))
+def checks(hashes: np.ndarray, size: int = LINE) -> np.ndarray:
+    """32 further bits of the same words."""
+    x = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (lines(x ^ (x >> np.uint64(32)), size) >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def minima(ranks: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """The least line of each window, the first of equals: minima over doubling spans, two of which
-    cover a window."""
+    """The least rank of each stretch, the first of equals: minima over doubling spans, two of which
+    cover a stretch."""
     level = np.frexp(last - first + 1)[1] - 1
     spans = [np.arange(len(ranks))]
 
@@ -133,116 +97,209 @@ def minima(ranks: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray
     return out
 
 
-#: A window as it is packed: a hash of its lines, lines before and after the fingerprint.
-WINDOW = np.dtype([("content", "<i8"), ("before", "<u4"), ("after", "<u4")])
+def fingerprints(ranks: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word at which each selected line starts, ascending, and the text it is of. A text with fewer lines
+    than a window has one window."""
+    sizes = np.diff(bounds) - LINE + 1
+    text = np.repeat(np.arange(len(sizes)), np.maximum(sizes, 0))
+    if not len(text):
+        return text, text
+    begins = bounds[:-1][text]
+    start = np.arange(len(text)) - np.repeat(np.cumsum(np.maximum(sizes, 0)) - np.maximum(sizes, 0), np.maximum(sizes, 0)) + begins
+    final = begins + sizes[text] - 1
+    whole = (start + WINDOW - 1 <= final) | (start == begins)
+    at = np.unique(minima(ranks, start[whole], np.minimum(start + WINDOW - 1, final)[whole]))
+    return at, np.searchsorted(bounds, at, side="right") - 1
+
+
+PRINTS = "id long, part long, print long, mark int, pos int"
+
+
+def _prints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows PRINTS: the first place of each fingerprint of a text; a text that has one twice also has a
+    row without print."""
+    for batch in together(batches, 2):
+        hashes, bounds = words(pc.fill_null(batch.column(2).cast(pa.string()), ""))
+        ranks = lines(hashes)
+        at, text = fingerprints(ranks, bounds)
+        order = np.lexsort((at, ranks[at], text))
+        at, text = at[order], text[order]
+        again = np.zeros(len(at), dtype=bool)
+        again[1:] = (ranks[at[1:]] == ranks[at[:-1]]) & (text[1:] == text[:-1])
+        repeated, at, text = np.unique(text[again]), at[~again], text[~again]
+        docs, n = pa.array(np.concatenate([text, repeated])), len(repeated)
+        columns = [
+            pa.concat_arrays([pa.array(ranks[at].view(np.int64)), pa.nulls(n, pa.int64())]),
+            pa.array(np.concatenate([checks(hashes)[at], np.zeros(n, dtype=np.int32)])),
+            pa.array(np.concatenate([at - bounds[text], np.full(n, -1)]).astype(np.int32)),
+        ]
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(docs), batch.column(1).take(docs), *columns], ["id", "part", "print", "mark", "pos"])
+
+
+def runs(prints: DataFrame) -> DataFrame:
+    """(id, part, a, b, i, p, d): words a to b of a document are those d words earlier of (i, p), the first place."""
+    spot = F.struct(F.col("id").isNotNull(), "id", "part", "pos")
+    marked = prints.where("print is not null")
+    first = marked.groupBy("print", "mark").agg(F.min(spot).alias("f"), F.count("*").alias("n")).where("n > 1")
+    # Written, so that the join's two sides are shuffled by it and a frequent line can be split.
+    first = cut(first.select("print", "mark", F.col("f.id").alias("i"), F.col("f.part").alias("p"), F.col("f.pos").alias("q")), "first")
+    later = ~(F.col("id").eqNullSafe(F.col("i")) & (F.col("part") == F.col("p")))
+    found = marked.join(first, ["print", "mark"]).where(later).select("id", "part", "pos", "i", "p", (F.col("pos") - F.col("q")).alias("d"))
+    pair = ["id", "part", "i", "p", "d"]
+    along = Window.partitionBy(*pair).orderBy("pos")
+    gap = F.when(F.col("pos") - F.lag("pos").over(along) > LINE, 1).otherwise(0)
+    found = found.withColumn("gap", gap).withColumn("run", F.sum("gap").over(along))
+    return found.groupBy(*pair, "run").agg(F.min("pos").alias("a"), (F.max("pos") + LINE).alias("b")).drop("run")
+
+
+def short(word: bytes) -> bytes:
+    return word if len(word) <= 40 else xxhash.xxh3_128_digest(word)
+
+
+def around(text: bytes, asks: list[tuple[int, int]]) -> list[list[bytes]]:
+    """The words before (side 0), nearest first, or from the given word on (side 1)."""
+    parts = text.split()
+    return [[*map(short, parts[max(0, at - REACH) : at][::-1] if side == 0 else parts[at : at + REACH])] for side, at in asks]
+
+
+def alike(mine: list[bytes], theirs: list[bytes]) -> int:
+    """How many words agree from the first on."""
+    n = 0
+    for a, b in zip(mine, theirs):
+        if a != b:
+            break
+        n += 1
+    return n
+
+
+def agreeing(hashes: np.ndarray, x: int, y: int) -> int:
+    """How many words from x on are those from y on; x > y."""
+    n, step = 0, 64
+    while x + n < len(hashes):
+        upto = min(step, len(hashes) - x - n)
+        same = hashes[x + n : x + n + upto] == hashes[y + n : y + n + upto]
+        if not same.all():
+            return n + int(same.argmin())
+        n, step = n + upto, 2 * step
+    return n
+
+
+def own_runs(text: str) -> list[tuple[int, int]]:
+    """Runs of a text that occur in it before, a line or more away."""
+    hashes, bounds = words(pa.array([text], pa.string()))
+    ranks = lines(hashes)
+    at, _ = fingerprints(ranks, bounds)
+    known, out, covered = {}, [], 0
+    for x in at.tolist():
+        y = known.setdefault(int(ranks[x]), x)
+        if x + LINE <= covered or x - y < LINE:
+            continue
+        before = min(REACH, y)
+        left = (hashes[x - before : x] == hashes[y - before : y])[::-1]
+        a = x - (before if left.all() else int(left.argmin()))
+        b = x + agreeing(hashes, x, y)
+        if b - a >= LEAST:
+            out.append((a, b))
+            covered = max(covered, b)
+    return out
 
 
-def _fingerprints(least: int):
-    """Rows (id, part, print, line, windows): each fingerprint of a text with the windows that have it."""
+def without(text: str, gone: list[tuple[int, int]]) -> str:
+    """The text without the given runs of words, each up to the next word that stays."""
+    starts = [m.start() for m in WORD.finditer(text)] + [len(text)]
+    out, at = [], 0
+    for a, b in sorted(gone):
+        if starts[a] > at:
+            out.append(text[at : starts[a]])
+        at = max(at, starts[b])
+    out.append(text[at:])
+    return "".join(out)
+
+
+def _asked(at: int, size: int):
+    """Rows (i, p, side, place, around) of the texts in column `at`; the last columns are part and asks."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for x in range(0, whole.num_rows, 256):
-                batch = whole.slice(x, 256)
-                found = [lines(t or "") for t in batch.column(2).to_pylist()]
-                counts = np.array([len(f[3]) for f in found])
-                hashes, sizes = (np.concatenate([f[i] for f in found]) for i in (2, 3))
-                text = np.repeat(np.arange(len(found)), counts)
-                first, last = windows(sizes, text, least)
-                if not len(first):
-                    continue
-                at = minima(order(hashes, sizes), first, last)
-                by = np.argsort(at, kind="stable")
-                packed = np.empty(len(by), dtype=WINDOW)
-                packed["content"] = contents(hashes, first, last).view(np.int64)[by]
-                packed["before"], packed["after"] = (at - first)[by], (last - at)[by]
-                marks, edges = np.unique(at[by], return_index=True)
-                offsets = np.append(edges, len(by)) * WINDOW.itemsize
-                column = pa.Array.from_buffers(pa.binary(), len(marks), [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(packed.tobytes())])
-                docs, begun = pa.array(text[marks]), np.cumsum(counts) - counts
-                columns = [hashes[marks].view(np.int64), (marks - begun[text[marks]]).astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(docs), batch.column(1).take(docs), *map(pa.array, columns), column], ["id", "part", "print", "line", "windows"])
+                batch, rows = whole.slice(x, 256), []
+                own, texts, part, asks = (batch.column(c).to_pylist() for c in (size, at, size + 1, size + 2))
+                for i, text, p, wanted in zip(own, texts, part, asks):
+                    wanted = [(w["side"], w["place"]) for w in wanted]
+                    rows.extend((i, p, side, n, near) for (side, n), near in zip(wanted, around((text or "").encode(), wanted)))
+                columns = list(zip(*rows)) or [()] * 5
+                kinds = pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["i", "p", "side", "place", "around"])
 
     return run
 
 
-def _unpacked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (id, part, content, first, last), one for each window."""
-    for whole in batches:
-        for x in range(0, whole.num_rows, 4096):
-            batch = whole.slice(x, 4096)
-            packed = [np.frombuffer(w, dtype=WINDOW) for w in batch.column(3).to_pylist()]
-            take = np.repeat(np.arange(len(packed)), [len(p) for p in packed])
-            rows, docs = np.concatenate(packed) if packed else np.empty(0, dtype=WINDOW), pa.array(take)
-            line = batch.column(2).to_numpy(zero_copy_only=False)[take]
-            columns = [rows["content"].copy(), (line - rows["before"]).astype(np.int32), (line + rows["after"]).astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(docs), batch.column(1).take(docs), *map(pa.array, columns)], ["id", "part", "content", "first", "last"])
-
-
-def runs(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """(id, part, runs): the windows to delete, an array of (first, last) line, of each document that
-    has any; `docs`: id long, part int (tells rows with one id apart), text."""
-    key = ["id", "part"]
-    prints = docs.select("id", "part", "text").mapInArrow(_fingerprints(least), "id long, part int, print long, line int, windows binary")
-    prints = cut(prints, "prints")
-    where = F.xxhash64("id", "part", "line")
-    shared = prints.groupBy("print").agg(F.min(where).alias("x"), F.max(where).alias("y")).where("x <> y")
-    # Written, so that the join's two sides are shuffled by it and a frequent line can be split.
-    shared = cut(shared.select("print"), "shared")
-    near = prints.join(shared, "print", "left_semi").select("id", "part", "line", "windows")
-    found = cut(near.mapInArrow(_unpacked, "id long, part int, content long, first int, last int"), "windows")
-    place = F.struct(F.col("id").isNotNull(), "id", "part", "first", "last")
-    first = found.groupBy("content").agg(F.min(place).alias("f"), F.count("*").alias("n")).where("n > 1")
-    first = cut(first.select("content", F.col("f.id").alias("i"), F.col("f.part").alias("p"), F.col("f.last").alias("e")), "first")
-    later = ~(F.col("id").eqNullSafe(F.col("i")) & (F.col("part") == F.col("p"))) | (F.col("e") < F.col("first"))
-    # Rows with one id, or none, come in the order of their text's hash.
-    return found.join(first, "content").where(later).groupBy(*key).agg(F.collect_set(F.struct("first", "last")).alias("runs"))
+def _deleted(at: int, fields: list[str]):
+    """The rows with their texts after deletion and the number of characters that went."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns, found = [*batch.columns[:-4]], batch.columns[-2]
+            twice, deleted = batch.columns[-1], [0] * batch.num_rows
+            if found.null_count < batch.num_rows or twice.null_count < batch.num_rows:
+                texts = columns[at].to_pylist()
+                for x, (ends, own) in enumerate(zip(found.to_pylist(), twice.to_pylist())):
+                    if not ends and not own:
+                        continue
+                    gone = own_runs(texts[x]) if own else []
+                    if ends:
+                        gone += extended(texts[x], ends)
+                    left = without(texts[x], gone)
+                    deleted[x] = len(texts[x]) - len(left)
+                    texts[x] = left
+                columns[at] = pa.array(texts, columns[at].type)
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(deleted, pa.int64())], fields)
 
+    return run
 
-def without(text: str, gone: list[tuple[int, int]]) -> str:
-    """The text without the lines of the given windows (first, last) and what lies between them."""
-    starts, ends, _, _ = lines(text)
-    out, at = [], 0
-    for first, last in sorted(gone):
-        if starts[first] > at:
-            out.append(text[at : starts[first]])
-        at = max(at, int(ends[last]))
-    out.append(text[at:])
-    return "".join(out)
+
+def extended(text: str, ends: list[dict]) -> list[tuple[int, int]]:
+    """Runs of LEAST words or more, from rows (a, b, i, p, d, side, around), one for each end of a run."""
+    body, found = text.encode(), {}
+    near = around(body, [(e["side"], e["a"] if e["side"] == 0 else e["b"]) for e in ends])
+    for e, mine in zip(ends, near):
+        run = found.setdefault((e["i"], e["p"], e["d"], e["a"], e["b"]), [e["a"], e["b"]])
+        n = alike(mine, e["around"])
+        run[e["side"]] = e["b"] + n if e["side"] else e["a"] - n
+    return [(a, b) for a, b in found.values() if b - a >= LEAST]
 
 
-def dedup(docs: DataFrame, least: int = LEAST, text: str = "text") -> DataFrame:
+def dedup(docs: DataFrame, text: str = "text") -> DataFrame:
     """Every row of `docs` with its columns, its text without later copies of runs, and one more column
     `n_deleted`, the number of deleted characters.
 
-    Null texts stay null, empty ones empty; texts of fewer than `least` words are never changed. Rows
-    that agree in id and text count as one place: none of them loses a run to the other. Null ids come
-    first. A column named n_deleted gives way to the new one.
+    Null texts stay null, empty ones empty; texts of fewer than LEAST words are never changed. Rows that
+    agree in id and text count as one place: none of them loses a run to the other. Null ids come first,
+    and rows with one id in the order of their texts' hashes. A column named n_deleted gives way to the new one.
     """
-    flat, names = numbered(docs), docs.columns
-    own, body = F.col(f"c{place(docs, 'doc_id')}"), F.col(f"c{place(docs, text)}")
-    part = F.hash(body)
-    gone = runs(picked(docs, id="doc_id", text=text).where("text is not null").withColumn("part", F.hash("text")), least)
-    gone = gone.select(F.col("id").alias("i"), F.col("part").alias("p"), "runs")
-    joined = flat.join(gone, own.eqNullSafe(F.col("i")) & (part == F.col("p")), "left").drop("i", "p")
-    at = place(docs, text)
+    flat, names, at = numbered(docs), docs.columns, place(docs, text)
+    own = F.col(f"c{place(docs, 'doc_id')}").cast("long")
+    size = len(names)
+    # The same columns on both sides of the two joins with texts, so that texts are shuffled once.
+    rows = flat.withColumn("own", own).withColumn("part", F.xxhash64(F.col(f"c{at}")))
+    read = picked(docs, id="doc_id", text=text).where("text is not null").select(F.col("id").cast("long").alias("id"), F.xxhash64("text").alias("part"), "text")
+    prints = cut(read.mapInArrow(_prints, PRINTS), "prints")
+    found = cut(runs(prints), "runs")
+    ends = found.select("*", F.explode(F.array(*(F.struct(F.lit(s).alias("side"), x.alias("place")) for s, x in ((0, F.col("a") - F.col("d")), (1, F.col("b") - F.col("d")))))).alias("e"))
+    ends = ends.select("id", "part", "a", "b", "i", "p", "d", "e.side", "e.place")
+    asks = ends.select("i", "p", "side", "place").distinct().groupBy("i", "p").agg(F.collect_list(F.struct("side", "place")).alias("asks"))
+    asked = rows.join(asks, F.col("own").eqNullSafe(F.col("i")) & (F.col("part") == F.col("p")), "left").where("asks is not null").drop("i", "p")
+    near = asked.mapInArrow(_asked(at, size), "i long, p long, side int, place int, around array<binary>")
+    near = near.select(*(F.col(c).alias(f"n_{c}") for c in near.columns)).dropDuplicates(["n_i", "n_p", "n_side", "n_place"])
+    same = F.col("i").eqNullSafe(F.col("n_i")) & (F.col("p") == F.col("n_p")) & (F.col("side") == F.col("n_side")) & (F.col("place") == F.col("n_place"))
+    ended = ends.join(near, same).groupBy("id", "part").agg(F.collect_list(F.struct("a", "b", "i", "p", "d", "side", F.col("n_around").alias("around"))).alias("ends"))
+    twice = prints.where("print is null").select("id", "part").distinct().withColumn("twice", F.lit(True))
+    gone = ended.select(F.col("id").alias("i"), F.col("part").alias("p"), "ends", F.lit(None).cast("boolean").alias("twice"))
+    gone = gone.unionByName(twice.select(F.col("id").alias("i"), F.col("part").alias("p"), F.lit(None).cast(gone.schema["ends"].dataType).alias("ends"), "twice"))
+    gone = gone.groupBy("i", "p").agg(F.first("ends", ignorenulls=True).alias("ends"), F.first("twice", ignorenulls=True).alias("twice"))
+    joined = rows.join(gone, F.col("own").eqNullSafe(F.col("i")) & (F.col("part") == F.col("p")), "left").drop("i", "p")
     schema = T.StructType([*flat.schema.fields, T.StructField("n_deleted", T.LongType())])
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = [*batch.columns[:-1]]
-            stretches, deleted = batch.columns[-1], [0] * batch.num_rows
-            if stretches.null_count < batch.num_rows:
-                texts = columns[at].to_pylist()
-                for x, found in enumerate(stretches.to_pylist()):
-                    if found:
-                        left = without(texts[x], [(r["first"], r["last"]) for r in found])
-                        deleted[x] = len(texts[x]) - len(left)
-                        texts[x] = left
-                columns[at] = pa.array(texts, columns[at].type)
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(deleted, pa.int64())], [f.name for f in schema.fields])
-
-    done = joined.mapInArrow(run, schema)
+    done = joined.mapInArrow(_deleted(at, [f.name for f in schema.fields]), schema)
     return done.select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names) if n.lower() != "n_deleted"), "n_deleted")
 
 

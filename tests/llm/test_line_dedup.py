@@ -1,95 +1,129 @@
 import random
 
+import pytest
+
 from pitbars.llm import line_dedup as ld
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+SURE = ld.LINE + ld.WINDOW - 1
+
 
+def docs_of(spark, rows):
+    return spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA)
 
-def brute(rows, least):
-    """Every window of whole lines compared with all earlier ones, by content."""
-    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is not None, rows[i][0] or 0))
+
+def earlier(rows, size):
+    """By all positions: which words of each row lie in `size` words that an earlier row has, or the same one a line before."""
     seen, out = {}, {}
-    for i in order:
-        text = rows[i][1]
-        if text is None:
-            out[i] = None
-            continue
-        starts, ends, _, sizes = ld.lines(text)
-        content = [text[a:b].strip() for a, b in zip(starts, ends)]
-        gone = []
-        for a in range(len(sizes)):
-            for b in range(a, len(sizes)):
-                n = sizes[a : b + 1].sum()
-                if n >= least:
-                    key = tuple(content[a : b + 1])
-                    first = seen.setdefault(key, (i, a, b))
-                    if n - sizes[a] < least or n - sizes[b] < least:
-                        if first[0] != i or first[2] < a:
-                            gone.append((a, b))
-        out[i] = ld.without(text, gone)
+    for x in sorted(range(len(rows)), key=lambda x: (rows[x][0] is not None, rows[x][0] or 0)):
+        words = (rows[x][1] or "").split()
+        hit = [False] * len(words)
+        for a in range(len(words) - size + 1):
+            y, b = seen.setdefault(tuple(words[a : a + size]), (x, a))
+            if y != x or a - b >= ld.LINE:
+                hit[a : a + size] = [True] * size
+        out[rows[x][0]] = hit
     return out
 
 
+def gone(before, after):
+    """Which words went, if the rest is what stays in order; None if it isn't."""
+    words, left, out, at = before.split(), after.split(), [], 0
+    for w in words:
+        if at < len(left) and left[at] == w:
+            out.append(False)
+            at += 1
+        else:
+            out.append(True)
+    return out if at == len(left) else None
+
+
+
 def corpus():
     rng = random.Random(5)
-    words = [f"w{i}" for i in range(300)]
 
-    def sentence():
-        return " ".join(rng.choices(words, k=rng.randrange(1, 9))).capitalize() + rng.choice([". ", "! ", ".\n", "\n", "\n\n", "? "])
+    def prose(n):
+        return " ".join(f"w{rng.randrange(4000)}" + rng.choice(["", "", "", ",", ".", ".\n", "\n\n"]) for _ in range(n))
 
-    pool = ["".join(sentence() for _ in range(rng.randrange(3, 9))) for _ in range(6)]
-    header = "All rights are kept here.\n"
+    pool = [prose(rng.randrange(20, 140)) for _ in range(14)]
     rows = []
-    for i in range(60):
-        parts = [header] * rng.randrange(2)
+    for i in range(120):
+        parts = []
         for _ in range(rng.randrange(1, 6)):
-            parts.append(rng.choice(pool) if rng.random() < 0.4 else "".join(sentence() for _ in range(rng.randrange(1, 6))))
-        rows.append((i, "".join(parts)))
-    rows.append((60, "ab cd.\n" * 40))
-    rows.append((61, rows[3][1]))
-    rows += [(62, ""), (63, None), (64, " \n "), (65, "no end " * 50), (66, "no end " * 50)]
+            if rng.random() < 0.5:
+                part = rng.choice(pool).split(" ")
+                a, b = sorted(rng.sample(range(len(part) + 1), 2)) if rng.random() < 0.5 else (0, len(part))
+                parts.append(" ".join(part[a:b]))
+            else:
+                parts.append(prose(rng.randrange(1, 50)))
+        rows.append((i, " ".join(parts)))
+    rows += [(200, rows[3][1]), (201, ""), (202, None), (203, " \n "), (204, "no end " * 50), (205, "no end " * 50), (206, prose(3000) + " " + prose(60))]
+    rows += [(207, rows[-1][1][40:9000].replace(" ", "\n", 30))]
     return rows
 
 
-def test_against_all_windows(spark):
+def test_against_all_positions(spark):
     rows = corpus()
-    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA).selectExpr("*", "1 as id", "2 as part", "3 as RUNS", "4 as n_deleted")
-    done = ld.dedup(docs, least=12)
-    assert done.columns == docs.columns
+    docs = docs_of(spark, rows).repartition(5).selectExpr("*", "1 as id", "2 as part", "3 as RUNS", "4 as n_deleted", "5 as own")
+    done = ld.dedup(docs)
+    assert done.columns == [c for c in docs.columns if c != "n_deleted"] + ["n_deleted"]
     got = {r.doc_id: (r.text, r.n_deleted) for r in done.collect()}
-    want = brute(rows, 12)
-    assert {i: t for i, (t, _) in got.items()} == {rows[i][0]: t for i, t in want.items()}
-    assert all(n == len(t or "") - len(got[i][0] or "") for i, t in rows for n in [got[i][1]])
+    sure, may = earlier(rows, SURE), earlier(rows, ld.LEAST)
+    wanted = caught = wrong = 0
+    for i, text in rows:
+        left, n = got[i]
+        assert (left is None) == (text is None) and n == len(text or "") - len(left or "")
+        went = gone(text or "", left or "")
+        assert went is not None
+        if i not in (204, 205):
+            wrong += sum(w and not m for w, m in zip(went, may[i]))
+        wanted += sum(sure[i])
+        caught += sum(w and s for w, s in zip(went, sure[i]))
+    # A passage of which a document has two parts can be aligned in two ways, so few words may look wrong.
+    assert caught >= 0.99 * wanted and wanted > 3000 and wrong <= 0.005 * wanted
     kept = {r.doc_id for r in ld.drop_repeats(docs).collect()}
-    assert 61 not in kept and 66 not in kept and {60, 62, 63, 64, 65} <= kept
+    assert 200 not in kept and 205 not in kept and {201, 202, 203, 204, 206} <= kept
 
 
 def test_nulls_repeated_rows_and_empty_table(spark):
-    run = "one two three. " * 3 + " ".join(f"x{i}" for i in range(40)) + "."
-    docs = spark.createDataFrame([(None, run, None, None, None), (1, run, None, None, None), (1, run, None, None, None), (2, "q. " + run, None, None, 7), (3, None, None, None, 0)], SCHEMA)
+    run = "one two three. " * 3 + " ".join(f"x{i}" for i in range(60)) + "."
+    rows = [(None, run, None, None, None), (1, run, None, None, None), (1, run, None, None, None), (2, "q. " + run, None, None, 7), (3, None, None, None, 0)]
+    docs = spark.createDataFrame(rows, SCHEMA)
     got = sorted(((r.doc_id, r.text) for r in ld.dedup(docs).collect()), key=str)
-    assert got == sorted([(None, run), (1, ""), (1, ""), (2, "q."), (3, None)], key=str)
-    assert {(r.doc_id, r.text) for r in ld.drop_repeats(docs).collect()} == {(None, run), (2, "q."), (3, None)}
+    assert got == sorted([(None, run), (1, ""), (1, ""), (2, "q. "), (3, None)], key=str)
+    assert {(r.doc_id, r.text) for r in ld.drop_repeats(docs).collect()} == {(None, run), (2, "q. "), (3, None)}
     assert ld.dedup(docs.limit(0)).count() == 0
+    assert ld.dedup(docs.where("doc_id > 2")).first().n_deleted == 0
 
 
-def test_passages_glued_within_sentences(spark):
-    """A passage of 51 words that begins and ends inside sentences, one without punctuation, one that only ends inside."""
+@pytest.mark.parametrize("size", [51, 60])
+def test_passages_glued_within_sentences(spark, size):
+    """Passages that begin and end inside sentences go word by word; only chance neighbours may differ."""
     rng = random.Random(8)
 
     def prose(n):
         return " ".join(f"w{rng.randrange(400)}" for _ in range(n))
 
-    rows, passages = [], [prose(51) for _ in range(40)]
+    rows, passages = [], [prose(size) for _ in range(60)]
     for x, p in enumerate(passages):
         end = ["", ".", "\n"][x % 3]
         rows.append((x, f"{prose(20)}{end} {prose(17)} {p} {prose(23)}{end} {prose(40)}"))
         rows.append((100 + x, f"{prose(31)} {prose(12)}{end} {prose(9)} {p} {prose(14)} {prose(21)}{end}"))
-    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA)
-    got = {r.doc_id: r.text for r in ld.dedup(docs).collect()}
-    before = dict(rows)
+    got = {r.doc_id: r.text for r in ld.dedup(docs_of(spark, rows)).collect()}
+    before, left_over = dict(rows), 0
     for x, p in enumerate(passages):
         assert got[x] == before[x]
         left, right = before[100 + x].split(p)
-        assert got[100 + x].startswith(left) and got[100 + x].endswith(right)
-        assert len(got[100 + x].split()) <= len(before[100 + x].split()) - ld.LEAST
+        assert left.startswith(got[100 + x][: len(left) - 12]) and got[100 + x].endswith(right[12:])
+        left_over += abs(len(got[100 + x].split()) - len((left + right).split()))
+    assert left_over <= 3
+
+
+def test_one_line_in_most_documents_and_long_texts(spark):
+    rng = random.Random(3)
+    line = " ".join(f"k{i}" for i in range(70))
+    rows = [(i, " ".join(f"a{rng.randrange(10**6)}" for _ in range(40)) + "\n" + line + f" b{i}") for i in range(400)]
+    rows += [(1000, " ".join(f"z{i % 5000}" for i in range(200_000))), (1001, "u" * 3_000_000 + " " + line)]
+    got = {r.doc_id: r.text for r in ld.dedup(docs_of(spark, rows).repartition(8)).collect()}
+    assert got[0] == rows[0][1] and all(got[i].split() == rows[i][1].split()[:40] + [f"b{i}"] for i in range(1, 400))
+    assert got[1000].split() == [f"z{i}" for i in range(5000)] and got[1001] == "u" * 3_000_000 + " "
