@@ -18,7 +18,6 @@ A fingerprint is 96 bits of hashes over its words; the words of the extension ar
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -36,7 +35,6 @@ LINE, WINDOW, LEAST = 26, 25, 30
 #: Words beyond the ends of a run that are fetched for the extension.
 REACH = WINDOW
 
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _P = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers = {1: np.ones(1, dtype=np.uint64), -1: np.ones(1, dtype=np.uint64)}
@@ -52,16 +50,33 @@ def powers(n: int, sign: int) -> np.ndarray:
     return _powers[sign][:n]
 
 
+_BLANK = np.zeros(256, dtype=bool)
+_BLANK[[0x20, *range(0x09, 0x0E)]] = True
+#: A number for each byte, without pattern.
+_BYTE = np.array([xxhash.xxh64_intdigest(bytes([b])) for b in range(256)], dtype=np.uint64)
+
+
 def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of all words of the texts, one after the other, and the bounds of each text's."""
-    parts = pc.ascii_split_whitespace(texts)
-    bounds = parts.offsets.to_numpy() - parts.offsets[0].as_py()
-    seen = parts.flatten().dictionary_encode()
-    different = seen.dictionary.cast(pa.binary()).to_pylist()
-    known = np.fromiter(map(xxhash.xxh64_intdigest, different), dtype=np.uint64, count=len(different))
-    at = seen.indices.to_numpy()
-    some = np.array([bool(w) for w in different], dtype=bool)[at] if len(at) else np.zeros(0, dtype=bool)
-    return known[at[some]], np.concatenate([[0], np.cumsum(some)])[bounds]
+    edges = np.frombuffer(texts.buffers()[1] or bytes(4), dtype=np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    data = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)[edges[0] : edges[-1]]
+    edges -= edges[0]
+    blank = np.ones(len(data) + 2, dtype=bool)
+    blank[1:-1] = _BLANK[data]
+    inner = ~blank[1:-1]
+    first, last = inner & blank[:-2], inner & blank[2:]
+    cuts = edges[1:-1][(edges[1:-1] > 0) & (edges[1:-1] < len(data))]  # a word ends with its text
+    first[cuts] |= inner[cuts]
+    last[cuts - 1] |= inner[cuts - 1]
+    starts, sizes = np.flatnonzero(first), np.flatnonzero(last) + 1
+    sizes -= starts
+    if not len(starts):
+        return np.empty(0, dtype=np.uint64), np.zeros(len(edges), dtype=np.int64)
+    begins = np.cumsum(sizes) - sizes
+    within = np.arange(int(sizes.sum()), dtype=np.int32) - np.repeat(begins.astype(np.int32), sizes)
+    x = np.add.reduceat(_BYTE[data[inner]] * powers(int(sizes.max()), 1)[within], begins)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32)), np.searchsorted(starts, edges)
 
 
 def lines(hashes: np.ndarray, size: int = LINE) -> np.ndarray:
@@ -118,7 +133,7 @@ PRINTS = "id long, part long, print long, mark int, pos int"
 def _prints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows PRINTS: the first place of each fingerprint of a text; a text that has one twice also has a
     row without print."""
-    for batch in together(batches, 2):
+    for batch in together(batches, 2, 3_000_000):
         hashes, bounds = words(pc.fill_null(batch.column(2).cast(pa.string()), ""))
         ranks = lines(hashes)
         at, text = fingerprints(ranks, bounds)
@@ -184,9 +199,9 @@ def agreeing(hashes: np.ndarray, x: int, y: int) -> int:
     return n
 
 
-def own_runs(text: str) -> list[tuple[int, int]]:
+def own_runs(text: bytes) -> list[tuple[int, int]]:
     """Runs of a text that occur in it before, a line or more away."""
-    hashes, bounds = words(pa.array([text], pa.string()))
+    hashes, bounds = words(pa.array([text], pa.binary()).cast(pa.string()))
     ranks = lines(hashes)
     at, _ = fingerprints(ranks, bounds)
     known, out, covered = {}, [], 0
@@ -204,16 +219,19 @@ def own_runs(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def without(text: str, gone: list[tuple[int, int]]) -> str:
+def without(text: bytes, gone: list[tuple[int, int]]) -> bytes:
     """The text without the given runs of words, each up to the next word that stays."""
-    starts = [m.start() for m in WORD.finditer(text)] + [len(text)]
+    blank = _BLANK[np.frombuffer(text, dtype=np.uint8)]
+    first = ~blank
+    first[1:] &= blank[:-1]
+    starts = np.append(np.flatnonzero(first), len(text))
     out, at = [], 0
     for a, b in sorted(gone):
         if starts[a] > at:
             out.append(text[at : starts[a]])
-        at = max(at, starts[b])
+        at = max(at, int(starts[b]))
     out.append(text[at:])
-    return "".join(out)
+    return b"".join(out)
 
 
 def _asked(at: int, size: int):
@@ -239,29 +257,28 @@ def _deleted(at: int, fields: list[str]):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns, found = [*batch.columns[:-4]], batch.columns[-2]
-            twice, deleted = batch.columns[-1], [0] * batch.num_rows
-            if found.null_count < batch.num_rows or twice.null_count < batch.num_rows:
-                texts = columns[at].to_pylist()
-                for x, (ends, own) in enumerate(zip(found.to_pylist(), twice.to_pylist())):
-                    if not ends and not own:
-                        continue
-                    gone = own_runs(texts[x]) if own else []
-                    if ends:
-                        gone += extended(texts[x], ends)
-                    left = without(texts[x], gone)
-                    deleted[x] = len(texts[x]) - len(left)
-                    texts[x] = left
-                columns[at] = pa.array(texts, columns[at].type)
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(deleted, pa.int64())], fields)
+            columns, ends, own = [*batch.columns[:-4]], batch.columns[-2], batch.columns[-1]
+            changed = np.flatnonzero(pc.or_(ends.is_valid(), own.is_valid()).to_numpy(zero_copy_only=False))
+            some, deleted, left = pa.array(changed), np.zeros(batch.num_rows, dtype=np.int64), []
+            texts = columns[at].take(some).cast(pa.binary()).to_pylist()
+            for x, text, found, twice in zip(changed.tolist(), texts, ends.take(some).to_pylist(), own.take(some).to_pylist()):
+                gone = (own_runs(text) if twice else []) + (extended(text, found) if found else [])
+                left.append(without(text, gone) if gone else text)
+                if gone:
+                    deleted[x] = len(text.decode()) - len(left[-1].decode())
+            if len(changed):
+                mask = np.zeros(batch.num_rows, dtype=bool)
+                mask[changed] = True
+                columns[at] = pc.replace_with_mask(columns[at], pa.array(mask), pa.array(left, pa.binary()).cast(columns[at].type))
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(deleted)], fields)
 
     return run
 
 
-def extended(text: str, ends: list[dict]) -> list[tuple[int, int]]:
+def extended(text: bytes, ends: list[dict]) -> list[tuple[int, int]]:
     """Runs of LEAST words or more, from rows (a, b, i, p, d, side, around), one for each end of a run."""
-    body, found = text.encode(), {}
-    near = around(body, [(e["side"], e["a"] if e["side"] == 0 else e["b"]) for e in ends])
+    found = {}
+    near = around(text, [(e["side"], e["a"] if e["side"] == 0 else e["b"]) for e in ends])
     for e, mine in zip(ends, near):
         run = found.setdefault((e["i"], e["p"], e["d"], e["a"], e["b"]), [e["a"], e["b"]])
         n = alike(mine, e["around"])
