@@ -6,23 +6,10 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from datetime import time
 
-# Names a feed column can be mapped to, the one landing table,
-# and the date shapes tried after ISO text.
+# Names a feed column can be mapped to, and the one landing table.
 MANDATORY = ("symbol", "timestamp", "open", "high", "low", "close", "volume", "currency")
 OPTIONAL = ("adjusted_close",)
 LANDING_TABLE = "market_prices"
-DATE_SHAPES = (
-    "M/d/yyyy[ H:mm[:ss]]",
-    "M/d/yyyy h:mm[:ss] a",
-    "d/M/yyyy[ H:mm[:ss]]",
-    "yyyy/M/d[ H:mm[:ss]]",
-    "yyyyMMdd[ H:mm[:ss]]",
-    "yyyyMMdd'T'HHmm[ss]",
-    "MMM d, yyyy[ h:mm a]",
-    "MMMM d, yyyy[ h:mm a]",
-    "d-MMM-yyyy[ H:mm[:ss]]",
-    "M/d/yy[ H:mm[:ss]]",
-)
 
 
 class ContractError(ValueError):
@@ -61,7 +48,8 @@ class FeedContract:
     target_zone: str = "UTC"
     table: str = LANDING_TABLE
     na_values: tuple[str, ...] = ()
-    date_shapes: tuple[str, ...] = DATE_SHAPES
+    # Spark datetime patterns tried before the general date grammar, for feeds with a shape of their own.
+    date_shapes: tuple[str, ...] = ()
     granularity: str = "second"
 
     def checked(self) -> FeedContract:

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitbars.functions.clock import local_clock, localised, names_offset, wall_clock, zoned_instant
-from pitbars.contract import DATE_SHAPES
 from pitbars.operators import adjust, asof, checks, ledger, merge, monitor, normalize, reconcile
 from pitbars.plans import inputs as I
 from pitbars.schemas import ASOF_COLUMNS, BAR_COLUMNS, KEYS, VERSION_COLUMNS
@@ -123,7 +122,7 @@ def zone_edges(spark, sf_dir):
 
 @query
 def timestamp_shapes(spark, sf_dir):
-    """Event times written in seventeen shapes and read back."""
+    """Event times written in twenty-nine shapes and read back."""
     ts = F.col("ts")
     seconds = F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
     written = [
@@ -144,11 +143,23 @@ def timestamp_shapes(spark, sf_dir):
         F.date_format(ts, "yyyyMMdd HH:mm"),
         F.concat(F.date_format(ts, "yyyy-MM-dd H:mm"), F.lit("-04:00")),
         F.date_format(ts, "MM/dd/yy"),
+        F.date_format(ts, "yyyy-MM-dd h:mm a"),
+        F.date_format(ts, "M/d/yyyy HH:mm:ss.SSS"),
+        F.date_format(ts, "MMM d yyyy HH:mm"),
+        F.date_format(ts, "d MMMM yyyy"),
+        F.date_format(ts, "MMMM d yyyy"),
+        F.date_format(ts, "EEE MMM d HH:mm:ss yyyy"),
+        F.concat(F.date_format(ts, "EEE, d MMM yyyy HH:mm:ss"), F.lit(" GMT")),
+        F.date_format(ts, "yyyy.MM.dd HH:mm"),
+        F.concat(F.lit("13."), F.date_format(ts, "MM.yyyy HH:mm")),
+        F.date_format(ts, "yyyy-MM-dd HH"),
+        F.date_format(ts, "d/MM/yyyy h a"),
+        F.date_format(ts, "EEEE, MMMM d, yyyy h:mm:ss a"),
     ]
     text = F.element_at(F.array(*written), (F.col("event_id") % len(written) + 1).cast("int"))
     clock = F.col("text")
-    local = localised(wall_clock(clock, DATE_SHAPES), "UTC")
-    read = F.when(names_offset(clock), zoned_instant(clock, DATE_SHAPES)).otherwise(local)
+    local = localised(wall_clock(clock), "UTC")
+    read = F.when(names_offset(clock), zoned_instant(clock)).otherwise(local)
     return I.table(spark, sf_dir, "events").select("event_id", text.alias("text")).select("event_id", read.alias("price_ts"))
 
 

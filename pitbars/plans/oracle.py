@@ -338,11 +338,16 @@ SELECT l_orderkey, l_partkey, l_linenumber, {_ts("local_ts")}, {_ts("price_ts")}
   strftime(timezone('America/New_York', timezone('UTC', price_ts)), '%Y-%m-%d %H:%M:%S.%f') AS shown
 FROM placed""",
         "timestamp_shapes": f"""
-SELECT event_id, {_ts('''CASE event_id % 17 WHEN 0 THEN ts WHEN 2 THEN date_trunc('second', ts) + INTERVAL 5 HOUR
+SELECT event_id, {_ts('''CASE event_id % 29 WHEN 0 THEN ts WHEN 2 THEN date_trunc('second', ts) + INTERVAL 5 HOUR
   WHEN 1 THEN date_trunc('second', ts) WHEN 6 THEN date_trunc('second', ts) WHEN 7 THEN date_trunc('second', ts)
   WHEN 13 THEN date_trunc('second', ts) WHEN 15 THEN date_trunc('minute', ts) + INTERVAL 4 HOUR
   WHEN 4 THEN CAST(CAST(ts AS DATE) AS TIMESTAMP) WHEN 11 THEN CAST(CAST(ts AS DATE) AS TIMESTAMP)
   WHEN 12 THEN CAST(CAST(ts AS DATE) AS TIMESTAMP) WHEN 16 THEN CAST(CAST(ts AS DATE) AS TIMESTAMP)
+  WHEN 18 THEN date_trunc('millisecond', ts) WHEN 20 THEN CAST(CAST(ts AS DATE) AS TIMESTAMP)
+  WHEN 21 THEN CAST(CAST(ts AS DATE) AS TIMESTAMP) WHEN 22 THEN date_trunc('second', ts) WHEN 23 THEN date_trunc('second', ts)
+  WHEN 25 THEN date_trunc('month', ts) + INTERVAL 12 DAY + (date_trunc('minute', ts) - date_trunc('day', ts))
+  WHEN 26 THEN date_trunc('hour', ts) WHEN 28 THEN date_trunc('second', ts)
+  WHEN 27 THEN date_trunc('hour', CASE WHEN day(ts) > 12 THEN ts ELSE make_timestamp(year(ts), day(ts), month(ts), hour(ts), 0, 0) END)
   ELSE date_trunc('minute', ts) END''', 'price_ts')} FROM events""",
         "calendar_violations": f"""{_EXCHANGE}, shown AS (
   SELECT o1, price_ts, timezone('America/New_York', timezone('UTC', price_ts)) AS clock FROM placed)

@@ -149,6 +149,33 @@ def test_timestamp_texts(spark):
         "20260313T0930Z": "2026-03-13 09:30:00",
         "20260313 09:30": "2026-03-13 09:30:00",
         "03/13/26": "2026-03-13 00:00:00",
+        "2026-03-13 9:30 AM": "2026-03-13 09:30:00",
+        "3/13/2026 09:30:00.250": "2026-03-13 09:30:00.25",
+        "Mar 13 2026 09:30": "2026-03-13 09:30:00",
+        "13 March 2026": "2026-03-13 00:00:00",
+        "March 13 2026": "2026-03-13 00:00:00",
+        "Fri Mar 13 09:30:00 2026": "2026-03-13 09:30:00",
+        "Fri, 13 Mar 2026 09:30:00 GMT": "2026-03-13 09:30:00",
+        "Friday, 13th of March 2026": None,
+        "Friday, 13th March 2026, 9 p.m.": "2026-03-13 21:00:00",
+        "OCT 13 2026": "2026-10-13 00:00:00",
+        "Sept. 3, 2026 12:05 am": "2026-09-03 00:05:00",
+        "2026.03.13 09:30": "2026-03-13 09:30:00",
+        "13.03.2026 09:30": "2026-03-13 09:30:00",
+        "03.04.2026": "2026-03-04 00:00:00",
+        "2026-03-13 09": "2026-03-13 09:00:00",
+        "2026-03-13 24": None,
+        "Mar 2026": "2026-03-01 00:00:00",
+        "2026 Mar 13": "2026-03-13 00:00:00",
+        "13-Mar-99": "1999-03-13 00:00:00",
+        "03/2026": "2026-03-01 00:00:00",
+        "2026-03-13 13:30 PM": None,
+        "2026-03-13 09:30:60": None,
+        "2026-03-13 09:30 and more": None,
+        "13/13/2026": None,
+        "Mar 13": None,
+        "9:30": None,
+        "12": None,
         "now": None,
         "12:30Z": None,
         "2026-02-30": None,
