@@ -16,6 +16,10 @@ BLANKS = (
 )
 
 
+# Sign, digits before and after the point, exponent; one digit at least is asked for apart.
+DECIMAL_TEXT = r"^([+-]?)(\d*)(?:\.(\d*))?(?:(?<=[\d.])[eE]([+-]?\d+))?$"
+
+
 def stripped(text: Column) -> Column:
     """Remove Unicode blanks at both ends; plain ``trim`` removes U+0020 only.
 
@@ -39,8 +43,16 @@ def exact_number(text: Column) -> Column:
 def whole_number(text: Column) -> Column:
     """Integral value of the stripped text; ``5.0`` and ``1e3`` count, ``12.5`` does not.
 
-    Plain digits take the first branch, so the decimal detour is only paid by
-    the unusual spellings.
+    Plain digits take the first branch. Other spellings are judged as text, digit by digit, before any
+    cast, so no digit however small is rounded away.
     """
-    wide = exact_number(text)
-    return F.coalesce(text.try_cast("bigint"), F.when(wide == F.floor(wide), wide.try_cast("bigint")))
+    digits = F.concat(F.regexp_extract(text, DECIMAL_TEXT, 2), F.regexp_extract(text, DECIMAL_TEXT, 3))
+    exponent = F.coalesce(F.regexp_extract(text, DECIMAL_TEXT, 4).try_cast("int"), F.when(F.regexp_extract(text, DECIMAL_TEXT, 4) == "", F.lit(0)))
+    scale = F.length(F.regexp_extract(text, DECIMAL_TEXT, 3)).cast("bigint") - exponent
+    zeros = F.length(digits) - F.length(F.rtrim(digits, F.lit("0")))
+    kept = (F.length(digits) - F.greatest(scale, F.lit(0))).cast("int")
+    # Nineteen digits are more than any bigint has.
+    value = F.concat(F.regexp_extract(text, DECIMAL_TEXT, 1), F.left(digits, kept), F.repeat(F.lit("0"), F.least(F.greatest(-scale, F.lit(0)), F.lit(19)).cast("int")))
+    nothing = F.rtrim(digits, F.lit("0")) == ""
+    spelled = F.when(nothing, F.lit(0).cast("bigint")).when(zeros >= scale, value.try_cast("bigint"))
+    return F.coalesce(text.try_cast("bigint"), F.when(text.rlike(DECIMAL_TEXT) & text.rlike("[0-9]"), spelled))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitbars.schemas import KEYS, PRICES
@@ -15,6 +15,10 @@ RUN_STATUSES = ("running", "completed", "failed")
 RECONCILIATION_STATUSES = ("not_run", "passed", "failed")
 
 
+# Stands for the end of a belief that has none.
+ENDLESS = "9999-12-31 00:00:00"
+
+
 class ConstraintError(RuntimeError):
     """Rows about to be committed break a table constraint."""
 
@@ -89,6 +93,20 @@ def duplicate_active(versions: DataFrame) -> DataFrame:
     return duplicate_keys(versions.where(F.col("valid_to").isNull()), KEYS)
 
 
+def overlapping_intervals(versions: DataFrame) -> DataFrame:
+    """Versions that begin while an earlier one of their key is still believed, with the time up to which
+    one is (NULL: without end). Bulk as-of reads rely on there being none.
+
+    A sweep over each key's versions by their begin, with the latest end so far; empty and backward
+    intervals are left to the rules of a row. One shuffle by key, which no popular symbol gathers.
+    """
+    held = versions.where(F.col("valid_to").isNull() | (F.col("valid_to") > F.col("valid_from")))
+    end = F.coalesce(F.col("valid_to"), F.lit(ENDLESS).cast("timestamp"))
+    before = Window.partitionBy(*KEYS).orderBy("valid_from", end).rowsBetween(Window.unboundedPreceding, -1)
+    swept = held.withColumn("held_until", F.max(end).over(before)).where(F.col("held_until") > F.col("valid_from"))
+    return swept.select(*KEYS, "valid_from", "valid_to", F.nullif("held_until", F.lit(ENDLESS).cast("timestamp")).alias("held_until"))
+
+
 def duplicate_actions(actions: DataFrame) -> DataFrame:
     return duplicate_keys(actions, ("source_name", "symbol", "action_date", "action_type"))
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitbars.functions.clock import local_clock, localised, names_offset, wall_clock, zoned_instant
+from pitbars.functions.text import whole_number
 from pitbars.operators import adjust, asof, checks, ledger, merge, monitor, normalize, reconcile
 from pitbars.plans import inputs as I
 from pitbars.schemas import ASOF_COLUMNS, BAR_COLUMNS, KEYS, VERSION_COLUMNS
@@ -319,6 +320,27 @@ def active_key_duplicates(spark, sf_dir):
     return checks.duplicate_active(twice)
 
 
+@query
+def interval_overlaps(spark, sf_dir):
+    """A third of the beliefs written past the merge, while others of their keys are in force."""
+    late = merge.first_load(I.staged(spark, sf_dir), I.BETWEEN)
+    return checks.overlapping_intervals(I.merged(spark, sf_dir).unionByName(late.where("volume % 300 = 0")))
+
+
+@query
+def volume_spellings(spark, sf_dir):
+    """Quantities of all order lines in twelve spellings, whole and not, as the volume rule reads them."""
+    n = F.col("l_quantity").cast("bigint").cast("string")
+    plain = [
+        n, F.concat(n, F.lit(".")), F.concat(n, F.lit(".000")), F.concat(n, F.lit("e2")), F.concat(n, F.lit("00E-2")),
+        F.concat(n, F.lit(".0000000000000000001")), F.concat(n, F.lit(".25e2")), F.concat(n, F.lit(".25e1")), F.concat(F.lit("-"), n, F.lit(".0e0")),
+        F.concat(F.lit("."), n), F.concat(n, F.lit("e30")), F.concat(F.lit("0.000000000000000000000"), n, F.lit("e23")),
+    ]
+    line = I.table(spark, sf_dir, "lineitem")
+    text = F.element_at(F.array(*plain), (F.pmod(F.col("l_orderkey") + F.col("l_linenumber"), F.lit(len(plain))) + 1).cast("int"))
+    return line.select("l_orderkey", "l_linenumber", "l_partkey", text.alias("spelled")).withColumn("volume", whole_number(F.col("spelled")))
+
+
 @query
 def action_violations(spark, sf_dir):
     broke = F.col("symbol").endswith("7")

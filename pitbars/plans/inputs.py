@@ -19,6 +19,7 @@ from pitbars.operators.normalize import normalize, stage
 ORDER = tuple(f"o{n}" for n in range(1, 9))
 NOW = datetime(2030, 1, 1)
 FIRST_LOAD = datetime(2024, 1, 1)
+BETWEEN = datetime(2024, 1, 15)
 RESTATED = datetime(2024, 2, 1)
 RESENT = datetime(2024, 2, 5)
 

@@ -405,6 +405,24 @@ SELECT symbol, '{{"landed_checksum":' || coalesce('"' || landed_checksum || '"',
         "active_key_duplicates": f"""{LOADED},
 twice AS (SELECT {_KEYS} FROM staged UNION ALL SELECT {_KEYS} FROM staged2)
 SELECT source_name, symbol, {_ts("price_ts")}, count(*) AS copies FROM twice GROUP BY {_KEYS}, twice.price_ts HAVING count(*) > 1""",
+        "interval_overlaps": f"""{MERGED}, all_rows AS (
+  SELECT {_KEYS}, valid_from, valid_to FROM merged
+  UNION ALL SELECT {_KEYS}, TIMESTAMP '2024-01-15 00:00:00', NULL FROM staged WHERE volume % 300 = 0)
+SELECT source_name, symbol, {_ts("price_ts")}, {_ts("valid_from")}, {_ts("valid_to")},
+  {_ts("CASE WHEN held_until < TIMESTAMP '9999-01-01 00:00:00' THEN held_until END", "held_until")} FROM (
+  SELECT *, max(coalesce(valid_to, TIMESTAMP '9999-12-31 00:00:00')) OVER (PARTITION BY {_KEYS}
+    ORDER BY valid_from, valid_to NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS held_until
+  FROM all_rows WHERE valid_to IS NULL OR valid_to > valid_from)
+WHERE held_until > valid_from""",
+        "volume_spellings": """
+WITH n AS (SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_quantity AS BIGINT) AS q, (l_orderkey + l_linenumber) % 12 AS s FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey,
+  CASE s WHEN 0 THEN q || '' WHEN 1 THEN q || '.' WHEN 2 THEN q || '.000' WHEN 3 THEN q || 'e2' WHEN 4 THEN q || '00E-2'
+    WHEN 5 THEN q || '.0000000000000000001' WHEN 6 THEN q || '.25e2' WHEN 7 THEN q || '.25e1' WHEN 8 THEN '-' || q || '.0e0'
+    WHEN 9 THEN '.' || q WHEN 10 THEN q || 'e30' ELSE '0.000000000000000000000' || q || 'e23' END AS spelled,
+  CASE WHEN s IN (0, 1, 2, 4) THEN q WHEN s = 3 THEN 100 * q WHEN s = 6 THEN 100 * q + 25 WHEN s = 8 THEN -q
+    WHEN s = 11 THEN CASE WHEN q < 10 THEN 10 * q ELSE q END END AS volume
+FROM n""",
         "action_violations": f"""WITH {ACTIONS},
 spoiled AS (SELECT source_name, symbol, action_date,
   CASE WHEN ends_with(symbol, '9') THEN 'merger' ELSE action_type END AS action_type,

@@ -18,20 +18,57 @@ SYNTHETIC_START = "2026-04-01 09:30:00"
 SYNTHETIC_HIGH, SYNTHETIC_LOW, SYNTHETIC_CLOSE = "1.25", "-0.85", "0.35"
 
 
-def read_feed(spark: SparkSession, path: str | Sequence[str], multi_line: bool = False) -> DataFrame:
+# A cell that opens with a quote and is not closed on its line.
+OPEN_CELL = r'(?:^|,)"(?:[^"]|"")*$'
+
+
+class UnbalancedQuotes(ValueError):
+    """A file opens a quoted cell that it never closes."""
+
+
+def wrapped_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """Files with line breaks within quoted cells, which can't be split at line ends.
+
+    Lines are counted where they lie; only the names of such files come back. A file whose
+    quotes are odd in number never closes its last cell and is refused.
+    """
+    lines = spark.read.text(list(paths)).select("value", F.col("_metadata.file_path").alias("file")).where(F.col("value").contains('"'))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    files = lines.groupBy("file").agg(F.count_if(F.col("value").rlike(OPEN_CELL)).alias("open"), (F.sum(quotes) % 2).alias("odd")).where("open > 0")
+    found = files.collect()
+    if broken := [row["file"] for row in found if row["odd"]]:
+        raise UnbalancedQuotes(f"a quoted cell is never closed in: {', '.join(sorted(broken))}")
+    return sorted(row["file"] for row in found)
+
+
+def read_feed(spark: SparkSession, path: str | Sequence[str], multi_line: bool | None = None) -> DataFrame:
     """CSV with a header as strings, plus ``FILE_ORDER``.
 
+    Files with line breaks in quoted cells are found first and read whole; all others are split.
+    ``multi_line`` True or False says that all files have such breaks, or none, and saves the look.
+
     Types are never inferred: a ticker ``NA`` or ``000001`` stays what it is.
     Every file's header is checked against the first.  Within a block rows are
     numbered in reading order, so (file, block, number) is the file order
     however Spark packs blocks into tasks.
     """
+    paths = [path] if isinstance(path, str) else list(path)
+    if multi_line is None:
+        if wrapped := wrapped_files(spark, paths):
+            every = {row["file"] for row in spark.read.format("binaryFile").load(paths).select(F.col("_metadata.file_path").alias("file")).collect()}
+            others = sorted(every.difference(wrapped))
+            whole = _rows(spark, wrapped, True)
+            return whole.unionByName(_rows(spark, others, False)) if others else whole
+    return _rows(spark, paths, bool(multi_line))
+
+
+def _rows(spark: SparkSession, paths: list[str], multi_line: bool) -> DataFrame:
     rows = (
         spark.read.option("header", True)
         .option("enforceSchema", False)
         .option("escape", '"')
         .option("multiLine", multi_line)
-        .csv(path if isinstance(path, str) else list(path))
+        .csv(paths)
     )
     return rows.select(
         *map(quoted, rows.columns),

@@ -14,7 +14,7 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Iterable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 from hashlib import md5
 from re import sub
 from urllib.parse import urlparse
@@ -224,7 +224,8 @@ class Store:
         """Commit empty versions of every source and forget all runs."""
         for row in self.commits().groupBy("source_name").agg(F.max("commit_id").alias("head")).collect():
             self._commit(row["source_name"], row["head"], [{"state": None, "replaces": True}])
-        self._new_ledger(self.spark.createDataFrame([], EVENT))
+        for day in self._days():
+            self.remove(f"{self.root}/ledger/{day}")
 
     def compact_closed(self, source: str) -> int:
         """Rewrite the closed versions of a source as one folder per slot; returns the folders that went."""
@@ -282,29 +283,27 @@ class Store:
 
     # -- run ledger -------------------------------------------------------
 
-    def _generations(self) -> list[str]:
-        """Folders of the ledger, the one in use last; retention writes a new one and drops the others."""
+    # Events lie under the day on which their run was recorded, so retention touches past days only and
+    # never what a running load appends.
+
+    def _days(self) -> list[str]:
+        """Folders of the ledger, one a day."""
         found = self._fs().listStatus(self._path("ledger"))
-        return sorted(name for name in (f.getPath().getName() for f in found) if name.startswith("gen-"))
+        return sorted(name for name in (f.getPath().getName() for f in found) if name.startswith("day="))
 
     def _events(self) -> DataFrame:
-        held = self._generations()
-        if not held:
+        if not self._days():
             return self.spark.createDataFrame([], EVENT)
-        return self.spark.read.schema(EVENT).parquet(f"{self.root}/ledger/{held[-1]}")
+        layout = T.StructType([*EVENT.fields, T.StructField("day", T.StringType())])
+        return self.spark.read.schema(layout).parquet(f"{self.root}/ledger")
 
-    def _new_ledger(self, events: DataFrame) -> None:
-        before = self._generations()
-        number = int(before[-1].removeprefix("gen-")) + 1 if before else 0
-        draft = f"ledger/_{uuid4().hex}"
-        events.coalesce(1).write.parquet(f"{self.root}/{draft}")
-        self._fs().rename(self._path(draft), self._path(f"ledger/gen-{number:08d}"))
-        for name in before:
-            self.remove(f"{self.root}/ledger/{name}")
+    def _append(self, events: DataFrame, mode: str = "append") -> None:
+        dated = events.withColumn("day", F.to_date("created_at").cast("string"))
+        dated.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(f"{self.root}/ledger")
 
     def runs(self) -> DataFrame:
         """One row per run that retention has kept, in its latest state."""
-        return ledger.state(self._events())
+        return ledger.state(self._events().select(*EVENT.fieldNames()))
 
     def run(self, run_id: str) -> dict:
         """One ledger row; a missing run is an error."""
@@ -323,18 +322,29 @@ class Store:
             raise checks.ConstraintError({"unique_run": 1})
         row = tuple({**event, "event_seq": seq}.get(name) for name in EVENT.fieldNames())
         rows = self.spark.createDataFrame([row], EVENT).coalesce(1)
-        if not self._generations():
-            self._new_ledger(self.spark.createDataFrame([], EVENT))
-        rows.write.mode("append").parquet(f"{self.root}/ledger/{self._generations()[-1]}")
+        self._append(rows)
 
     def prune_runs(self, days: int, now: datetime | None = None) -> int:
-        """Delete runs recorded before the retention cutoff, by the clock of the store; returns how many."""
+        """Delete runs recorded before the retention cutoff, by the clock of the store; returns how many.
+
+        Days before the cutoff's are dropped as a whole, the cutoff's own is written anew without the
+        runs that are too old. Both lie at least a day back, so no event of a younger run is touched.
+        """
         moment = now or datetime.now(timezone.utc)
-        before = self.runs()
-        kept = ledger.retained(before, moment, days).select("run_id")
-        gone = before.count() - kept.count()
-        if gone:
-            self._new_ledger(self._events().join(kept, "run_id", "left_semi").select(*EVENT.fieldNames()))
+        cutoff = ledger.retention_cutoff(moment, days)
+        last = (moment - timedelta(days=days)).astimezone(timezone.utc).strftime("day=%Y-%m-%d")
+        past = [day for day in self._days() if day <= last]
+        if not past:
+            return 0
+        events = self._events().where(F.col("day") <= last.removeprefix("day="))
+        counted = events.groupBy("day").agg(F.count_distinct(F.when(F.col("created_at") < cutoff, F.col("run_id"))).alias("gone"), F.count_if(F.col("created_at") >= cutoff).alias("kept"))
+        gone = 0
+        for row in counted.collect():  # a row per day
+            gone += row["gone"]
+            if row["gone"] and row["kept"]:
+                self._append(events.where((F.col("day") == row["day"]) & (F.col("created_at") >= cutoff)).select(*EVENT.fieldNames()).coalesce(1), "overwrite")
+            elif row["gone"]:
+                self.remove(f"{self.root}/ledger/day={row['day']}")
         return gone
 
     def reconciliation(self, run_id: str) -> DataFrame:

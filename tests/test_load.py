@@ -7,14 +7,14 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from pitbars.contract import ContractError, FeedContract
+from pitbars.contract import MANDATORY, ContractError, FeedContract
 from pitbars.operators import checks, ledger, merge, monitor
 from pitbars.operators.normalize import FeedError
 from pitbars.operators.reconcile import ReconciliationError
 from pitbars.plans import load as load_plan
 from pitbars.plans.load import run_feed, run_feeds
 from pitbars.schemas import ACTION
-from pitbars.sources.feed import FILE_ORDER, feed_footprint, read_feed, synthetic_feed
+from pitbars.sources.feed import FILE_ORDER, UnbalancedQuotes, feed_footprint, read_feed, synthetic_feed
 from pitbars.sources.store import ConflictError, Store
 
 HEADER = "symbol,timestamp,open,high,low,close,volume,adjusted_close,currency\r\n"
@@ -232,6 +232,44 @@ def test_vendor_headers_as_they_come(spark, tmp_path):
     assert set(refused.columns) == {*columns.values(), "rejection_reason"}
 
 
+def test_line_breaks_within_quoted_cells(spark, tmp_path):
+    header = ",".join([*MANDATORY, "adjusted_close", "note"]) + "\n"
+    bar = "AAPL,2026-04-01 13:30:00,1,1,1,1,10,USD,1,"
+    (tmp_path / "a.csv").write_text(header + bar + '"two\nlines, and ""quotes"""\n' + bar.replace("13:30", "13:31") + '"plain ""a,"",b"\n')
+    (tmp_path / "b.csv").write_text(header + bar.replace("13:30", "13:32") + 'five" wide\n' + bar.replace("13:30", "13:33") + "\n")
+    rows = read_feed(spark, str(tmp_path)).orderBy(*FILE_ORDER).collect()
+    assert [(r["timestamp"][11:16], r["note"]) for r in rows] == [
+        ("13:30", 'two\nlines, and "quotes"'), ("13:31", 'plain "a,",b'), ("13:32", 'five" wide'), ("13:33", None),
+    ]
+    store = Store(spark, str(tmp_path / "store"))
+    report = run_feed(store, FeedContract("feed", "UTC", path=str(tmp_path / "a.csv")), NOW, NOW)
+    assert (report.run["rows_read"], report.run["rows_rejected"], store.versions().count()) == (2, 0, 2)
+    (tmp_path / "c.csv").write_text(header + bar + '"never closed\n' + bar + "x\n")
+    with pytest.raises(UnbalancedQuotes, match="c.csv"):
+        run_feed(store, FeedContract("feed", "UTC", path=str(tmp_path / "c.csv")), NOW, NOW)
+    assert store.runs().where("status = 'failed'").count() == 1 and store.head("feed") == 1
+
+
+def test_an_event_written_during_retention_survives(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path / "store"))
+    run = run_feed(store, FeedContract("feed", "UTC", path=write(tmp_path, line())), NOW, NOW).run
+    at = datetime.now(timezone.utc).replace(hour=12)
+    for name, age in (("old", timedelta(days=95)), ("early", timedelta(days=90, hours=3)), ("late", timedelta(days=90) - timedelta(hours=3))):
+        store.log({**run, "run_id": name, "created_at": at - age}, 0)
+    append, between = store._append, []
+
+    def meanwhile(events, mode="append"):
+        if mode == "overwrite":
+            between.append(1)
+            Store(spark, store.root).log({**run, "run_id": "new", "status": "running", "created_at": at}, 0)
+        append(events, mode)
+
+    monkeypatch.setattr(store, "_append", meanwhile)
+    assert store.prune_runs(90, at) == 2 and between == [1]
+    assert {r["run_id"] for r in store.runs().collect()} == {run["run_id"], "late", "new"}
+    assert store.prune_runs(90, at) == 0
+
+
 def test_file_order_and_footprint(spark, tmp_path):
     path = write(tmp_path, *[line(close=str(n)) for n in range(1, 40)])
     rows = read_feed(spark, path).orderBy(*FILE_ORDER).collect()

@@ -116,6 +116,29 @@ def test_bulk_as_of_against_brute_force(spark, tmp_path):
     assert found == expected and len(expected) > 20
 
 
+def test_table_function_filters_reach_the_scan(spark, tmp_path):
+    versions = merge.first_load(bars(spark, bar(), bar("MSFT", close="7")), FIRST)
+    versions.write.parquet(str(tmp_path / "v"))
+    spark.read.parquet(str(tmp_path / "v")).createOrReplaceTempView("held_versions")
+    asof.register_sql(spark, "held_versions", "held_price")
+    found = spark.sql(f"SELECT * FROM held_price('feed', 'aapl', TIMESTAMP '{BAR_TS}', TIMESTAMP '{SECOND}')")
+    assert [r["symbol"] for r in found.collect()] == ["AAPL"]
+    plan = found._jdf.queryExecution().explainString(found._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    pushed = next(text for text in plan.splitlines() if text.startswith("PushedFilters"))
+    for name in ("EqualTo(source_name,feed)", "EqualTo(symbol,AAPL)", "EqualTo(price_ts,", "LessThanOrEqual(valid_from,", "IsNull(valid_to)"):
+        assert name in pushed, (name, pushed)
+
+
+def test_overlapping_intervals(spark):
+    versions = merge.first_load(bars(spark, bar("A"), bar("B")), FIRST)
+    versions = merge.temporal_merge(versions, bars(spark, bar("A", close="2")), SECOND)
+    assert checks.overlapping_intervals(versions).count() == 0
+    middle = FIRST + timedelta(hours=1)
+    both = versions.unionByName(merge.first_load(bars(spark, bar("A", close="3")), middle))
+    found = shown(checks.overlapping_intervals(both), "symbol", "valid_from", "held_until")
+    assert found == [("A", str(middle), str(SECOND)), ("A", str(SECOND), None)]
+
+
 def test_snapshot_at_each_load_has_one_version_per_key(spark):
     versions, last = _history(spark, 3, loads=4)
     snapshot = asof.snapshot_as_of(versions, last)
