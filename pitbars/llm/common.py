@@ -78,19 +78,35 @@ def picked(df: DataFrame, **names: str) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; a local one is set only where the session names none."""
+    """The folder that all executors share. Where the session names none, a local one is set if Spark runs
+    in one process, as in tests; a cluster has to name one."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     context: SparkContext = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
+        if not named and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(named or f"/tmp/checkpoints/{uuid.uuid4().hex}")
     return named or context._jsc.sc().getCheckpointDir().get()
 
 
+#: Tables that cut() has written and that nobody has dropped.
+written: list[str] = []
+
+
+def drop_written(spark: SparkSession, since: int = 0) -> None:
+    """Delete the tables that cut() wrote after the first `since`; whoever reads them must be done."""
+    while len(written) > since:
+        path = spark._jvm.org.apache.hadoop.fs.Path(written.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame, name: str = "cut", watch: tuple | None = None) -> DataFrame:
     """The rows written as a table in the shared folder and read again: short lineage, computed once.
+    drop_written() deletes it once its readers have ended.
     `watch`, an observation and its metrics, is taken while they are written."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    written.append(path)
     (df.observe(*watch) if watch else df).write.parquet(path)
     return spark.read.schema(nullable(df.schema)).parquet(path)
 

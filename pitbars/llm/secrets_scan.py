@@ -16,6 +16,7 @@ import json
 import re
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,11 +39,17 @@ PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:(?!-----)[A-Za-z0-
 #: Headers of an encrypted PEM block, and any header line.
 SEALED = re.compile(r"\s*Proc-Type:\s*4,\s*ENCRYPTED\s+DEK-Info:\s*[A-Z0-9-]+,\s*[0-9A-Fa-f]+\s")
 HEADER = re.compile(r"^[A-Za-z-]+:.*$", re.MULTILINE)
-#: A DER sequence starts with 0x30 and a length: M and a letter up to P in base64.
-DER = re.compile(r"(?<![A-Za-z0-9+/_-])M[A-P][A-Za-z0-9+/_-]{30,}(?:(?:\s|\\[nr])+[A-Za-z0-9+/_-]+)*")
-HEX_DER = re.compile(r"(?<![0-9a-f])30[0-9A-Fa-f]{22,}(?:(?:\s|\\[nr])+[0-9A-Fa-f]+)*")
-SSH = re.compile(r"(?<![A-Za-z0-9+/])b3BlbnNzaC1rZXktdjEA(?:[A-Za-z0-9+/\s]|\\[nr])+")
+#: Where a key may begin. A DER sequence starts with 0x30 and a length: M and a letter up to P in base64.
+DER = re.compile(r"(?<![A-Za-z0-9+/_-])M[A-P][A-Za-z0-9+/_-]{30}")
+HEX_DER = re.compile(r"(?<![0-9a-f])30[0-9A-Fa-f]{22}")
+SSH = re.compile(r"(?<![A-Za-z0-9+/])b3BlbnNzaC1rZXktdjEA[A-Za-z0-9+/\s\\]")
 BREAK = re.compile(r"\s|\\[nr]")
+#: Digits that may be wrapped.
+RUN_64 = re.compile(r"[A-Za-z0-9+/_-]+(?:(?:\s|\\[nr])+[A-Za-z0-9+/_-]+)*")
+RUN_SSH = re.compile(r"[A-Za-z0-9+/]+(?:(?:\s|\\[nr])+[A-Za-z0-9+/]+)*")
+RUN_HEX = re.compile(r"[0-9A-Fa-f]+(?:(?:\s|\\[nr])+[0-9A-Fa-f]+)*")
+#: More elements on one level than any private key has.
+MOST = 32
 
 
 def debase(text: str) -> bytes | None:
@@ -55,10 +62,10 @@ def debase(text: str) -> bytes | None:
 
 
 def elements(data: bytes) -> list[tuple[int, bytes]] | None:
-    """Tags and contents of the DER elements that make up `data` exactly, or None."""
+    """Tags and contents of the DER elements that make up `data` exactly, or None; None beyond MOST of them."""
     out, at = [], 0
     while at < len(data):
-        if at + 2 > len(data):
+        if at + 2 > len(data) or len(out) == MOST:
             return None
         tag, n = data[at], data[at + 1]
         at += 2
@@ -98,7 +105,7 @@ def private_key(data: bytes | None) -> bool:
     inner = elements(outer[0][1])
     if inner and [t for t, _ in inner] == [SEQUENCE, OCTETS] and inner[1][1]:  # PKCS#8, encrypted
         scheme = elements(inner[0][1])
-        return bool(scheme) and scheme[0][0] == OBJECT and scheme[0][1].startswith(SCHEMES)
+        return bool(scheme) and scheme[0][0] == OBJECT and bytes(scheme[0][1][:16]).startswith(SCHEMES)
     if not inner or inner[0][0] != INTEGER or len(inner) < 2:
         return False
     tags, version = [t for t, _ in inner], inner[0][1]
@@ -122,7 +129,7 @@ def openssh_key(data: bytes | None) -> bool:
 def openssh_size(data: bytes) -> int | None:
     """Number of bytes of the OpenSSH private key that `data` starts with, None if it is none."""
     magic = b"openssh-key-v1\0"
-    if not data.startswith(magic):
+    if bytes(data[: len(magic)]) != magic:
         return None
     at = len(magic)
 
@@ -149,24 +156,48 @@ def sealed(body: str) -> bool:
     return bool(data) and len(data) % 8 == 0
 
 
-def bare_keys(text: str, pattern: re.Pattern, size_of, fits, bits: int) -> list[tuple[int, int]]:
-    """(start, end) of keys in a run of digits of `bits` bits that may be wrapped; `size_of` tells from
-    the run's bytes how long a key is, `fits` whether these bytes are one."""
-    out, at = [], 0
+class Run:
+    """A run of digits of `bits` bits, decoded once for each place within a group of digits at which a
+    key can begin, so that any number of beginnings reads it without another copy."""
+
+    def __init__(self, text: str, start: int, end: int, bits: int):
+        kept, at = [], start
+        for m in BREAK.finditer(text, start, end):
+            kept.append(np.arange(at, m.start()))
+            at = m.end()
+        self.places = np.concatenate([*kept, np.arange(at, end)])
+        self.digits, self.bits, self.decoded = BREAK.sub("", text[start:end]), bits, {}
+
+    def read(self, place: int) -> tuple[int, memoryview]:
+        """Number of the digit at a place of the text, and the bytes from there on."""
+        digit = int(np.searchsorted(self.places, place))
+        group = 2 if self.bits == 4 else 4
+        phase = digit % group
+        if phase not in self.decoded:
+            digits = self.digits[phase:]
+            if self.bits == 4:
+                data = bytes.fromhex(digits[: len(digits) // 2 * 2])
+            else:
+                data = debase(digits[:-1] if len(digits) % 4 == 1 else digits) or b""
+            self.decoded[phase] = memoryview(data)
+        return digit, self.decoded[phase][(digit - phase) // group * (group * self.bits // 8) :]
+
+
+def bare_keys(text: str, pattern: re.Pattern, runs: re.Pattern, size_of, fits, bits: int) -> list[tuple[int, int]]:
+    """(start, end) of keys in runs of digits of `bits` bits that may be wrapped; `size_of` tells from
+    the bytes how long a key is, `fits` whether these bytes are one. Linear in the text: a run is
+    decoded once, and a beginning costs no more than the elements it names."""
+    out, at, upto, run = [], 0, 0, None
     while m := pattern.search(text, at):
-        digits, at = BREAK.sub("", m[0]), m.start() + 1
-        if bits == 4:
-            data = bytes.fromhex(digits[: len(digits) // 2 * 2])
-        else:
-            data = debase(digits[:-1] if len(digits) % 4 == 1 else digits) or b""
+        at = m.start() + 1
+        if m.start() >= upto:
+            # The run that the beginning lies in; what comes before it in its run is of no use.
+            span = runs.match(text, m.start())
+            upto, run = span.end(), Run(text, m.start(), span.end(), bits)
+        digit, data = run.read(m.start())
         size = size_of(data)
         if size and size <= len(data) and fits(data[:size]):
-            left, end = -(-size * 8 // bits), m.start()
-            while left:
-                if skip := BREAK.match(text, end):
-                    end = skip.end()
-                else:
-                    left, end = left - 1, end + 1
+            end = int(run.places[digit - (-size * 8 // bits) - 1]) + 1
             for _ in range(-size % 3 if bits == 6 else 0):
                 end += text.startswith("=", end)
             out.append((m.start(), end))
@@ -206,10 +237,10 @@ def confirmed_spans(text: str, found: list[tuple[int, int, int]]) -> list[tuple[
             data = debase(HEADER.sub("", body))
             if private_key(data) or openssh_key(data) or sealed(body):
                 out.append((m.start(), 4, m.end()))
-    out += [(i, 5, j) for i, j in bare_keys(text, DER, der_size, private_key, 6)]
-    out += [(i, 5, j) for i, j in bare_keys(text, HEX_DER, der_size, private_key, 4)]
+    out += [(i, 5, j) for i, j in bare_keys(text, DER, RUN_64, der_size, private_key, 6)]
+    out += [(i, 5, j) for i, j in bare_keys(text, HEX_DER, RUN_HEX, der_size, private_key, 4)]
     if "b3BlbnNzaC1rZXktdjEA" in text:
-        out += [(i, 6, j) for i, j in bare_keys(text, SSH, openssh_size, openssh_key, 6)]
+        out += [(i, 6, j) for i, j in bare_keys(text, SSH, RUN_SSH, openssh_size, openssh_key, 6)]
     return out
 
 

@@ -2,6 +2,7 @@ import base64
 import hashlib
 import json
 import re
+import time
 
 from pitbars.llm import secrets_scan as ss
 
@@ -83,6 +84,16 @@ def test_report_and_redaction(spark, sf):
     assert ss.report(docs.limit(0)).count() == 0 and ss.redact(docs.limit(0)).columns == docs.columns
 
 
+def test_long_hostile_texts_take_linear_time():
+    key = b64(RSA)
+    for part in ("30" + "aa" * 20 + " ", "MA" + "b" * 30 + " ", "MIIB" + "b" * 30 + "\n", "MIQA" + "A" * 30 + " ", b64(b"openssh-key-v1\0") + "AAAA ", "A30" * 8, "30848000" + "02" * 20 + " ", "eyJ" + "x" * 20 + "."):
+        text = part * (1_000_000 // len(part)) + "; " + key
+        start = time.perf_counter()
+        found = kinds(text)
+        assert time.perf_counter() - start < 8, part[:8]
+        assert ("der", key) in found
+
+
 def wrapped(text, end="\n"):
     return end.join(text[i : i + 64] for i in range(0, len(text), 64))
 
