@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from pitbars.llm import line_dedup, order_minhash, packing, secrets_scan, toxicity
-from pitbars.llm.common import checkpoint_dir, shipped, table
+from pitbars.llm.common import checkpoint_dir, drop_written, shipped, table, written
 
 
 @shipped
@@ -51,9 +51,11 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     folder = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     for i, (name, stage) in enumerate(STAGES):
+        before = len(written)
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
             path = f"{folder}/{i}-{name}"
             docs.write.parquet(path)
+            drop_written(spark, before)  # what the stage wrote on its way
             docs = spark.read.parquet(path)
     return docs
