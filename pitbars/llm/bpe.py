@@ -309,7 +309,7 @@ def coder(path: str) -> Coder:
 
 
 #: Characters, about, and texts that are encoded at once.
-AT_ONCE, TEXTS = 5_000_000, 2048
+AT_ONCE, TEXTS = 3_000_000, 1024
 
 
 def encoded(path: str, batches: Iterable[pa.RecordBatch], text: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from ctypes import CDLL
 from functools import wraps
 from pathlib import Path
 from zipfile import ZipFile
@@ -119,7 +120,15 @@ def appended(df: DataFrame, *fields: StructField) -> StructType:
     return StructType([*df.schema.fields, *fields])
 
 
-def together(batches: Iterable[pa.RecordBatch], text: int, size: int = 5_000_000, rows: int = 2048) -> Iterator[pa.RecordBatch]:
+def give_back() -> None:
+    """Return what a task has freed to the system: Spark keeps its Python workers for other tasks, and
+    idle ones would hold on to it."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def together(batches: Iterable[pa.RecordBatch], text: int, size: int, rows: int = 2048) -> Iterator[pa.RecordBatch]:
     """The rows in batches of about `size` bytes of text, or `rows` rows if that is less."""
     held, held_size = [], 0
     for whole in batches:
@@ -131,3 +140,5 @@ def together(batches: Iterable[pa.RecordBatch], text: int, size: int = 5_000_000
                 held, held_size = [], 0
     if held:
         yield pa.concat_batches(held)
+    held = None
+    give_back()

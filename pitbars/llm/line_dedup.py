@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitbars.llm.common import cut, numbered, picked, place, together
+from pitbars.llm.common import cut, give_back, numbered, picked, place, together
 
 #: Words of a line, lines of a window, words from which a run counts.
 LINE, WINDOW, LEAST = 26, 25, 30
@@ -133,7 +133,7 @@ PRINTS = "id long, part long, print long, mark int, pos int"
 def _prints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows PRINTS: the first place of each fingerprint of a text; a text that has one twice also has a
     row without print."""
-    for batch in together(batches, 2, 3_000_000):
+    for batch in together(batches, 2, 1_500_000):
         hashes, bounds = words(pc.fill_null(batch.column(2).cast(pa.string()), ""))
         ranks = lines(hashes)
         at, text = fingerprints(ranks, bounds)
@@ -248,6 +248,7 @@ def _asked(at: int, size: int):
                 columns = list(zip(*rows)) or [()] * 5
                 kinds = pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["i", "p", "side", "place", "around"])
+        give_back()
 
     return run
 
@@ -271,6 +272,7 @@ def _deleted(at: int, fields: list[str]):
                 mask[changed] = True
                 columns[at] = pc.replace_with_mask(columns[at], pa.array(mask), pa.array(left, pa.binary()).cast(columns[at].type))
             yield pa.RecordBatch.from_arrays([*columns, pa.array(deleted)], fields)
+        give_back()
 
     return run
 
