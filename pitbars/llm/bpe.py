@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitbars.llm.common import appended, numbered, place, together
+from pitbars.llm.common import appended, numbered, place, tidied, together
 from pitbars.llm.merges import Merges, lowered, plain
 
 VOCABULARY = "word_bpe_49k.json"
@@ -344,7 +344,7 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, limit:
     body = F.col(f"c{at}")
     long = F.coalesce(F.length(body), F.lit(0)) > limit
     fields = T.StructField("ids", T.BinaryType()), T.StructField("n_tokens", T.LongType())
-    short = flat.where(~long).mapInArrow(_short(path, at), appended(flat, *fields))
+    short = flat.where(~long).mapInArrow(tidied(_short(path, at)), appended(flat, *fields))
     both = short.unionByName(_halved(flat.where(long), at, path, limit))
     kept = [i for i, n in enumerate(names) if n.lower() not in ("ids", "n_tokens")]
     return both.select(*(F.col(f"c{i}").alias(names[i]) for i in kept), "ids", "n_tokens")
@@ -391,10 +391,10 @@ def _halved(rows: DataFrame, at: int, path: str, limit: int) -> DataFrame:
 
     encoded = (
         pieces.repartition("key", "piece")
-        .mapInArrow(leaf, "key binary, piece long, start long, part string, rows binary")
+        .mapInArrow(tidied(leaf), "key binary, piece long, start long, part string, rows binary")
         .groupBy("key")
         .agg(F.collect_list(F.struct("piece", "start", "part", "rows")).alias("pieces"))  # one text's pieces
-        .mapInArrow(join, "key binary, ids binary, n_tokens long")
+        .mapInArrow(tidied(join), "key binary, ids binary, n_tokens long")
     )
     rows = rows.withColumn("key", key)
     return rows.join(encoded, "key").drop("key")
@@ -417,7 +417,7 @@ def decode(rows: DataFrame, ids: str = "ids", path: str | None = None) -> DataFr
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, "decoded"])
 
     names = rows.columns
-    done = flat.mapInArrow(run, appended(flat, T.StructField("decoded", T.StringType())))
+    done = flat.mapInArrow(tidied(run), appended(flat, T.StructField("decoded", T.StringType())))
     return done.select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names) if n.lower() != "decoded"), "decoded")
 
 

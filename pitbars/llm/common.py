@@ -128,6 +128,16 @@ def give_back() -> None:
         trim(0)
 
 
+def tidied(run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The same function over a task's batches, with give_back() at its end."""
+
+    def done(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return done
+
+
 def together(batches: Iterable[pa.RecordBatch], text: int, size: int, rows: int = 2048) -> Iterator[pa.RecordBatch]:
     """The rows in batches of about `size` bytes of text, or `rows` rows if that is less."""
     held, held_size = [], 0

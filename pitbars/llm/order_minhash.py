@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from pitbars.llm.common import cut, numbered, picked, place
+from pitbars.llm.common import cut, numbered, picked, place, tidied
 
 WORDS, SIMILARITY = 5, 0.8
 SKETCHES, DEPTH = 24, 4
@@ -308,7 +308,7 @@ def _checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("s"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("t"))
     rows = pairs.join(left, "a").join(right, "b").select("a", "b", "s", "t")
-    return rows.mapInArrow(_verify, "a binary, b binary")
+    return rows.mapInArrow(tidied(_verify), "a binary, b binary")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -345,7 +345,7 @@ def near_copies(texts: DataFrame) -> DataFrame:
 
     See the module's docstring for how buckets are worked off.
     """
-    sketches = texts.select("node", "text").mapInArrow(_sketches, "node binary, n int, bucket long")
+    sketches = texts.select("node", "text").mapInArrow(tidied(_sketches), "node binary, n int, bucket long")
     sketches = cut(sketches, "sketches")
     shared = sketches.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last"), F.count("*").alias("size")).where("first <> last")
     members = cut(sketches.join(shared.select("bucket", "size"), "bucket").distinct(), "members")
@@ -356,7 +356,7 @@ def near_copies(texts: DataFrame) -> DataFrame:
     texts = cut(wanted.groupBy("node").agg(F.first("text").alias("text")), "candidates")
     members = members.select("node", "n", "bucket")
 
-    further = texts.mapInArrow(_further, "node binary, more array<bigint>").join(reach, "node")
+    further = texts.mapInArrow(tidied(_further), "node binary, more array<bigint>").join(reach, "node")
     # A bucket, its parts and their parts: each member has FURTHER + 1 places.
     parts = [F.col("bucket")]
     for level in range(FURTHER):
@@ -394,11 +394,11 @@ def _all_pairs(rest: DataFrame, texts: DataFrame) -> DataFrame:
     for two of the largest component, and what they hold is gone through in memory.
     """
     texts = texts.join(rest.select("node").distinct(), "node", "left_semi")
-    counts = texts.mapInArrow(_slots, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # SLOTS rows at most
+    counts = texts.mapInArrow(tidied(_slots), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # SLOTS rows at most
     seen = np.zeros(SLOTS)
     seen[counts.column(0).to_numpy()] = counts.column(1).to_numpy()
     ranks = np.minimum(255, 8 * np.log2(1 + seen)).astype(np.uint8)
-    rare = texts.mapInArrow(_rarest(ranks), "node binary, rare array<bigint>")
+    rare = texts.mapInArrow(tidied(_rarest(ranks)), "node binary, rare array<bigint>")
 
     small, salt = F.col("most") + F.col("others") <= BLOCK, F.xxhash64("node")
     mains, others = (F.ceil(F.col(c) / BLOCK) for c in ("most", "others"))
@@ -408,7 +408,7 @@ def _all_pairs(rest: DataFrame, texts: DataFrame) -> DataFrame:
     placed = rest.join(rare, "node").select("bucket", "node", "n", "root", "rare", own.alias("own"), F.explode(F.sequence(from_.cast("int"), upto.cast("int"))).alias("other"))
     met = placed.select("bucket", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node", "n", "root", "rare")
     key = ["bucket", "x", "y"]
-    return met.repartition(*key).sortWithinPartitions(*key).mapInArrow(_possible, "a binary, b binary").distinct()
+    return met.repartition(*key).sortWithinPartitions(*key).mapInArrow(tidied(_possible), "a binary, b binary").distinct()
 
 
 def _candidates(pairs: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitbars.llm import bpe
-from pitbars.llm.common import cut, picked
+from pitbars.llm.common import cut, picked, tidied
 
 CAPACITY, END = 2048, 1
 #: Share of its place in a bin that a piece may waste before it is cut.
@@ -156,7 +156,7 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end
 
 def pack_ids(coded: DataFrame, capacity: int = CAPACITY, end: int | None = END) -> DataFrame:
     """The same from rows (doc_id, ids), ids as unsigned 32-bit little-endian integers."""
-    first = cut(coded.mapInArrow(_first_round(capacity, end), PIECES), "packed")
+    first = cut(coded.mapInArrow(tidied(_first_round(capacity, end)), PIECES), "packed")
     parts, workers, level = [first.where("sequence is not null").withColumn("level", F.lit(0))], (first.agg(F.max("worker")).first()[0] or 0) + 1, 1
     rest = first.where("sequence is null")
     while True:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitbars.llm.common import appended, numbered, place
+from pitbars.llm.common import appended, numbered, place, tidied
 
 KINDS = ("assign", "access", "hex", "jwt", "pem", "der", "ssh")
 BASE = 3
@@ -263,7 +263,7 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
                 out.append([{"kind": KINDS[k], "start": s, "end": e, "base": k < BASE} for s, k, e in found])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, kind)], [*batch.schema.names, "spans"])
 
-    done = flat.mapInArrow(run, appended(flat, T.StructField("spans", spans)))
+    done = flat.mapInArrow(tidied(run), appended(flat, T.StructField("spans", spans)))
     return done.select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names) if n.lower() != "spans"), "spans")
 
 
@@ -297,7 +297,7 @@ def redact(docs: DataFrame) -> DataFrame:
             columns[at] = pa.array([replaced(t, s) if s else t for t, s in zip(texts, spans)], columns[at].type)
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
 
-    done = found.mapInArrow(run, flat.schema)
+    done = found.mapInArrow(tidied(run), flat.schema)
     counted = [i for i, n in enumerate(names) if n == "n_chars"]
     for i in counted:
         n = F.length(f"c{at}").cast(flat.schema[i].dataType)

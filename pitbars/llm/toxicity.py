@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitbars.llm.common import appended, cut, numbered, picked, place
+from pitbars.llm.common import appended, cut, numbered, picked, place, tidied
 
 #: Labelled rows of a class that the fit reads, and the most stems it keeps.
 SAMPLE, STEMS = 20_000, 2_000
@@ -176,7 +176,7 @@ def learn_stems(sample: DataFrame) -> dict[str, float]:
     bad, good = sizes.get(1, 0), sizes.get(0, 0)
     if not bad or not good:
         return {}
-    words = sample.select("text", "toxic").mapInArrow(_words, "word string, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    words = sample.select("text", "toxic").mapInArrow(tidied(_words), "word string, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     stems = (
         words.select(F.explode(F.transform(F.sequence(F.lit(SHORTEST), F.least(F.lit(LONGEST), F.length("word"))), lambda n: F.substring("word", F.lit(1), n))).alias("stem"), "toxic", "clean")
         .groupBy("stem")
@@ -210,7 +210,7 @@ def _signed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def unlike(sample: DataFrame) -> DataFrame:
     """The sample with few copies of a text: copies share all their words, which would pass for stems."""
-    rows = sample.select("text", "toxic").mapInArrow(_signed, "text string, toxic int, s long, t long")
+    rows = sample.select("text", "toxic").mapInArrow(tidied(_signed), "text string, toxic int, s long, t long")
     return rows.dropDuplicates(["toxic", "s"]).dropDuplicates(["toxic", "t"]).select("text", "toxic")
 
 
@@ -243,7 +243,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Grammar:
             )
 
     if grammar.stems:
-        rows = sample.select("text", "toxic").mapInArrow(run, "x array<double>, y long, n long").groupBy("x", "y").agg(F.sum("n").alias("n")).collect()
+        rows = sample.select("text", "toxic").mapInArrow(tidied(run), "x array<double>, y long, n long").groupBy("x", "y").agg(F.sum("n").alias("n")).collect()
         rows = sorted(rows, key=lambda r: (r.x, r.y))
         x = np.repeat(np.array([r.x for r in rows]).reshape(-1, len(KINDS)), [r.n for r in rows], axis=0)
         y = np.repeat(np.array([r.y for r in rows], dtype=float), [r.n for r in rows])
@@ -266,7 +266,7 @@ def score(docs: DataFrame, grammar: Grammar, text: str = "text") -> DataFrame:
             scores = [g.score(g.features(t)) for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, "score"])
 
-    done = flat.mapInArrow(run, appended(flat, T.StructField("score", T.DoubleType())))
+    done = flat.mapInArrow(tidied(run), appended(flat, T.StructField("score", T.DoubleType())))
     return done.select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names) if n.lower() != "score"), "score")
 
 
