@@ -20,7 +20,7 @@ from __future__ import annotations
 import json
 import os
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import cache
 from string import punctuation
 
@@ -38,7 +38,7 @@ VOCABULARY = "word_bpe_49k.json"
 #: Characters above which a text is halved.
 LIMIT = 32_768
 #: Words of each of the two generations that a worker remembers, and their longest length.
-REMEMBERED, WORD = 150_000, 48
+REMEMBERED, WORD = 50_000, 48
 #: Characters of the bytes that a Latin-1 letter beyond ASCII has in UTF-8, as byte-level models write them.
 _BYTES = {b: c for c, b in zip(range(256, 324), [x for x in range(256) if not (33 <= x <= 126 or 161 <= x <= 172 or 174 <= x <= 255)])}
 #: First half-width in characters of the window around a join.
@@ -332,11 +332,19 @@ def _short(path: str, text: int):
     return run
 
 
-def encode(docs: DataFrame, text: str = "text", path: str | None = None, limit: int = LIMIT) -> DataFrame:
+Step = Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def encode(
+    docs: DataFrame, text: str = "text", path: str | None = None, limit: int = LIMIT, then: Step | None = None, schema: str | None = None
+) -> DataFrame:
     """Every row with two more columns: `ids` (binary, unsigned 32-bit little-endian) and `n_tokens`.
 
     A null text counts as empty and has no ids. Rows are kept as they are, also repeated ones; columns
     of `docs` that are named ids or n_tokens give way to the new ones. No row, no result.
+
+    `then` goes on with a task's batches (the other columns in their order, then `ids` and `n_tokens`) in the same
+    Python worker, so ids needn't pass through the JVM; its rows, of `schema`, are the result.
     """
     path = path or default_path()
     at, names = place(docs, text), docs.columns
@@ -344,8 +352,14 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, limit:
     body = F.col(f"c{at}")
     long = F.coalesce(F.length(body), F.lit(0)) > limit
     fields = T.StructField("ids", T.BinaryType()), T.StructField("n_tokens", T.LongType())
-    short = flat.where(~long).mapInArrow(tidied(_short(path, at)), appended(flat, *fields))
-    both = short.unionByName(_halved(flat.where(long), at, path, limit))
+    few, many = flat.where(~long), _halved(flat.where(long), at, path, limit)
+    if then:
+
+        def on(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            return then(batch.drop_columns([f"c{at}"]) for batch in _short(path, at)(batches))
+
+        return few.mapInArrow(tidied(on), schema).unionByName(many.drop(f"c{at}").mapInArrow(tidied(then), schema))
+    both = few.mapInArrow(tidied(_short(path, at)), appended(flat, *fields)).unionByName(many)
     kept = [i for i, n in enumerate(names) if n.lower() not in ("ids", "n_tokens")]
     return both.select(*(F.col(f"c{i}").alias(names[i]) for i in kept), "ids", "n_tokens")
 

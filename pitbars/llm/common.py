@@ -19,7 +19,11 @@ from pyspark.sql.types import StructField, StructType
 
 
 _shipped: set[str] = set()
-BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Settings of Arrow batches: Spark's default, and what suits long texts.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"),
+    "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "16m"),
+}
 
 
 def ship(spark: SparkSession) -> None:
@@ -42,8 +46,9 @@ def shipped(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, *rest) -> DataFrame:
         ship(spark)
-        if spark.conf.get(BATCH) == "10000":
-            spark.conf.set(BATCH, "1000")
+        for name, (usual, ours) in BATCHES.items():
+            if spark.conf.get(name) == usual:
+                spark.conf.set(name, ours)
         return query(spark, *rest)
 
     return run

@@ -96,7 +96,7 @@ def _first_round(capacity: int, end: int | None):
         used = 0
         for batch in batches:
             rows = []
-            for doc, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc, ids in zip(batch.column(0).to_pylist(), batch.column("ids").to_pylist()):
                 tokens = (ids or b"") + (end.to_bytes(4, "little") if end is not None else b"")
                 start, n = 0, len(tokens) // 4
                 for length in cuts(n, capacity):
@@ -150,13 +150,18 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end
     A null or empty text is the end token alone. Repeated rows are packed once each. Documents without
     any token (no end token, no text) have no piece. No row, no sequence.
     """
-    coded = bpe.encode(picked(docs, doc_id="doc_id", text="text"), path=path).select(F.col("doc_id").cast("long"), "ids")
-    return pack_ids(coded, capacity, end)
+    rows = picked(docs, doc_id="doc_id", text="text").withColumn("doc_id", F.col("doc_id").cast("long"))
+    return _packed(bpe.encode(rows, path=path, then=_first_round(capacity, end), schema=PIECES), capacity)
 
 
 def pack_ids(coded: DataFrame, capacity: int = CAPACITY, end: int | None = END) -> DataFrame:
     """The same from rows (doc_id, ids), ids as unsigned 32-bit little-endian integers."""
-    first = cut(coded.mapInArrow(tidied(_first_round(capacity, end)), PIECES), "packed")
+    return _packed(coded.select("doc_id", "ids").mapInArrow(tidied(_first_round(capacity, end)), PIECES), capacity)
+
+
+def _packed(pieces: DataFrame, capacity: int) -> DataFrame:
+    """All rounds after the first."""
+    first = cut(pieces, "packed")
     parts, workers, level = [first.where("sequence is not null").withColumn("level", F.lit(0))], (first.agg(F.max("worker")).first()[0] or 0) + 1, 1
     rest = first.where("sequence is null")
     while True:
