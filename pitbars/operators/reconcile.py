@@ -120,6 +120,40 @@ def reconcile(staged: DataFrame, versions: DataFrame, mode: str = "digest") -> D
     return _matched(totals)
 
 
+def differences(source: DataFrame, landed: DataFrame) -> DataFrame:
+    """The keys under which two tables of bars differ: missing, extra or changed.
+
+    Two levels of digests. Rows of both sides are summed with opposite signs per symbol and day, which
+    leaves zero where they agree and combines on the map side; only rows of the days that are left are
+    shuffled by key. Equal tables cost one small group.
+    """
+    sides = {1: source, -1: landed}
+    parts = [side.select(*KEYS, F.lit(sign).alias("sign"), _row_hash().alias("h")) for sign, side in sides.items()]
+    rows = parts[0].unionByName(parts[1]).withColumn("day", F.date_trunc("day", "price_ts"))
+    # Equal rows cancel in the signed count, in the signed sum and in the xor of both sides.
+    balance = {
+        "count": F.sum("sign"),
+        "total": F.sum(F.col("h").cast("decimal(20,0)") * F.col("sign")),
+        "xor": F.bit_xor("h"),
+    }
+    unequal = " OR ".join(f"{name} <> 0" for name in balance)
+    measures = [value.alias(name) for name, value in balance.items()]
+    range_key = ["source_name", "symbol", "day"]
+    days = rows.groupBy(*range_key).agg(*measures).where(unequal).select(*range_key)
+    seen = [F.count_if(F.col("sign") == sign).alias(name) for sign, name in ((1, "source_rows"), (-1, "landed_rows"))]
+    keys = rows.join(days, range_key, "left_semi").groupBy(*KEYS).agg(*measures, *seen).where(unequal)
+    kind = F.when(F.col("landed_rows") == 0, "missing").when(F.col("source_rows") == 0, "extra").otherwise("changed")
+    return keys.select(*KEYS, kind.alias("difference"))
+
+
+def first_differences(found: DataFrame) -> DataFrame:
+    """Per symbol: how many keys differ, and the first of them."""
+    return found.groupBy("source_name", "symbol").agg(
+        F.count("*").alias("different_keys"),
+        F.min(F.struct("price_ts", "difference")).alias("first"),
+    ).select("source_name", "symbol", "different_keys", "first.*")
+
+
 def _matched(sides: DataFrame) -> DataFrame:
     matched = (F.col("source_rows") == F.col("landed_rows")) & F.col("source_checksum").eqNullSafe(
         F.col("landed_checksum")

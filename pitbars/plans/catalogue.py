@@ -289,6 +289,12 @@ def reconcile_digest(spark, sf_dir):
     return compared.select("symbol", "source_rows", "landed_rows", "matched")
 
 
+@query
+def reconcile_differences(spark, sf_dir):
+    """The keys of a restated feed and of a table that missed it under which they differ."""
+    return reconcile.differences(I.staged(spark, sf_dir, True), merge.current(I.loaded(spark, sf_dir)))
+
+
 @query
 def reconcile_verdict(spark, sf_dir):
     return reconcile.verdict(reconcile.reconcile(I.staged(spark, sf_dir, True), I.merged(spark, sf_dir)))

@@ -168,6 +168,12 @@ SELECT CASE WHEN sum(source_rows) = sum(landed_rows) AND bool_and(matched) THEN
   CAST(sum(source_rows) AS BIGINT) AS source_total_rows, CAST(sum(landed_rows) AS BIGINT) AS landed_total_rows,
   count(*) AS symbols, count(*) FILTER (WHERE NOT matched) AS mismatched_symbols FROM compared"""
 
+_DIFFERENCES = f""",
+differing AS (
+  SELECT {_KEYS}, CASE WHEN b IS NULL THEN 'missing' WHEN a IS NULL THEN 'extra' ELSE 'changed' END AS difference
+  FROM (SELECT {_KEYS}, {_LINE} AS a FROM staged2) FULL JOIN (SELECT {_KEYS}, {_LINE} AS b FROM loaded) USING ({_KEYS})
+  WHERE a IS DISTINCT FROM b)"""
+
 _CHANGES = """
 SELECT change, count(*) AS rows FROM (
   SELECT CASE WHEN s.currency IS NULL THEN 'carried' WHEN a.currency IS NULL THEN 'inserted'
@@ -396,6 +402,8 @@ SELECT symbol, '{{"landed_checksum":' || coalesce('"' || landed_checksum || '"',
   || ',"matched":' || matched || ',"source_checksum":' || coalesce('"' || source_checksum || '"', 'null')
   || ',"source_rows":' || source_rows || '}}' AS document FROM compared""",
         "reconcile_digest": f"{MERGED}{_compared('loaded')} SELECT symbol, source_rows, landed_rows, matched FROM compared",
+        "reconcile_differences": f"""{LOADED}{_DIFFERENCES}
+SELECT source_name, symbol, {_ts("price_ts")}, difference FROM differing""",
         "reconcile_verdict": MERGED + _compared("merged") + _VERDICT,
         "reconcile_verdict_failed": MERGED + _compared("loaded") + _VERDICT,
         "landing_violations": f"""WITH {FEED},{_tagged('tagged', 'feed', False)},{_staged('staged', 'tagged')}

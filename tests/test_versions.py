@@ -271,3 +271,20 @@ def test_action_constraints(spark):
     with pytest.raises(checks.ConstraintError) as caught:
         checks.demand_actions(bad)
     assert caught.value.violations == {"action_type": 1, "split_ratio": 1, "unique_action": 1}
+
+
+def test_differences_name_the_rows(spark):
+    later = BAR_TS.replace(day=BAR_TS.day + 1)
+    sent = bars(spark, bar("A", close="1"), bar("B", close="2"), bar("B", ts=later, close="2"), bar("C", close="3"))
+    held = bars(spark, bar("A", close="1"), bar("B", close="9"), bar("B", ts=later, close="9"), bar("D", close="3"))
+    found = reconcile.differences(sent, held)
+    assert sorted((r["symbol"], r["difference"]) for r in found.collect()) == [
+        ("B", "changed"), ("B", "changed"), ("C", "missing"), ("D", "extra")]
+    first = {r["symbol"]: r for r in reconcile.first_differences(found).collect()}
+    assert first["B"]["different_keys"] == 2 and first["B"]["price_ts"] == sent.where("symbol = 'B'").agg(F.min("price_ts")).first()[0]
+    assert reconcile.differences(sent, sent).isEmpty() and reconcile.differences(sent.limit(0), sent.limit(0)).isEmpty()
+
+
+def test_repeated_rows_do_not_cancel(spark):
+    once, twice = bars(spark, bar("A")), bars(spark, bar("A"), bar("A"), bar("A"))
+    assert [r["difference"] for r in reconcile.differences(once, twice).collect()] == ["changed"]
