@@ -175,7 +175,7 @@ def actions(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("USD").alias("currency"),
         )
 
-    ratio = F.when(key % 3 == 0, 2).when(key % 3 == 1, 4).otherwise(10)
+    ratio = F.element_at(F.array(*map(F.lit, (2, 3, 4, 7, 10))), (key % 5 + 1).cast("int"))
     amount = (key % 50).cast("decimal(18,2)") / 4
     nothing = F.lit(None)
     splits = shaped(supplier, F.date_add(F.lit("1998-01-01").cast("date"), (key % 365).cast("int")), "split", ratio, nothing)

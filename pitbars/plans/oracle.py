@@ -213,7 +213,7 @@ ACTIONS = """
 actions AS (
   SELECT 'vendor_a' AS source_name, 'S' || CAST(s_suppkey AS VARCHAR) AS symbol,
     DATE '1998-01-01' + CAST(s_suppkey % 365 AS INTEGER) AS action_date, 'split' AS action_type,
-    CAST(CASE s_suppkey % 3 WHEN 0 THEN 2 WHEN 1 THEN 4 ELSE 10 END AS DECIMAL(18,8)) AS split_ratio,
+    CAST([2, 3, 4, 7, 10][CAST(s_suppkey % 5 AS INTEGER) + 1] AS DECIMAL(18,8)) AS split_ratio,
     CAST(NULL AS DECIMAL(18,6)) AS dividend_amount
   FROM supplier
   UNION ALL

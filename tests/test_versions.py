@@ -264,6 +264,46 @@ def test_fold_equals_decimal_arithmetic(spark):
     assert found == expected
 
 
+def test_ratios_without_end_and_ties_are_exact(spark):
+    """Runs of 3 and 7, a tie only the exact quotient shows, prices below zero, runs of more than 38 digits, days that are shared."""
+    first = datetime(2026, 4, 2).date()
+    listed = {
+        "A": [(first + timedelta(days=i), "split", Decimal(r), None) for i, r in enumerate((3, 7, 3, 7, 9, 11))],
+        "B": [(first, "split", Decimal(8), None), (first + timedelta(days=1), "split", Decimal("0.25"), None)],
+        "C": [(first, "dividend", None, Decimal("200.000001")), (first, "split", Decimal(2), None)],
+        "D": [(first + timedelta(days=i), "split", Decimal("1.00000001") + Decimal(i) / 1000, None) for i in range(30)],
+        "E": [(first + timedelta(days=i), "dividend", None, Decimal(i) / 8) for i in range(37)],
+        "F": [(first, "dividend", None, None), (first, "split", Decimal(3), None)],
+    }
+    starts = [datetime(2026, 4, 1, 12) + timedelta(days=d) for d in range(40)]
+    rows = [bar(s, t, c) for s in listed for t in starts for c in ("10", "0.000005")[: 1 + (t == starts[0])]]
+    rows += [bar("B", starts[0], c) for c in ("0.000001", "0.000003", "0.000007")]
+    flat = [("feed", s, *entry) for s, entries in listed.items() for entry in entries]
+    adjusted = adjust.adjust_close(merge.first_load(bars(spark, *rows), FIRST), actions(spark, *flat))
+    stamp = F.col("price_ts").cast("timestamp_ntz").alias("t")
+    found = {(r[0], r[1], r[2]): r[3] for r in adjusted.select("symbol", stamp, "close_price", "adjusted_close").collect()}
+    with localcontext() as context:
+        context.prec = 28
+        for s, t, close in found:
+            value = close
+            for day, kind, ratio, amount in sorted(listed[s], key=lambda entry: entry[:2]):
+                if day > t.date() and (kind == "split" or amount is not None):
+                    value = value / ratio if kind == "split" else value - amount
+            assert found[(s, t, close)] == value.quantize(Decimal("0.000001")), (s, t, close)
+    assert len(found) == len({(r[1], r[2], r[3]) for r in rows})
+
+
+def test_days_are_found_by_halving(spark):
+    first = datetime(2026, 1, 1).date()
+    for n in (1, 2, 3, 7, 8, 9, 31):
+        listed = [("feed", "A", first + timedelta(days=2 * i), kind, Decimal(1), Decimal(0)) for i in range(n) for kind in ("split", "dividend")]
+        rows = [bar("A", datetime(2025, 12, 31) + timedelta(days=i)) for i in range(2 * n + 2)] + [bar("B")]
+        held = adjust.with_actions(bars(spark, *rows), actions(spark, *listed)).withColumn("t", F.col("price_ts").cast("timestamp_ntz"))
+        for row in held.select("symbol", "t", "actions").collect():
+            expected = [entry[2] for entry in listed if entry[2] > row["t"].date()] if row["symbol"] == "A" else None
+            assert (row["actions"] if expected is None else [a["action_date"] for a in row["actions"]]) == expected
+
+
 def test_action_constraints(spark):
     day = datetime(2026, 4, 3).date()
     bad = actions(spark, ("feed", "A", day, "split", None, None), ("feed", "A", day, "merger", None, None),
