@@ -245,3 +245,26 @@ def test_staging_cuts_fractions(spark):
     assert tuple(second) == ("2026-03-13 13:30:00", Decimal("58.450001"))
     micro = N.stage(bars, replace(NEW_YORK, granularity="microsecond"))
     assert micro.select(F.col("price_ts").cast("string")).first()[0] == "2026-03-13 13:30:00.75"
+
+
+def test_staging_shuffles_once_and_joins_without_another(spark):
+    sent = ["2026-03-13 09:30:00.25", "2026-03-13 09:30:00.75", "2026-03-13 09:30:00.75", "2026-03-13 09:31:00"]
+    raw = feed(spark, *[{"timestamp": t, "volume": str(100 + n)} for n, t in enumerate(sent)])
+    rows = N.accepted(N.tag(raw, NEW_YORK, NOW, ["n"]), ["n"])
+    once = N.stage_last(rows, NEW_YORK, ["n"])
+    text = [F.col(c).cast("string") for c in once.columns]
+    expected = N.stage(N.normalize(raw, NEW_YORK, ["n"], NOW), NEW_YORK)
+    assert sorted(once.select(*text).collect()) == sorted(expected.select(*text).collect())
+    assert once.count() == 3
+    both = once.join(once.select("source_name", "symbol", "price_ts", "volume"), ["source_name", "symbol", "price_ts"])
+    plan = both.hint("merge")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 2, plan
+    assert "Exchange" not in plan.split("FileScan")[0].split("WindowGroupLimit")[0], plan
+
+
+def test_spelled_numbers_are_taken_apart_once(spark):
+    plan = spark.createDataFrame([("1",)], "t string").select(whole_number(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract") <= 8, plan
+    texts = ["12", "-12.50", "1.25e2", "1.25e1", "+7.", ".5", "5e-1", "50e-1", "0.0", "-.0e9", "e5", ".", "1e30", "0.000000000000000000000012e24", "1" + "0" * 30 + "e-25"]
+    found = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "n int, t string").orderBy("n").select(whole_number(F.col("t"))).collect()
+    assert [r[0] for r in found] == [12, None, 125, None, 7, None, None, 5, 0, 0, None, None, None, 12, 100000]

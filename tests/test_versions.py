@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 from decimal import Decimal, localcontext
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pitbars.operators import adjust, asof, checks, merge, reconcile
@@ -328,3 +329,41 @@ def test_differences_name_the_rows(spark):
 def test_repeated_rows_do_not_cancel(spark):
     once, twice = bars(spark, bar("A")), bars(spark, bar("A"), bar("A"), bar("A"))
     assert [r["difference"] for r in reconcile.differences(once, twice).collect()] == ["changed"]
+
+
+def exchanges(frame):
+    return frame._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_bulk_as_of_shuffles_once(spark):
+    versions = merge.temporal_merge(merge.first_load(bars(spark, bar("A"), bar("B")), FIRST), bars(spark, bar("A", close="2")), SECOND)
+    versions = spark.createDataFrame(versions.collect(), versions.schema)
+    moments = [FIRST - timedelta(days=1), FIRST, SECOND, SECOND + timedelta(days=400)]
+    asked = bars(spark, *[bar(s.lower()) for s in "ABC"]).select(*KEYS).crossJoin(spark.createDataFrame([(str(m),) for m in moments], "m string"))
+    asked = asked.select(*KEYS, F.col("m").cast("timestamp").alias("as_of"))
+    whole, sliced = asof.price_as_of_many(versions, asked), asof.price_as_of_many(versions, asked, "day")
+    assert exchanges(whole) == 1
+    columns = (*KEYS, "as_of", "close_price", "valid_from")
+    assert shown(whole, *columns) == shown(sliced, *columns) and whole.count() == 6
+
+
+def test_ordered_reconciliation_deals_rows_once(spark):
+    hours = [BAR_TS + timedelta(hours=h, minutes=m) for h in (0, 1, 30) for m in (0, 1)]
+    staged = bars(spark, *[bar(s, ts) for s in "AB" for ts in hours], bar("C"))
+    held = merge.first_load(bars(spark, *[bar("A", ts) for ts in hours], *[bar("B", ts, close="7") for ts in hours[1:]], bar("D")), FIRST)
+    apart = reconcile.compare_checksums(
+        reconcile.symbol_checksums(staged, "md5"), reconcile.symbol_checksums(reconcile.landed_for(staged, held), "md5")
+    )
+    both = reconcile.reconcile(staged, held, "md5")
+    assert shown(both, *both.columns) == shown(apart, *both.columns)
+    assert [(r["symbol"], r["landed_rows"], r["matched"]) for r in both.orderBy("symbol").collect()] == [("A", 6, True), ("B", 5, False), ("C", 0, False)]
+    # Rows by symbol and day, then checksums by symbol and side, and by symbol.
+    assert exchanges(both) == 3
+
+
+def test_whole_bars_keep_their_columns(spark):
+    from pitbars.plans import inputs
+
+    rows = bars(spark, bar("A")).withColumn("n", F.row_number().over(Window.partitionBy("symbol").orderBy("price_ts")))
+    plan = inputs.whole(rows).select("symbol", "volume")._jdf.queryExecution().optimizedPlan().toString()
+    assert "close_price" in plan
