@@ -409,6 +409,8 @@ def _halved(rows: DataFrame, at: int, path: str, limit: int) -> DataFrame:
         .groupBy("key")
         .agg(F.collect_list(F.struct("piece", "start", "part", "rows")).alias("pieces"))  # one text's pieces
         .mapInArrow(tidied(join), "key binary, ids binary, n_tokens long")
+        # Readers in Python would else run beside this, and each task would hold two Python workers.
+        .repartition("key")
     )
     rows = rows.withColumn("key", key)
     return rows.join(encoded, "key").drop("key")

@@ -244,15 +244,9 @@ def confirmed_spans(text: str, found: list[tuple[int, int, int]]) -> list[tuple[
     return out
 
 
-def scan(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Every row with one more column `spans`: an array of (kind, start, end, base), by start and kind,
-    in code points, end exclusive.
-
-    A null or empty text has none. Rows stay as they are; a column named spans gives way to the new one.
-    """
-    flat, at, names = numbered(docs), place(docs, text), docs.columns
+def _scanned(at: int):
+    """Batches with the spans of their column `at` as a last column."""
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_())]))
-    spans = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("base", T.BooleanType())]))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -263,7 +257,18 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
                 out.append([{"kind": KINDS[k], "start": s, "end": e, "base": k < BASE} for s, k, e in found])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, kind)], [*batch.schema.names, "spans"])
 
-    done = flat.mapInArrow(tidied(run), appended(flat, T.StructField("spans", spans)))
+    return run
+
+
+def scan(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Every row with one more column `spans`: an array of (kind, start, end, base), by start and kind,
+    in code points, end exclusive.
+
+    A null or empty text has none. Rows stay as they are; a column named spans gives way to the new one.
+    """
+    flat, at, names = numbered(docs), place(docs, text), docs.columns
+    spans = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("base", T.BooleanType())]))
+    done = flat.mapInArrow(tidied(_scanned(at)), appended(flat, T.StructField("spans", spans)))
     return done.select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names) if n.lower() != "spans"), "spans")
 
 
@@ -286,18 +291,19 @@ def report(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame) -> DataFrame:
     """`docs`, all columns as they are, with every span in the text replaced by [kind]; spans that
-    overlap become one, named after the first. n_chars, where it is there, follows the text."""
+    overlap become one, named after the first. n_chars, where it is there, follows the text.
+
+    Spans are found and replaced in one Python worker, so a task never holds two."""
     flat, at, names = numbered(docs), place(docs, "text"), docs.columns
-    found = scan(flat, f"c{at}")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _scanned(at)(batches):
             columns, spans = batch.columns[:-1], batch.columns[-1].to_pylist()
             texts = columns[at].to_pylist()
             columns[at] = pa.array([replaced(t, s) if s else t for t, s in zip(texts, spans)], columns[at].type)
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
 
-    done = found.mapInArrow(tidied(run), flat.schema)
+    done = flat.mapInArrow(tidied(run), flat.schema)
     counted = [i for i, n in enumerate(names) if n == "n_chars"]
     for i in counted:
         n = F.length(f"c{at}").cast(flat.schema[i].dataType)

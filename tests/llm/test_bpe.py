@@ -81,3 +81,12 @@ def test_every_latin_character_beside_letters_and_marks(plain):
     texts = [f"{a}{chr(x)}{b}" for x in range(1, 0x250) for a in ("", "th", "É", "1", ",") for b in ("", "e.", "ñ,", "'s", " x")]
     ids = [np.frombuffer(i, dtype="<u4").tolist() for i in c.encode(texts)]
     assert ids == [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_long_texts_take_one_python_worker_at_a_time(spark):
+    docs = spark.createDataFrame([(1, "a few words " * 40), (2, "short")], "doc_id long, text string")
+    coded = bpe.decode(bpe.encode(docs, limit=64))
+    # Between the pieces put together and the decoder lies a shuffle.
+    plan = coded._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression [key") == 2, plan
+    assert {r["doc_id"]: r["decoded"].split("<")[0] for r in coded.collect()} == {1: "a", 2: "short"}

@@ -113,3 +113,10 @@ def test_wrapped_unterminated_upper_case_and_encrypted_keys():
     head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF0123456789ABCDEF\n\n"
     pem = "-----BEGIN RSA PRIVATE KEY-----\n" + head + wrapped(b64(b"\x07" * 160)) + "\n-----END RSA PRIVATE KEY-----"
     assert kinds(f"a {pem} b") == [("pem", pem)] and kinds(pem.replace("4,ENCRYPTED", "4,CLEAR")) == []
+
+
+def test_redaction_takes_one_python_worker(spark):
+    docs = spark.createDataFrame([(1, "password = abcdef1"), (2, None), (3, "")], "doc_id long, text string")
+    done = ss.redact(docs)
+    assert done._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert {r["doc_id"]: r["text"] for r in done.collect()} == {1: "[assign]", 2: None, 3: ""}
